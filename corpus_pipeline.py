@@ -11,10 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timeline_engine.llm import line_dedup, mixing, parity_join
+from timeline_engine.llm import hilbert_pack, line_dedup, mixing, parity_join, quality_rules
 from timeline_engine.llm.common import table, written
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    rejected = quality_rules.judge(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h")).distinct()
+    own = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    return docs.join(rejected, F.col("doc_id").eqNullSafe(F.col("_id")) & (own == F.col("_h")), "left_anti").select(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,10 +43,17 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
 
 
+def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, packed along the curve."""
+    return hilbert_pack.pack(docs)
+
+
 STAGES = [
+    ("quality rules", quality_stage),
     ("line dedup", line_stage),
     ("n-gram Jaccard join", near_stage),
     ("mixing sources to target weights", mix_stage),
+    ("packing", pack_stage),
 ]
 
 ORACLE_SQL = None
