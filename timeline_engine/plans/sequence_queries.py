@@ -11,12 +11,15 @@ from ..operators import temporal_joins as J
 from .inputs import DAY, EVENTS, HOUR, MINUTE, events, typed
 
 KEY, ORDER = ["user_id"], ["t", "event_id"]
-_BUCKET = F.floor(F.col("value") / 20).cast("bigint")
+
+
+def _bucket():
+    return F.floor(F.col("value") / 20).cast("bigint")
 
 
 def reset_detect(spark, sf_dir):
     """Values that come down to the lowest bucket from a higher one."""
-    e = events(spark, sf_dir).withColumn("bucket", _BUCKET)
+    e = events(spark, sf_dir).withColumn("bucket", _bucket())
     return S.changes(e, KEY, ORDER, ["bucket"], (F.col("bucket") == 0) & (F.col("prev_bucket") > 0)).select("event_id", "user_id", F.bround("t").cast("bigint").alias("at"), "prev_bucket")
 
 
@@ -34,7 +37,7 @@ def unit_step(spark, sf_dir):
 
 def falls(spark, sf_dir):
     """Falls of a value to its lowest bucket within twelve hours."""
-    e = events(spark, sf_dir).withColumn("level", _BUCKET)
+    e = events(spark, sf_dir).withColumn("level", _bucket())
     near = (F.col("prev_level") > 0) & (F.col("t") - F.col("prev_t") <= 12 * HOUR)
     return S.changes(e, KEY, ORDER, ["level", "t"], near & is_drop(F.col("prev_level"), F.col("level")), skip_null="level").select("event_id", "user_id", "t", F.col("prev_level").alias("before"))
 
@@ -56,7 +59,7 @@ def monotone_violations(spark, sf_dir):
 
 def staircase_fold(spark, sf_dir):
     """The accepted staircase of (bucket, k modulo 6) of each user."""
-    e = events(spark, sf_dir).select("user_id", "t", "event_id", _BUCKET.alias("l"), (F.col("k") % 6).alias("r"), F.col("t").alias("s"), F.col("t").alias("z"))
+    e = events(spark, sf_dir).select("user_id", "t", "event_id", _bucket().alias("l"), (F.col("k") % 6).alias("r"), F.col("t").alias("s"), F.col("t").alias("z"))
     out = S.staircase(e.where(F.col("l").isNotNull() & F.col("r").isNotNull()), KEY, ORDER, "l", "r", "s", "z")
     return out.select("user_id", "l", "r", F.col("s").alias("start_t"), F.col("z").alias("end_t"))
 
