@@ -6,9 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 #: ASCII white space, the only separators of words in every operator here.
@@ -55,6 +55,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Queries run inside use Arrow batches of at most ``rows`` rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser over an array of unsigned 64-bit values."""
     x = x.astype(np.uint64, copy=True)
@@ -66,25 +78,37 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class WordHashes(dict):
-    """word -> unsigned 64-bit hash, filled on first use.
+_IS_WORD = np.ones(256, bool)
+_IS_WORD[[32, *range(9, 14)]] = False
+_BYTE = mix64(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
+_BASE = 0x9E3779B97F4A7C15
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
-    The table is emptied when it reaches ``limit`` words, which bounds a
-    worker's memory and changes no value.
-    """
 
-    def __init__(self, limit: int = 400_000):
-        super().__init__()
-        self.limit = limit
+def _powers(n: int) -> list[np.ndarray]:
+    """The first n powers of an odd base and of its inverse, modulo 2^64."""
+    if len(_POWERS[0]) < n:
+        size = max(1 << 14, 2 * n)
+        for k, x in enumerate((_BASE, pow(_BASE, -1, 2**64))):
+            steps = np.full(size, x, np.uint64)
+            steps[0] = 1
+            _POWERS[k] = np.cumprod(steps, dtype=np.uint64)
+    return _POWERS
 
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > self.limit:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+def word_hashes(text: bytes) -> np.ndarray:
+    """Unsigned 64-bit hashes of a text's words, in order.
+
+    A word's hash is a polynomial in random values of its bytes, read off one
+    running sum over the text, then mixed with its length.
+    """
+    a = np.frombuffer(text, np.uint8)
+    edge = np.diff(_IS_WORD[a].view(np.int8), prepend=np.int8(0), append=np.int8(0))
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    up, down = _powers(len(a) + 1)
+    total = np.zeros(len(a) + 1, np.uint64)
+    np.cumsum(_BYTE[a] * up[: len(a)], out=total[1:])
+    return mix64((total[end] - total[start]) * down[start] ^ (end - start).astype(np.uint64))
 
 
 def ngram_hashes(word_hashes: np.ndarray, n: int) -> np.ndarray:

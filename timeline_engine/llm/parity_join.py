@@ -18,9 +18,10 @@ in a run). Candidates are filtered by size and by the Hamming distance of a
 256-bit parity sketch, then verified on whole sets.
 
 Links are only needed for classes. First each run is compared with its least
-and greatest member; components of these links are formed; then pairs of
-different components inside a run, and only these, are compared. Every link
-between different texts is thereby found or is implied by others.
+and greatest member; components of these links are formed; then, inside runs,
+the likeliest pair of each two components, and at last all pairs of different
+components, and only these. Every link between different texts is thereby found
+or is implied by others.
 
 A run of different texts that share a chunk is held by one task, at 12 bytes a
 text; copies of a text add nothing to it within a batch.
@@ -34,10 +35,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, fresh_path, mix64, ngram_hashes, table, written
+from .common import arrow_rows, fresh_path, mix64, ngram_hashes, table, word_hashes, written
 from .components import components
 
 N_WORDS = 5
@@ -46,20 +48,28 @@ NUM, DEN = 3, 4
 LEAST_CHUNKS = 64
 BUCKET_BYTES = 24_000_000
 #: Keys of a batch are flushed to blobs from this number on.
-FLUSH_KEYS = 2_000_000
-_ROW = "bucket int, doc_id bigint, n bigint, f1 bigint, f2 bigint, s0 bigint, s1 bigint, s2 bigint, s3 bigint, blob binary"
-_ARROW = pa.schema(
-    [("bucket", pa.int32()), *[(c, pa.int64()) for c in ("doc_id", "n", "f1", "f2", "s0", "s1", "s2", "s3")], ("blob", pa.binary())]
-)
-_SET = ("doc_id", "n", "f1", "f2", "s0", "s1", "s2", "s3")
-
-
-def shingle_set(text: bytes | None, hashes: WordHashes, n: int = N_WORDS) -> np.ndarray:
+FLUSH_KEYS = 500_000
+#: Rows of texts in one Arrow batch.
+TEXT_ROWS = 2_000
+#: A chunk key is frequent if more texts than this hold it.
+FREQUENT = 16
+MOST_FREQUENT = 2_000_000
+#: Rows of whole sets in one Arrow batch.
+SET_ROWS = 200
+#: Bits of the map that marks nodes for verification.
+MARKS = 1 << 26
+_ROW = "bucket int, doc_id bigint, n bigint, f1 bigint, f2 bigint, sketch binary, blob binary"
+_ARROW = pa.schema([("bucket", pa.int32()), *[(c, pa.int64()) for c in ("doc_id", "n", "f1", "f2")], ("sketch", pa.binary()), ("blob", pa.binary())])
+_SET = ("doc_id", "n", "f1", "f2", "sketch")
+
+
+def shingle_set(text: bytes | None, n: int = N_WORDS) -> np.ndarray:
     """Sorted distinct shingle hashes of a text in UTF-8."""
-    words = (text or b"").lower().split()  # A-Z and ASCII white space only
-    if not words:
+    words = word_hashes((text or b"").lower())  # bytes: A-Z only
+    if not len(words):
         return np.empty(0, np.uint64)
-    return np.unique(ngram_hashes(hashes.of(words), min(n, len(words))))
+    s = np.sort(ngram_hashes(words, min(n, len(words))))
+    return s[np.concatenate([[True], s[1:] != s[:-1]])]
 
 
 def most_different(low: int, high: int) -> int:
@@ -68,87 +78,155 @@ def most_different(low: int, high: int) -> int:
     return max((s - 2 * -(-NUM * s // (NUM + DEN)) for s in range(max(low, high - 13), high + 1)), default=0)
 
 
-def _foremost(s: np.ndarray, level: int, keep: int) -> np.ndarray:
+def _chunks(s: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, number of shingles, index) of the non-empty chunks of a band."""
     m = max(LEAST_CHUNKS, 1 << level)
     chunk = ((s >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
     at = np.flatnonzero(np.diff(chunk, prepend=np.uint64(m)))
     value = np.bitwise_xor.reduceat(s, at)
-    single = np.diff(at, append=len(s)) == 1
-    place = mix64(chunk[at] + np.uint64(level << 40))
-    key = (mix64(value ^ place) >> np.uint64(1)) | (single.astype(np.uint64) << np.uint64(63))
-    if len(key) > keep:
-        return np.partition(key, keep - 1)[:keep]
-    if len(key) < keep:
-        empty = np.setdiff1d(np.arange(m, dtype=np.uint64), chunk[at])
-        none = np.sort(mix64(mix64(empty + np.uint64(level << 40)) + np.uint64(1)))[: keep - len(key)]
-        key = np.concatenate([key, none])
-    return key
-
-
-def chunk_keys(s: np.ndarray) -> np.ndarray:
-    """The chunk keys by which a non-empty set meets its possible partners."""
-    n = len(s)
+    return mix64(value ^ mix64(chunk[at] + np.uint64(level << 40))), np.diff(at, append=len(s)), chunk[at]
+
+
+def _bands(n: int) -> list[tuple[int, int]]:
+    """(level, foremost chunks to emit) of a set of n shingles."""
     level = n.bit_length() - 1
     floor, least = 1 << level, -(-NUM * n // DEN)
-    own = most_different(n + max(floor, least), n + DEN * n // NUM) + 1
-    keys = _foremost(s, level, own)
+    out = [(level, most_different(n + max(floor, least), n + DEN * n // NUM) + 1)]
     if least < floor:
-        low = most_different(n + least, n + floor - 1) + 1
-        keys = np.concatenate([keys, _foremost(s, level - 1, low)])
-    return mix64(keys)
-
-
-def parity_sketch(s: np.ndarray) -> np.ndarray:
-    """256 bits, each the parity of the shingles hashed to it."""
-    odd = np.bincount((s & np.uint64(255)).astype(np.intp), minlength=256) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
-
-
-def _scan(n_buckets: int):
-    def blobs(keys: list[np.ndarray], ids: list[int]):
-        if not keys:
-            return
-        f1 = np.repeat(np.array(ids, np.uint64), [len(k) for k in keys])
-        key = np.concatenate(keys)
-        bucket = ((key >> np.uint64(40)) % np.uint64(n_buckets)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
-        bucket, key, f1 = bucket[order], (key[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32), f1[order]
-        starts = np.flatnonzero(np.diff(bucket, prepend=-1))
-        ends = np.append(starts[1:], len(bucket))
-        payload = [key[a:b].tobytes() + f1[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]
-        none = [pa.nulls(len(starts), pa.int64())] * 8
-        yield pa.RecordBatch.from_arrays([pa.array(bucket[starts]), *none, pa.array(payload, pa.binary())], schema=_ARROW)
+        out.append((level - 1, most_different(n + least, n + floor - 1) + 1))
+    return out
+
+
+def _place(key: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Bucket and 32 further bits of a key, as one number."""
+    return ((key >> np.uint64(40)) % np.uint64(n_buckets)) << np.uint64(32) | key & np.uint64(0xFFFFFFFF)
+
+
+def chunk_places(s: np.ndarray, n_buckets: int, frequent: np.ndarray | None) -> np.ndarray:
+    """Places of the chunk keys by which a non-empty set meets its possible
+    partners; all its keys if ``frequent`` is None."""
+    out = []
+    for level, keep in _bands(len(s)):
+        key, size, chunk = _chunks(s, level)
+        place = _place(key, n_buckets)
+        if frequent is not None:
+            if len(key) > keep:
+                rank = (size == 1).astype(np.uint64)
+                if len(frequent):
+                    at = np.minimum(np.searchsorted(frequent, place), len(frequent) - 1)
+                    rank[frequent[at] == place] = 2
+                place = place[np.argpartition(rank << np.uint64(62) | key >> np.uint64(2), keep - 1)[:keep]]
+            elif len(key) < keep:
+                empty = np.setdiff1d(np.arange(max(LEAST_CHUNKS, 1 << level), dtype=np.uint64), chunk)
+                none = np.sort(mix64(mix64(empty + np.uint64(level << 40)) + np.uint64(1)))[: keep - len(key)]
+                place = np.concatenate([place, _place(none, n_buckets)])
+        out.append(place)
+    return np.concatenate(out)
+
+
+def parity_sketch(s: np.ndarray) -> bytes:
+    """Bits, each the parity of the shingles hashed to it: 256 to 32,768, about
+    two a shingle."""
+    n_bits = 1 << min(max(len(s).bit_length() + 1, 8), 15)
+    odd = np.bincount((s & np.uint64(n_bits - 1)).astype(np.intp), minlength=n_bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def folded(sketch: bytes, size: int) -> np.ndarray:
+    """A sketch of ``size`` bytes: halves of a parity sketch XOR to the shorter
+    one."""
+    x = np.frombuffer(sketch, np.uint8)
+    while len(x) > size:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x.view(np.uint64)
+
+
+def allowed(total):
+    """The largest symmetric difference of similar sets whose sizes sum to
+    ``total``."""
+    return total - 2 * -(-NUM * total // (NUM + DEN))
+
+
+def _blobs(places: list[np.ndarray], ids: list[int] | None) -> pa.RecordBatch:
+    """One row a bucket: the 32-bit parts of the places, then the ids."""
+    place = np.concatenate(places)
+    order = np.argsort(place >> np.uint64(32), kind="stable") if ids is not None else None
+    place = place[order] if ids is not None else np.sort(place)
+    bucket = (place >> np.uint64(32)).astype(np.int32)
+    low = (place & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    f1 = np.repeat(np.array(ids, np.uint64), [len(p) for p in places])[order] if ids is not None else None
+    starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    ends = np.append(starts[1:], len(bucket))
+    payload = [low[a:b].tobytes() + (f1[a:b].tobytes() if f1 is not None else b"") for a, b in zip(starts, ends, strict=True)]
+    none = [pa.nulls(len(starts), pa.int64())] * 4
+    return pa.RecordBatch.from_arrays([pa.array(bucket[starts]), *none, pa.nulls(len(starts), pa.binary()), pa.array(payload, pa.binary())], schema=_ARROW)
+
+
+def _scan(n_buckets: int, frequent):
+    """Blobs of all chunk keys, without ids, if ``frequent`` is None; else blobs
+    of the foremost keys and a row that describes each set."""
 
     def run(batches):
-        hashes = WordHashes()
+        counting = frequent is None
+        common = None if counting else frequent.value
         for batch in batches:
-            rows, keys, ids, size, seen = [], [], [], 0, set()
+            rows, places, ids, size, seen = [], [], [], 0, set()
             texts = batch.column(1).cast(pa.binary())
             for doc_id, text in zip(batch.column(0).to_pylist(), texts, strict=True):
-                s = shingle_set(text.as_py(), hashes)
-                f1 = int(np.bitwise_xor.reduce(mix64(s + np.uint64(1)))) ^ len(s)
-                f2 = int(np.add.reduce(mix64(s ^ np.uint64(0x5851F42D4C957F2D))))
+                s = shingle_set(text.as_py())
+                f1, f2 = int(np.bitwise_xor.reduce(s)) ^ len(s), int(np.add.reduce(s))
                 if len(s) and doc_id is not None and (f1, f2) not in seen:
                     seen.add((f1, f2))
-                    keys.append(chunk_keys(s))
+                    places.append(chunk_places(s, n_buckets, common))
                     ids.append(f1)
-                    size += len(keys[-1])
-                rows.append((doc_id, len(s), f1, f2, *parity_sketch(s)))
+                    size += len(places[-1])
+                if not counting:
+                    rows.append((doc_id, len(s), f1, f2, parity_sketch(s)))
                 if size >= FLUSH_KEYS:
-                    yield from blobs(keys, ids)
-                    keys, ids, size = [], [], 0
-            yield from blobs(keys, ids)
+                    yield _blobs(places, None if counting else ids)
+                    places, ids, size = [], [], 0
+            if places:
+                yield _blobs(places, None if counting else ids)
             if rows:
                 cols = list(zip(*rows, strict=True))
                 f1, f2 = (np.array(c, np.uint64).view(np.int64) for c in cols[2:4])
-                where = -1 - (f1 % n_buckets).astype(np.int32)
+                # These rows pass through their group: dealt by id, not by set.
+                where = -1 - (mix64(np.array([i or 0 for i in cols[0]], np.int64).view(np.uint64)) % np.uint64(n_buckets)).astype(np.int32)
                 arrays = [pa.array(where), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(f1), pa.array(f2)]
-                arrays += [pa.array(np.array(c, np.int64)) for c in cols[4:]]
-                yield pa.RecordBatch.from_arrays([*arrays, pa.nulls(len(rows), pa.binary())], schema=_ARROW)
+                arrays += [pa.array(cols[4], pa.binary()), pa.nulls(len(rows), pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, schema=_ARROW)
 
     return run
 
 
+def _frequent(group: pa.Table) -> pa.Table:
+    """Of a bucket's blobs of keys, those that more than FREQUENT texts hold."""
+    names = {"place": pa.int64(), "texts": pa.int64()}
+    if not len(group):
+        return pa.table({k: pa.array([], t) for k, t in names.items()})
+    low = np.sort(np.concatenate([np.frombuffer(b.as_buffer(), np.uint32) for b in group.column("blob")]))
+    at = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
+    n = np.diff(at, append=len(low))
+    often = n > FREQUENT
+    place = low[at[often]].astype(np.int64) | (group.column("bucket")[0].as_py() << 32)
+    return pa.table({"place": pa.array(place, pa.int64()), "texts": pa.array(n[often], pa.int64())})
+
+
+def frequent_keys(docs: DataFrame, n_buckets: int) -> np.ndarray:
+    """Sorted places of the most frequent chunk keys of all documents."""
+    rows = docs.mapInArrow(_scan(n_buckets, None), _ROW).select("bucket", "blob")
+    often = written(rows.groupBy("bucket").applyInArrow(_frequent, "place bigint, texts bigint"), "frequent")
+    level = F.floor(F.log2("texts")).cast("int")
+    sizes = sorted((r[0], r[1]) for r in often.groupBy(level).count().collect())
+    least, room = 63, MOST_FREQUENT
+    for k, n in reversed(sizes):
+        if n > room:
+            break
+        least, room = k, room - n
+    kept = often.where(level >= least).select("place").toArrow().column(0).to_numpy()
+    return np.sort(kept).astype(np.uint64)
+
+
 def _runs(group: pa.Table) -> pa.Table:
     """Of a bucket's blobs, the distinct runs of texts that share a key; rows
     that describe sets pass through."""
@@ -170,8 +248,8 @@ def _runs(group: pa.Table) -> pa.Table:
         if len(members) > 1:
             found.add(members.tobytes())
     found = sorted(found)
-    none = [pa.nulls(len(found), pa.int64())] * 8
-    return pa.Table.from_arrays([pa.nulls(len(found), pa.int32()), *none, pa.array(found, pa.binary())], schema=_ARROW)
+    none = [pa.nulls(len(found), pa.int64())] * 4
+    return pa.Table.from_arrays([pa.nulls(len(found), pa.int32()), *none, pa.nulls(len(found), pa.binary()), pa.array(found, pa.binary())], schema=_ARROW)
 
 
 def _members(ends_only: bool):
@@ -191,11 +269,33 @@ def _members(ends_only: bool):
     return run
 
 
-def _sets_again(batches):
-    hashes = WordHashes()
+def _marks(node: np.ndarray) -> np.ndarray:
+    return (mix64(node.astype(np.int64).view(np.uint64)) % np.uint64(MARKS)).astype(np.int64)
+
+
+def _partial_marks(batches):
+    """A bitmap of the hashes of a partition's nodes, compressed."""
+    marks = np.zeros(MARKS, bool)
     for batch in batches:
-        sets = [shingle_set(t.as_py(), hashes).tobytes() for t in batch.column(1).cast(pa.binary())]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
+        marks[_marks(batch.column(0).to_numpy())] = True
+    if marks.any():
+        packed = zstandard.ZstdCompressor().compress(np.packbits(marks).tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array([packed], pa.binary())], names=["marks"])
+
+
+def _sets_again(marks):
+    """The whole sets of documents, of marked ones only if ``marks`` is given."""
+
+    def run(batches):
+        held = None if marks is None else np.unpackbits(np.frombuffer(marks.value, np.uint8)).astype(bool)
+        for batch in batches:
+            batch = batch.filter(batch.column(0).is_valid())
+            if held is not None:
+                batch = batch.filter(pa.array(held[_marks(batch.column(0).to_numpy())]))
+            sets = [shingle_set(t.as_py()).tobytes() for t in batch.column(1).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
+
+    return run
 
 
 def _verified(batches):
@@ -211,33 +311,111 @@ def _verified(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], names=["a", "b", "linked"])
 
 
-def _plausible(x: str, y: str):
-    """Size and sketch bounds for the rows named x and y of two sets."""
-    c = lambda t, k: F.col(f"{t}.{k}")
-    total = c(x, "n") + c(y, "n")
-    d = total - 2 * F.ceil(NUM * total / (NUM + DEN))
-    apart = sum((F.bit_count(c(x, s).bitwiseXOR(c(y, s))) for s in ("s1", "s2", "s3")), F.bit_count(c(x, "s0").bitwiseXOR(c(y, "s0"))))
-    return (DEN * F.least(c(x, "n"), c(y, "n")) >= NUM * F.greatest(c(x, "n"), c(y, "n"))) & (apart <= d)
+def _close(batches):
+    """Of pairs (a, b, sizes, sketches), those that size and sketches allow."""
+    for batch in batches:
+        a, b, n_a, n_b = (batch.column(k).to_numpy() for k in range(4))
+        ok = DEN * np.minimum(n_a, n_b) >= NUM * np.maximum(n_a, n_b)
+        for i in np.flatnonzero(ok):
+            x, y = batch.column(4)[i].as_py(), batch.column(5)[i].as_py()
+            size = min(len(x), len(y))
+            ok[i] = int(np.bitwise_count(folded(x, size) ^ folded(y, size)).sum()) <= allowed(int(n_a[i] + n_b[i]))
+        yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok])], names=["a", "b"])
+
+
+def _open_pairs(best_only: bool):
+    """From the members of runs, sorted by run: pairs of unequal components that
+    size and sketches allow, compared in blocks inside the task. With
+    ``best_only`` one pair for each two components, that of least distance."""
+
+    def pairs(run: list[tuple], seen: dict):
+        size = min(len(r[3]) for r in run)
+        node, component, n = (np.array([r[k] for r in run], np.int64) for k in range(3))
+        bits = np.stack([folded(r[3], size) for r in run])
+        step = max(1, 2_000_000 // (len(run) * bits.shape[1]))
+        for at in range(0, len(run), step):
+            part = slice(at, at + step)
+            least, most = np.minimum(n[part, None], n), np.maximum(n[part, None], n)
+            ok = (node[part, None] < node) & (component[part, None] != component) & (DEN * least >= NUM * most)
+            i, j = np.nonzero(ok)
+            if not len(i):
+                continue
+            apart = np.bitwise_count(bits[part][i] ^ bits[j]).sum(1, dtype=np.int64)
+            near = np.flatnonzero(apart <= allowed(n[part][i] + n[j]))
+            i, j, apart = i[near] + at, j[near], apart[near]
+            for a, b, c, d, far in zip(node[i].tolist(), node[j].tolist(), component[i].tolist(), component[j].tolist(), apart.tolist(), strict=True):
+                key = (min(c, d), max(c, d)) if best_only else (a, b)
+                if key not in seen or seen[key][0] > far:
+                    seen[key] = (far, a, b)
+
+    def out(seen: dict):
+        _, a, b = zip(*seen.values(), strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    def run(batches):
+        now, held, seen = None, [], {}
+        for batch in batches:
+            for run_id, *row in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+                if run_id != now:
+                    if len({r[1] for r in held}) > 1:
+                        pairs(held, seen)
+                    now, held = run_id, []
+                    if len(seen) > 200_000:
+                        yield out(seen)
+                        seen = {}
+                held.append(row)
+        if len({r[1] for r in held}) > 1:
+            pairs(held, seen)
+        if seen:
+            yield out(seen)
+
+    return run
+
+
+def _whole_sets(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, shingles) of the documents in ``nodes``, and of a few others.
+
+    Texts are not shuffled: a bitmap of fixed size that marks the nodes is
+    broadcast, and marked documents are taken from a scan. Where the nodes are
+    too many for it, a semi-join finds the texts.
+    """
+    nodes = written(nodes, "nodes")
+    if nodes.count() > MARKS // 8:
+        texts, marks = docs.join(nodes, "doc_id", "left_semi").select("doc_id", "text"), None
+    else:
+        both = np.zeros(MARKS // 8, np.uint8)
+        parts = nodes.coalesce(4).mapInArrow(_partial_marks, "marks binary")
+        for row in parts.toLocalIterator():
+            both |= np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(row[0])), np.uint8)
+        texts, marks = docs.select("doc_id", "text"), docs.sparkSession.sparkContext.broadcast(both.tobytes())
+    return written(texts.mapInArrow(_sets_again(marks), "node bigint, shingles binary"), "shingles")
 
 
 def _linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) of node ids with ``linked``, from their whole sets."""
+    """Those of ``pairs`` (a, b) of node ids that are similar, by whole sets."""
     nodes = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b"))).distinct()
-    texts = docs.join(nodes, "doc_id", "left_semi").select("doc_id", "text")
-    sets = written(texts.mapInArrow(_sets_again, "node bigint, shingles binary"), "shingles")
+    sets = _whole_sets(nodes, docs)
     x, y = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     joined = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-    return written(joined.mapInArrow(_verified, "a bigint, b bigint, linked boolean").where("linked").select("a", "b").distinct(), "verified")
+    with arrow_rows(docs.sparkSession, SET_ROWS):
+        linked = joined.mapInArrow(_verified, "a bigint, b bigint, linked boolean").where("linked").select("a", "b").distinct()
+        return written(linked, "verified")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row a document."""
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        return _jaccard_components(docs)
+
+
+def _jaccard_components(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     n_buckets = max(2 * shuffles, -(-n_bytes * 8 // (10 * BUCKET_BYTES)))
-    scanned = docs.mapInArrow(_scan(n_buckets), _ROW)
+    frequent = spark.sparkContext.broadcast(frequent_keys(docs, n_buckets))
+    scanned = docs.mapInArrow(_scan(n_buckets, frequent), _ROW)
     # Written once: sets and runs both come from this table.
     path = fresh_path(spark, "sets-and-runs")
     scanned.groupBy("bucket").applyInArrow(_runs, _ROW).write.parquet(path)
@@ -248,36 +426,35 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     keys = ["f1", "f2", "n"]
     real = sets.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    sketch = [F.first(c).alias(c) for c in ("s0", "s1", "s2", "s3")]
-    classes = written(real.groupBy(*keys).agg(F.min("doc_id").alias("node"), *sketch), "classes")
+    classes = written(real.groupBy(*keys).agg(F.min("doc_id").alias("node"), F.first("sketch").alias("sketch")), "classes")
 
     # Sets by f1 alone: a clash of f1 only adds candidates.
     pairs = runs.mapInArrow(_members(True), "a bigint, b bigint").distinct()
     a, b = classes.alias("a"), classes.alias("b")
     near = pairs.alias("p").join(a, F.col("p.a") == F.col("a.f1")).join(b, F.col("p.b") == F.col("b.f1"))
-    near = near.where(_plausible("a", "b") & (F.col("a.node") != F.col("b.node")))
-    first = written(near.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct(), "pairs")
+    near = near.where(F.col("a.node") != F.col("b.node")).select("a.node", "b.node", "a.n", "b.n", "a.sketch", "b.sketch")
+    near = near.toDF("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(_close, "a bigint, b bigint")
+    first = written(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     links = _linked(first, docs)
     found = components(links)
 
+    # Members whose run holds several components; sorted runs stream by. First
+    # the likeliest pair of each two components, then whatever is still open.
     many = runs.where(F.octet_length("blob") > 16)
-    members = many.mapInArrow(_members(False), "run bigint, f1 bigint").join(classes, "f1")
-    members = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    members = written(members.select("run", "node", "component", "n", "s0", "s1", "s2", "s3"), "members")
-    mixed = members.groupBy("run").agg(F.min("component").alias("least"), F.max("component").alias("most")).where(F.col("least") < F.col("most"))
-    open_ = members.join(mixed.select("run"), "run", "left_semi")
-    x, y = open_.alias("x"), open_.alias("y")
-    later = (
-        x.join(y, (F.col("x.run") == F.col("y.run")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & _plausible("x", "y"))
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
-    )
-    later = written(later, "later-pairs")
-    if not later.isEmpty():
+    members = written(many.mapInArrow(_members(False), "run bigint, f1 bigint").join(classes, "f1").select("run", "node", "n", "sketch"), "members")
+    tried = first
+    for best_only in (True, True, False):
+        rows = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        rows = rows.select("run", "node", "component", "n", "sketch").repartition("run").sortWithinPartitions("run")
+        later = rows.mapInArrow(_open_pairs(best_only), "a bigint, b bigint").distinct().join(tried, ["a", "b"], "left_anti")
+        later = written(later, "later-pairs")
+        if later.isEmpty():
+            continue
         more = _linked(later, docs)
         if not more.isEmpty():
-            found = components(links.union(more))
+            links = links.union(more)
+            found = components(links)
+        tried = tried.union(later)
     found = found.withColumnRenamed("component", "reached")
     placed = classes.select(*keys, "node").join(found, "node", "left").select(*keys, F.coalesce("reached", "node").alias("reached"))
     placed = placed.select(*[F.col(k).alias(f"_{k}") for k in keys], "reached")

@@ -23,11 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, ngram_hashes, table, written
+from .common import arrow_rows, ngram_hashes, table, word_hashes, written
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 REPEAT_WORDS = 8
+#: Rows of texts in one Arrow batch.
+TEXT_ROWS = 2_000
 #: Function words of the corpus languages; only their share counts.
 FUNCTION_WORDS = (
     "the of and to in a is that for it with as was on be by this are from at "
@@ -81,16 +83,17 @@ def repeated_words(hashes: np.ndarray, n: int = REPEAT_WORDS) -> int:
     return int(np.count_nonzero(np.cumsum(edges[:-1])))
 
 
-def measure(text: str, hashes: WordHashes, tables, function_words: frozenset) -> tuple[tuple[int, ...], list[float | None]]:
+def measure(text: str, tables, function_words: frozenset) -> tuple[tuple[int, ...], list[float | None]]:
     """The base counts of a text and the values the rules look at."""
-    words = text.encode("utf-8", "surrogatepass").split()
+    raw = text.encode("utf-8", "surrogatepass")
+    words = raw.split()
     n = len(words)
     word_chars = len(text) - sum(map(text.count, SPACES))
     symbols = sum(map(text.count, SYMBOLS))
     lines = text.split("\n")
     real = [x for x in lines if x.strip(SPACES)] if len(lines) > 1 else lines
     dup_lines = len(real) - len(set(real))
-    repeats = repeated_words(hashes.of(words)) if n >= REPEAT_WORDS + 1 else 0
+    repeats = repeated_words(word_hashes(raw)) if n >= REPEAT_WORDS + 1 else 0
     if not n:
         return (0, word_chars, symbols, 0, 0), [None] * len(RULES)
     upper, letter = tables
@@ -127,12 +130,12 @@ def vote(values: list[float | None]) -> int:
 
 
 def _measure_batches(batches):
-    hashes, tables = WordHashes(), _class_tables()
+    tables = _class_tables()
     listed = frozenset(w.encode() for w in FUNCTION_WORDS) | frozenset(w.capitalize().encode() for w in FUNCTION_WORDS)
     for batch in batches:
         rows = []
         for text in batch.column(2):
-            base, values = measure(text.as_py() or "", hashes, tables, listed)
+            base, values = measure(text.as_py() or "", tables, listed)
             rows.append((*base, vote(values)))
         cols = list(zip(*rows, strict=True)) if rows else [()] * 6
         arrays = [batch.column(0), batch.column(1), *[pa.array(c, pa.int64()) for c in cols[:5]], pa.array(cols[5], pa.int32())]
@@ -141,14 +144,21 @@ def _measure_batches(batches):
 
 def fit(patterns: list[int], counts: list[int], rounds: int = 200) -> tuple[float, np.ndarray, np.ndarray]:
     """(prior of good, vote probabilities [rule, class, vote], posterior of good
-    per pattern) by expectation-maximisation with weak priors: votes are right
-    more often than wrong, and good documents are the majority."""
+    per pattern) by expectation-maximisation with weak priors: a bad vote is
+    rare on good documents, and good documents are the majority. A rule
+    abstains as often on either class."""
     k = len(RULES)
     votes = (np.array(patterns, np.int64)[:, None] // 3 ** np.arange(k)) % 3
     n = np.array(counts, float)
     #: pseudo-counts [class good/bad, vote abstain/good/bad]
-    pseudo = np.array([[2.0, 8.0, 0.5], [4.0, 4.0, 2.0]])
-    p = np.repeat((pseudo / pseudo.sum(1, keepdims=True))[None], k, 0)
+    pseudo = np.array([[2.0, 20.0, 0.1], [1.0, 7.0, 2.5]])
+
+    def rates(seen: np.ndarray) -> np.ndarray:
+        silent = seen[:, 0].sum() / seen.sum()  # abstaining tells nothing
+        said = seen[:, 1:] / seen[:, 1:].sum(1, keepdims=True)
+        return np.column_stack([[silent, silent], (1 - silent) * said])
+
+    p = np.repeat(rates(pseudo)[None], k, 0)
     prior, post = 0.85, np.zeros(len(n))
     for _ in range(rounds):
         log = np.zeros((len(n), 2))
@@ -161,8 +171,7 @@ def fit(patterns: list[int], counts: list[int], rounds: int = 200) -> tuple[floa
         weight = np.stack([n * post, n * (1 - post)])
         prior = (weight[0].sum() + 17) / (n.sum() + 20)
         for j in range(k):
-            seen = np.stack([[w[votes[:, j] == v].sum() for v in range(3)] for w in weight]) + pseudo
-            p[j] = seen / seen.sum(1, keepdims=True)
+            p[j] = rates(np.stack([[w[votes[:, j] == v].sum() for v in range(3)] for w in weight]) + pseudo)
         if done:
             break
     return prior, p, post
@@ -174,7 +183,8 @@ def judge(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     text_hash = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     measured = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_hash.alias("text_hash"), "text").mapInArrow(_measure_batches, _SCHEMA)
-    measured = written(measured, "quality-votes")
+    with arrow_rows(spark, TEXT_ROWS):
+        measured = written(measured, "quality-votes")
     counted = sorted((r[0], r[1]) for r in measured.groupBy("pattern").count().collect())
     patterns, counts = [x[0] for x in counted], [x[1] for x in counted]
     _, _, post = fit(patterns, counts)
