@@ -13,8 +13,8 @@ document's key is completed by a hash of its id, so copies of one text spread
 over partitions. A task streams its documents and holds one sequence.
 
 Words repeat, so a worker keeps the ids of words it has seen. The tokenizer
-never merges over white space, hence ids of a text are those of its words;
-the cache is emptied when it is full.
+never merges over white space, hence ids of a text are those of its words; the
+cache is bounded.
 
 Nulls: a null text is empty and consists of the end token alone. A null doc_id
 is packed like any other. Rows that repeat a doc_id are packed each for itself.
@@ -23,7 +23,13 @@ Other columns are ignored. An empty table gives an empty table.
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import re
+import sys
+import types
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, table, written
+from .common import arrow_rows, mix64, table, written
 
 LENGTH = 2048
 END = 1
@@ -40,6 +46,8 @@ DIMS, BITS = 4, 10
 HASHED = 4096
 #: Words whose ids a worker keeps.
 CACHE = 400_000
+#: Rows of texts in one Arrow batch.
+TEXT_ROWS = 2_000
 _SCHEMA = "doc_id bigint, hilbert bigint, salt bigint, doc_tokens bigint, ids binary"
 _PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -85,8 +93,26 @@ def curve_point(vector: np.ndarray) -> np.ndarray:
     return np.minimum((squeezed * (1 << BITS)).astype(np.int64), (1 << BITS) - 1)
 
 
+#: ASCII marks but the apostrophe, which contractions use.
+_MARKS = re.escape("".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"))
+_LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"
+_ONE_RUN = re.compile(f"[{_LETTERS}]+").fullmatch
+_PLAIN = re.compile(f"[{_LETTERS}0-9{_MARKS}]+").fullmatch
+_RUNS = re.compile(f"[{_LETTERS}]+|[0-9]|[{_MARKS}]+").findall
+#: Byte-level vocabularies write a byte as one character: printable ones as
+#: themselves, the others as those from 256 on, in order.
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+_BYTE_CHARS = {b: 256 + k for k, b in enumerate(_HIDDEN)}
+
+
 class WordIds(dict):
-    """word (UTF-8) -> its ids as little-endian 16-bit numbers."""
+    """word (UTF-8) -> its ids as 16-bit numbers.
+
+    Words of Latin letters, digits and marks, nearly all, go straight to the
+    merge model: the tokenizer's own normalising and splitting would leave them
+    lower-cased and cut at changes of kind. All others take the whole
+    tokenizer. Half of ``CACHE`` words are kept in each of two generations.
+    """
 
     def __init__(self, path: str):
         super().__init__()
@@ -95,55 +121,80 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-
-    def learn(self, words: set[bytes]) -> None:
-        if len(self) + len(words) > CACHE:
+        self.model, self.older = self.tokenizer.model, {}
+
+    def _compute(self, word: bytes) -> bytes:
+        if word.isalpha() and word.islower():  # ASCII letters
+            return array("H", [t.id for t in self.model.tokenize(word.decode("ascii"))]).tobytes()
+        if word[-1] in b".," and word[-2:-1].isalpha():
+            return self[word[:-1]] + self[word[-1:]]  # a mark after a letter is cut off
+        text = word.decode("utf-8").lower()
+        if _ONE_RUN(text):
+            runs = [text]
+        elif _PLAIN(text) and "<|" not in text:
+            runs = _RUNS(text)
+        else:
+            return array("H", self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids).tobytes()
+        if not text.isascii():
+            runs = [r.encode("utf-8").decode("latin-1").translate(_BYTE_CHARS) for r in runs]
+        return array("H", [t.id for r in runs for t in self.model.tokenize(r)]).tobytes()
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self._compute(word)
+        if len(self) >= CACHE // 2:
+            self.older = dict(self)
             self.clear()
-        new = [w for w in words if w not in self]
-        if not new:
-            return
-        texts = [w.decode("utf-8") for w in new]
-        for a in range(0, len(new), 20_000):
-            part = self.tokenizer.encode(texts[a : a + 20_000], is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(part.ids, "<u2")
-            of = np.array(part.word_ids, np.int64)
-            ends = np.searchsorted(of, np.arange(len(texts[a : a + 20_000])), "right")
-            begin = 0
-            for word, end in zip(new[a : a + 20_000], ends.tolist(), strict=True):
-                self[word] = ids[begin:end].tobytes()
-                begin = end
+        self[word] = ids
+        return ids
 
     def ids(self, words: list[bytes]) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.__getitem__, words)), "<u2")
+        return np.frombuffer(b"".join(map(self.__getitem__, words)), np.uint16)
+
+
+def worker_ids(path: str) -> WordIds:
+    """The cache of this worker process, kept between its tasks."""
+    held = sys.modules.setdefault("_packing_word_ids", types.ModuleType("_packing_word_ids")).__dict__
+    if path not in held:
+        held[path] = WordIds(path)
+    return held[path]
+
+
+def release_ids() -> None:
+    """Frees this worker's cache, for the stages that follow."""
+    if sys.modules.pop("_packing_word_ids", None) is not None:
+        gc.collect()
+        if sys.platform == "linux":
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def _tokenise(path: str):
     end = np.array([END], "<u2")
 
     def run(batches):
-        cache, packer = WordIds(path), zstandard.ZstdCompressor(level=1)
-        rows_of = projection(1 << 16)
+        cache, packer = worker_ids(path), zstandard.ZstdCompressor(level=1)
+        rows_of, ones = projection(1 << 16), np.ones(1 << 16, np.float32)
         for batch in batches:
-            texts = [(t.as_py() or b"").split() for t in batch.column(1).cast(pa.binary())]
-            for a in range(0, len(texts), 500):
-                some = texts[a : a + 500]
-                vocabulary: set[bytes] = set()
-                for words in some:
-                    vocabulary.update(words)
-                cache.learn(vocabulary)
-                sizes, packed, means = [], [], []
-                for words in some:
-                    ids = np.concatenate([cache.ids(words), end])
-                    sizes.append(len(ids))
-                    means.append(rows_of[ids].mean(0))
-                    packed.append(packer.compress(ids.tobytes()))
-                key = hilbert_key(curve_point(np.array(means, float))).astype(np.int64)
-                doc_id = batch.column(0).slice(a, 500)
-                salt = mix64(np.array([i or 0 for i in doc_id.to_pylist()], np.int64).view(np.uint64)).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [doc_id, pa.array(key), pa.array(salt), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())],
-                    names=["doc_id", "hilbert", "salt", "doc_tokens", "ids"],
-                )
+            sizes, packed, means = [], [], []
+            for text in batch.column(1).cast(pa.binary()):
+                raw = text.as_py() or b""
+                # With nothing to compose with and no special token, case can go first.
+                raw = raw.lower() if raw.isascii() and b"<|" not in raw else raw
+                ids = np.concatenate([cache.ids(raw.split()), end])
+                if len(ids) > len(ones):
+                    ones = np.ones(2 * len(ids), np.float32)
+                sizes.append(len(ids))
+                means.append(ones[: len(ids)] @ rows_of[ids] / len(ids))
+                packed.append(packer.compress(ids.tobytes()))
+            if not sizes:
+                continue
+            key = hilbert_key(curve_point(np.array(means, float))).astype(np.int64)
+            salt = mix64(np.array([i or 0 for i in batch.column(0).to_pylist()], np.int64).view(np.uint64)).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(key), pa.array(salt), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())],
+                names=["doc_id", "hilbert", "salt", "doc_tokens", "ids"],
+            )
 
     return run
 
@@ -196,6 +247,7 @@ def _pack(length: int):
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=names)
 
     def run(batches):
+        release_ids()
         # A partition's number is the same when a lost task runs again.
         packer = _Packer(TaskContext.get().partitionId() << 40, length)
         unpack = zstandard.ZstdDecompressor()
@@ -215,7 +267,8 @@ def _pack(length: int):
 def tokenised(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """(doc_id, hilbert, salt, doc_tokens, ids) of every document, written out."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(_tokenise(tokenizer_path), _SCHEMA)
-    return written(rows, "tokens")
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        return written(rows, "tokens")
 
 
 def pack(docs: DataFrame, tokenizer_path: str | None = None, length: int = LENGTH) -> DataFrame:
