@@ -8,8 +8,8 @@ prior pi, losses l and the linear score g, the risk
 is minimised (the clamp keeps the estimated negative risk from going below
 zero; while it is negative, the step goes uphill on that part alone, as the
 non-negative estimator prescribes). Features are the hashed distinct words of a
-text whose share among the toxic texts exceeds that among the unlabelled ones
-by more than chance.
+text, and their beginnings, whose share among the toxic texts exceeds that
+among the unlabelled ones by more than chance; weights are not negative.
 
 Training reads bounded samples: at most ``MOST_POSITIVE`` confirmed toxic
 documents and about ``MOST_UNLABELLED`` unlabelled ones, both by a hash of
@@ -25,6 +25,9 @@ gives an empty table.
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -39,17 +42,40 @@ FOLDS = 5
 #: A word must exceed its expected number of toxic texts by so many standard
 #: deviations to become a feature.
 LEAST_Z = 4.0
+#: Least estimated share of toxic texts among those with a feature.
+LEAST_SHARE = 0.6
+#: Lengths of the beginnings of words that are features too.
+STEMS = (4, 5, 6, 7)
+#: Flips the hash of a feature that occurs at least twice.
+TWICE = 0x5BD1E995
 MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
-def words_of(text: str) -> set[str]:
-    """Distinct lower-cased words without marks around them."""
-    return {w.strip(MARKS) for w in set(text.lower().split())} - {""}
+def word_features(word: str) -> list[int]:
+    """32-bit hashes of a word and of its beginnings, which stand for stems."""
+    parts = [word, *(f"{word[:n]}-" for n in STEMS if len(word) > n)]
+    return [xxhash.xxh32_intdigest(x) for x in parts]
+
+
+def words_of(text: str | None) -> Counter:
+    """How often each lower-cased word occurs, with the marks around it."""
+    return Counter((text or "").lower().split())
+
+
+def size_of(n_words: int) -> float:
+    """The dense feature: in a long text a weak hint is likely by chance."""
+    return math.log1p(n_words) / 4
 
 
 def features(text: str | None) -> np.ndarray:
-    """Sorted 32-bit hashes of the distinct words."""
-    return np.unique(np.array([xxhash.xxh32_intdigest(w) for w in words_of(text or "")], np.uint32))
+    """The number of distinct words, then the sorted distinct feature hashes:
+    of what occurs, and anew of what occurs twice."""
+    words, seen = words_of(text), Counter()
+    for word, n in words.items():
+        if bare := word.strip(MARKS):
+            for h in word_features(bare):
+                seen[h] += n
+    return np.array([len(words), *sorted(set(seen) | {h ^ TWICE for h, n in seen.items() if n > 1})], np.uint32)
 
 
 def _feature_batches(batches):
@@ -81,29 +107,32 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -60, 60)))
 
 
-def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 400) -> tuple[dict[int, float], float]:
-    """(weight by word hash, intercept) by Adam on the non-negative risk with
-    logistic loss and a small ridge."""
+def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 400) -> tuple[dict[int, float], float, float]:
+    """(weight by feature hash, weight of the size, intercept) by Adam on the
+    non-negative risk with logistic loss and a small ridge."""
     if not positive or not unlabelled:
-        return {}, -60.0
+        return {}, 0.0, -60.0
+    size_p, size_u = (np.array([size_of(int(s[0])) for s in sets]) for sets in (positive, unlabelled))
+    positive, unlabelled = [s[1:] for s in positive], [s[1:] for s in unlabelled]
     vocabulary, n_p = np.unique(np.concatenate([*positive, np.empty(0, np.uint32)]), return_counts=True)
     share_u = (_shares(unlabelled, vocabulary) + 0.5) / (len(unlabelled) + 1)
     expected = len(positive) * share_u
-    chosen = (n_p - expected) / np.sqrt(expected + 1) > LEAST_Z
+    # Of texts with a feature, n_p / expected * prior are toxic.
+    chosen = ((n_p - expected) / np.sqrt(expected + 1) > LEAST_Z) & (n_p * prior > LEAST_SHARE * expected)
     if not chosen.any():
         z = (n_p - expected) / np.sqrt(expected + 1)
         chosen = z >= np.sort(z)[-min(20, len(z)) :][0] if len(z) else chosen
     vocabulary = vocabulary[chosen]
     if not len(vocabulary):
-        return {}, float(np.log(prior / (1 - prior)))
+        return {}, 0.0, float(np.log(prior / (1 - prior)))
     (rp, cp), (ru, cu) = _rows(positive, vocabulary), _rows(unlabelled, vocabulary)
     k, n_pos, n_unl = len(vocabulary), len(positive), len(unlabelled)
-    w, first, second = np.zeros(k + 1), np.zeros(k + 1), np.zeros(k + 1)
-    w[:k] = np.log((n_p[chosen] + 0.5) / (len(positive) + 1) / share_u[chosen])
+    w, first, second = np.zeros(k + 2), np.zeros(k + 2), np.zeros(k + 2)
+    w[:k] = 0.1
     w[k] = -2.0
     for step in range(1, steps + 1):
-        gp = np.bincount(rp, w[cp], n_pos) + w[k]
-        gu = np.bincount(ru, w[cu], n_unl) + w[k]
+        gp = np.bincount(rp, w[cp], n_pos) + w[k] + w[k + 1] * size_p
+        gu = np.bincount(ru, w[cu], n_unl) + w[k] + w[k + 1] * size_u
         # Slopes of log(1 + exp(-g)) and log(1 + exp(g)).
         up, down_p, down_u = -_sigmoid(-gp), _sigmoid(gp), _sigmoid(gu)
         negative = np.mean(np.logaddexp(0, gu)) - prior * np.mean(np.logaddexp(0, gp))
@@ -112,30 +141,33 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
             d_p = d_p + prior * up / n_pos
         else:
             d_p, d_u = -d_p, -d_u
-        grad = np.append(np.bincount(cp, d_p[rp], k) + np.bincount(cu, d_u[ru], k), d_p.sum() + d_u.sum())
+        grad = np.append(np.bincount(cp, d_p[rp], k) + np.bincount(cu, d_u[ru], k), [d_p.sum() + d_u.sum(), d_p @ size_p + d_u @ size_u])
         grad[:k] += 1e-4 * w[:k]
         first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad**2
         w = w - 0.05 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return {int(h): float(x) for h, x in zip(vocabulary, w[:k], strict=True)}, float(w[k])
+        w[:k] = np.maximum(w[:k], 0.0)
+    return {int(h): float(x) for h, x in zip(vocabulary, w[:k], strict=True)}, float(w[k + 1]), float(w[k])
 
 
-def _score_batches(weights: dict[int, float], intercept: float):
+def _score_batches(weights: dict[int, float], size_weight: float, intercept: float):
     def run(batches):
-        # word as written -> hash of a weighted word, else 0; emptied when large.
-        known: dict[str, int] = {}
+        # word as written -> its features that matter; emptied when large.
+        known: dict[str, tuple[int, ...]] = {}
         for batch in batches:
             g = []
             for text in batch.column(1):
-                hits = set()
-                for word in set((text.as_py() or "").lower().split()):
-                    h = known.get(word)
-                    if h is None:
-                        h = xxhash.xxh32_intdigest(word.strip(MARKS))
-                        h = known[word] = h if h in weights else 0
-                    if h:
-                        hits.add(h)
-                g.append(intercept + sum(weights[h] for h in sorted(hits)))
-                if len(known) > 500_000:
+                seen: dict[int, int] = {}
+                words = words_of(text.as_py())
+                for word, n in words.items():
+                    found = known.get(word)
+                    if found is None:
+                        bare = word.strip(MARKS)
+                        found = known[word] = tuple(h for h in word_features(bare) if h in weights or h ^ TWICE in weights) if bare else ()
+                    for h in found:
+                        seen[h] = seen.get(h, 0) + n
+                hits = sorted(set(seen) | {h ^ TWICE for h, n in seen.items() if n > 1})
+                g.append(intercept + size_weight * size_of(len(words)) + sum(weights.get(h, 0.0) for h in hits))
+                if len(known) > 300_000:
                     known.clear()
             p = _sigmoid(np.array(g, float))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])
@@ -143,13 +175,13 @@ def _score_batches(weights: dict[int, float], intercept: float):
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[int, float], float]:
-    """Weights and intercept from the labels' training folds and the texts."""
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[int, float], float, float]:
+    """Weights, weight of the size, and intercept from the labels' training folds and the texts."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (fold(F.col("doc_id")) != 0))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n, toxic = known.agg(F.count(F.lit(1)), F.sum((F.col("toxic") == 1).cast("int"))).first()
     if not toxic:
-        return {}, -60.0
+        return {}, 0.0, -60.0
     prior = min(max(toxic / n, 1e-4), 0.9)
     by_hash = F.xxhash64(F.lit("sample"), F.col("doc_id"))
     confirmed = known.where(F.col("toxic") == 1).orderBy(by_hash).limit(MOST_POSITIVE).select("doc_id")
@@ -162,15 +194,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[int, float], float]:
     return train(*(sorted(s, key=lambda x: x.tobytes()) for s in sets), prior)
 
 
-def score(docs: DataFrame, weights: dict[int, float], intercept: float) -> DataFrame:
+def score(docs: DataFrame, weights: dict[int, float], size_weight: float, intercept: float) -> DataFrame:
     """(doc_id, score, predicted) of every document."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(_score_batches(weights, intercept), "doc_id bigint, score double, predicted int")
+    return rows.mapInArrow(_score_batches(weights, size_weight, intercept), "doc_id bigint, score double, predicted int")
 
 
 def op8_toxicity(spark, sf_dir: str) -> DataFrame:
     """Per document: whether it is held out, its toxicity, the predicted label."""
     docs = table(spark, sf_dir, "documents")
-    weights, intercept = fit(docs, table(spark, sf_dir, "labels"))
+    model = fit(docs, table(spark, sf_dir, "labels"))
     held = F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False))
-    return score(docs, weights, intercept).select("doc_id", held.alias("held_out"), "score", "predicted")
+    return score(docs, *model).select("doc_id", held.alias("held_out"), "score", "predicted")
