@@ -24,8 +24,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that an earlier document holds are cut from the texts."""
-    out = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs))
-    return out.withColumn("text", F.col("kept")).withColumn("n_chars", F.char_length("kept").cast("bigint")).select(*docs.columns)
+    out = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs), ("_lines", "_dropped", "_kept"))
+    return out.withColumn("text", F.col("_kept")).withColumn("n_chars", F.char_length("_kept").cast("bigint")).select(*docs.columns)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,10 +37,10 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     plan = mixing.mix(docs).where(F.col("copies") > 0).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h"), "copies")
-    plan = plan.groupBy("_id", "_h").agg((F.sum("copies") / F.count(F.lit(1))).cast("int").alias("copies"))
+    plan = plan.groupBy("_id", "_h").agg((F.sum("copies") / F.count(F.lit(1))).cast("int").alias("_copies"))
     own = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     joined = docs.join(plan, F.col("doc_id").eqNullSafe(F.col("_id")) & (own == F.col("_h")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

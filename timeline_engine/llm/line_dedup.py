@@ -86,9 +86,9 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     )
 
 
-def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """The documents with ``n_lines``, ``n_dropped`` and ``kept`` (the text of
-    the kept lines) added; all other columns stay."""
+def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, names: tuple[str, str, str] = ("n_lines", "n_dropped", "kept")) -> DataFrame:
+    """The documents with three columns added, or replaced: the number of lines,
+    of dropped lines, and the text of the kept ones."""
     d, b = docs.withColumn("_h", _text_hash(F.col("text"))).alias("d"), bitmaps.alias("b")
     joined = d.join(b, F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("d._h") == F.col("b.text_hash")), "left")
     lines = _lines(F.col("d.text"))
@@ -100,10 +100,10 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
 
     kept = F.when(F.col("b.keep").isNull(), F.coalesce(F.col("d.text"), F.lit(""))).otherwise(F.array_join(F.filter(lines, stays), "\n"))
     return joined.select(
-        *[F.col(f"d.`{c}`") for c in docs.columns],
-        F.size(lines).cast("long").alias("n_lines"),
-        F.coalesce(F.col("b.n_dropped"), F.lit(0)).cast("long").alias("n_dropped"),
-        kept.alias("kept"),
+        *[F.col(f"d.`{c}`") for c in docs.columns if c not in names],
+        F.size(lines).cast("long").alias(names[0]),
+        F.coalesce(F.col("b.n_dropped"), F.lit(0)).cast("long").alias(names[1]),
+        kept.alias(names[2]),
     )
 
 

@@ -78,10 +78,11 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     few = r.count() <= BROADCAST_RULES
     met = expressions.join(F.broadcast(r) if few else r, "short").where(F.col("digest") == F.col("rule_digest"))
     best = met.groupBy("url").agg(F.max(F.struct(F.char_length("rule").alias("length"), "rule", "verdict")).alias("best"))
-    best = best.select(F.col("url").alias("_url"), F.col("best.rule").alias("rule"), F.col("best.verdict").alias("verdict"))
+    best = best.select(F.col("url").alias("_judged"), F.col("best.rule").alias("_rule"), F.col("best.verdict").alias("_verdict"))
     host, path = split_url(F.col("url"))
-    out = pages.join(best, F.col("url") == F.col("_url"), "left")
-    return out.select(*[F.col(f"`{c}`") for c in own], host.alias("host"), path.alias("path"), "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
+    out = pages.select(*own).join(best, F.col("url") == F.col("_judged"), "left")
+    verdict = F.coalesce("_verdict", F.lit(default)).alias("verdict")
+    return out.select(*[F.col(f"`{c}`") for c in own], host.alias("host"), path.alias("path"), F.col("_rule").alias("rule"), verdict)
 
 
 def op3_url_filter(spark, sf_dir: str) -> DataFrame:
