@@ -1,0 +1,147 @@
+"""Pixel kernels on drawn crops."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F  # noqa: F401
+
+from timeline_engine.functions import frames as P
+
+
+def drawn(text, on=255, off=0):
+    rows = text.split()
+    return np.array([[on if c == "#" else off for c in r] for r in rows], np.uint8)
+
+
+def colour(h, w, bgr):
+    return np.tile(np.array(bgr, np.uint8), (h, w, 1))
+
+
+def test_colour_spaces():
+    assert P.grey(colour(1, 1, (255, 255, 255)))[0, 0] == 255 and P.grey(colour(1, 1, (0, 0, 255)))[0, 0] == 76
+    h, s, v = P.hsv(np.stack([colour(1, 1, c)[0] for c in ((0, 0, 255), (0, 255, 0), (255, 0, 0), (9, 9, 9), (0, 0, 0))]))
+    assert h.ravel().tolist() == [0, 60, 120, 0, 0] and s.ravel().tolist() == [255, 255, 255, 0, 0] and v.ravel().tolist() == [255, 255, 255, 9, 0]
+    assert P.orange(colour(1, 1, (0, 128, 255))).all() and not P.orange(colour(1, 1, (255, 128, 0))).any()
+    assert P.feed_ink(colour(1, 1, (230, 230, 230))).all() and P.feed_ink(colour(1, 1, (200, 30, 200))).all() and not P.feed_ink(colour(1, 1, (90, 30, 30))).any()
+
+
+def test_both_polarities_give_one_mask():
+    shape = np.zeros((16, 60), bool)
+    shape[3:13, 5:9] = shape[3:6, 9:20] = shape[8:13, 30:40] = True
+    dark, bright = np.where(shape, 250, 35).astype(np.uint8), np.where(shape, 35, 250).astype(np.uint8)
+    for ink in (P.bar_ink, P.panel_ink):
+        a, b = ink(dark), ink(bright)
+        assert (a.inverted, b.inverted) == (False, True)
+        assert (a.of(dark) == shape).all() and (b.of(bright) == shape).all()
+
+
+def test_tokens():
+    mask = np.zeros((20, 80), bool)
+    mask[:, 2] = True  # a divider of one column
+    mask[2:4, 2] = False
+    mask[3:18, 12:20] = mask[3:18, 24:30] = mask[3:18, 50:60] = True
+    assert P.token_spans(mask, least=21).tolist() == [[12, 30], [50, 60]] and P.trimmed(mask[:, 5:]).shape == (20, 48)
+    two = np.ones((10, 20), bool)
+    two[1:, 10] = False
+    assert P.cell_glyphs(two) == [(0, 10), (10, 20)]
+    digit = np.ones((18, 9), bool)
+    colon = np.zeros((18, 4), bool)
+    colon[4:7] = colon[10:13] = True
+    gap = np.zeros((18, 3), bool)
+    clock = np.hstack([digit, gap, colon, gap, digit, gap, digit])
+    assert len(P.clock_tokens(clock, 18)) == 4 and P.number_tokens(clock, 18) is None and P.clock_tokens(np.hstack([digit, gap, digit, gap, digit]), 18) is None
+    assert len(P.number_tokens(np.hstack([digit, gap, digit]), 18)) == 2 and P.number_tokens(gap, 18) is None
+    assert len(P.tenths_tokens(clock)) == 3 and P.tenths_tokens(None) is None and P.tenths_tokens(digit) is None
+
+
+def test_clock_colour():
+    band = colour(20, 60, (30, 30, 30))
+    assert P.redness(band) is None and P.ramp_ink(band) is None
+    band[5:15, 10:30] = (40, 40, 140)
+    assert P.redness(band) == 100.0 and P.ramp_ink(band).sum() == 200
+    band[5:15, 10:30] = (200, 200, 190)
+    assert P.redness(band) == -10.0
+
+
+def test_pips():
+    def band(levels):
+        out = np.full((8, 70), 20, np.uint8)
+        for k, level in enumerate(levels):
+            out[:, 3 + 16 * k : 15 + 16 * k] = level
+        return out
+
+    assert P.pips(band([170, 170, 64, 64]), inner_right=False) == (2, 4) and P.pips(band([64, 64, 64, 170]), inner_right=True) == (1, 4)
+    assert P.pips(band([64, 170, 64, 64]), inner_right=False) is None and P.pips(band([]), inner_right=False) is None
+
+
+def table(pitch=40, rows=8):
+    out = np.zeros((700, 1920), np.uint8)
+    for k in range(rows):
+        y = 100 + k * pitch + (60 if k >= 4 else 0)
+        for x in (300, 700, 1000, 1500):
+            out[y : y + 20, x : x + 60] = 255
+    out[20:60, 400:600] = 255
+    return out
+
+
+def test_table_grid():
+    found = P.table_grid(table())
+    assert found.row_height == 20 and len(found.tops) == 8 and found.columns == [(300, 360), (700, 760), (1000, 1060), (1500, 1560)]
+    assert P.table_grid(table(rows=7)) is None
+    odd = table()
+    odd[139] = odd[140]
+    assert P.table_grid(odd) is None
+    assert P.text_lines(table()[:70]).tolist() == [[20, 60]]
+
+
+def test_name_rows_and_blocks():
+    crop = np.full((150, 200), 60, np.uint8)
+    for k in range(4):
+        crop[10 + 32 * k : 26 + 32 * k, 20:60] = 200
+    assert P.name_rows(crop) == (4, [32, 32, 32], True) and P.name_rows(crop[:100])[2] is False
+    pic = colour(120, 400, (0, 0, 0))
+    pic[20:60, 30:180] = (0, 128, 255)
+    pic[35:45, 60:120] = (255, 255, 255)
+    pic[80:84, 200:390] = (0, 128, 255)
+    (text,) = P.tag_texts(pic)
+    assert text.shape == (24, 134) and text.sum() == 600
+    ring = drawn("##### #...# #.#.# #...# #####") > 0
+    assert len(set(P.components(ring).ravel().tolist())) == 3 and len(set(P.components(drawn("#.. .#. ..#") > 0).ravel().tolist())) == 2
+
+
+def test_feed_rows():
+    def row(*parts):
+        mask, x = np.zeros((14, 400), bool), 5
+        for width, gap in parts:
+            mask[:, x : x + width] = True
+            x += width + gap
+        return mask
+
+    found = P.feed_row(row((40, 10), (48, 10), (50, 60), (30, 0)))
+    assert found.signature == (40, 48, 50) and found.medal is None
+    assert P.feed_row(row((40, 10), (48, 8), (14, 8), (30, 0))).medal is not None
+    assert P.feed_row(row((40, 10), (30, 10), (50, 0))) is None and P.feed_row(row((40, 60), (48, 10), (50, 0))) is None and P.feed_row(row((20, 3), (17, 10), (48, 9), (50, 0))).signature == (40, 48, 50)
+
+
+def test_panel_and_gutter():
+    flat = np.full((14, 290), 90, np.uint8)
+    assert P.is_drawn(flat) and not P.is_drawn(np.random.default_rng(1).integers(0, 255, (14, 290)).astype(np.uint8))
+    cell = colour(20, 20, (120, 60, 30))
+    assert not P.icon_ink(cell).any()
+    cell[5:15, 6:14] = (255, 255, 255)
+    icon = P.icon_ink(cell)
+    assert icon.sum() == 80 and P.gutter_kind(icon, np.ones((10, 8), bool)) == "skull" and P.gutter_kind(icon, np.eye(10, 8) > 0) == "objective" and P.gutter_kind(icon & False, icon) == "none"
+
+
+def test_crop_udf(spark):
+    rows = [((8, 4, 1, bytes([20] * 32)),), ((2, 2, 3, bytes(12)),), (None,)]
+    df = spark.createDataFrame(rows, "crop struct<h:int,w:int,c:int,pixels:binary>")
+    assert [r[0] for r in df.select(P.crop_udf(P.flatness, "double")("crop")).collect()] == [0.0, 0.0, None]
+    both = P.crop_udf(lambda a: {"h": a.shape[0], "flat": P.is_drawn(a)}, "h int, flat boolean")
+    assert [tuple(r) for r in df.select(both("crop").alias("r")).select("r.*").collect()][:2] == [(8, True), (2, True)]
+
+
+@pytest.mark.parametrize("kernel", [P.redness, P.tag_texts, lambda a: P.pips(a, True), lambda a: P.feed_row(P.value_ink(a))])
+def test_noise_does_not_raise(kernel):
+    rng = np.random.default_rng(2)
+    for _ in range(5):
+        kernel(rng.integers(0, 255, (24, 90, 3)).astype(np.uint8))
