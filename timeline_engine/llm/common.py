@@ -25,6 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the file system that Spark takes it for."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    full = system.makeQualified(where).toString()
+    return "file://" + full.removeprefix("file:") if full.startswith("file:/") and not full.startswith("file://") else full
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
@@ -34,7 +42,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
-        return named.rstrip("/")
+        return _qualified(spark, named.rstrip("/"))
     if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
     if "dir" not in _LOCAL_DIR:
@@ -47,11 +55,19 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Marks an existing path for deletion when the driver's JVM ends."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: lineage ends there, lost
     executors cost a reread, and the planner knows the table's real size."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
+    delete_at_end(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_path, table, written
+from .common import delete_at_end, fresh_path, table, written
 
 MAGIC = 0x184D2A5D
 LEAST_PAYLOAD = 100
@@ -208,6 +208,7 @@ def op7_warc(spark, sf_dir: str) -> DataFrame:
     names = write_archives(table(spark, sf_dir, "pages"), folder)
     if names.isEmpty():
         return spark.createDataFrame([], _RECORD).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    delete_at_end(spark, folder)
     return read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
