@@ -8,14 +8,19 @@ bounds the symmetric difference from below. Sets of sizes a and b with Jaccard
 similarity >= 3/4 differ in at most d = a + b - 2 * ceil(3 (a + b) / 7)
 shingles, hence agree in at least m - d chunks. If both keep their d + 1
 foremost chunks in one common order, they share one of them (pigeonhole). The
-order puts chunks of several shingles first, since these are rare; chunks with
-one shingle follow, empty ones come last. A set also emits its chunks in the
-band below if a partner may lie there.
-
-Chunk keys travel as packed arrays, one blob per hash bucket and Arrow batch,
-and are sorted in numpy. Equal keys form a run of texts (equal sets count once
-in a run). Candidates are filtered by size and by the Hamming distance of a
-256-bit parity sketch, then verified on whole sets.
+order puts chunks of several shingles first, then those of one, then frequent
+chunks (as passages shared by many texts make them), and empty ones last. A set
+also emits its chunks in the band below if a partner may lie there.
+
+Two scans of the texts: the first counts the chunk keys of all documents and
+yields the frequent ones, the second emits each set's foremost keys. Keys
+travel as packed arrays, one blob per hash bucket and Arrow batch, and are
+sorted in numpy. The list of frequent keys has at most ``MOST_FREQUENT``
+entries (the threshold rises if need be), so it can be broadcast; it only sets
+an order, and any list gives the same links. Equal keys form a run of texts
+(equal sets count once in a run). Candidates are filtered by size and by the
+Hamming distance of a bit sketch (the parity of the shingles hashed to each
+bit, four to eight bits a shingle), then verified on whole sets.
 
 Links are only needed for classes. First each run is compared with its least
 and greatest member; components of these links are formed; then, inside runs,
@@ -39,7 +44,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, fresh_path, mix64, ngram_hashes, table, word_hashes, written
+from .common import arrow_rows, delete_at_end, fresh_path, mix64, ngram_hashes, table, word_hashes, written
 from .components import components
 
 N_WORDS = 5
@@ -125,9 +130,9 @@ def chunk_places(s: np.ndarray, n_buckets: int, frequent: np.ndarray | None) ->
 
 
 def parity_sketch(s: np.ndarray) -> bytes:
-    """Bits, each the parity of the shingles hashed to it: 256 to 32,768, about
-    two a shingle."""
-    n_bits = 1 << min(max(len(s).bit_length() + 1, 8), 15)
+    """Bits, each the parity of the shingles hashed to it: 256 to 65,536, four
+    to eight a shingle."""
+    n_bits = 1 << min(max(len(s).bit_length() + 2, 8), 16)
     odd = np.bincount((s & np.uint64(n_bits - 1)).astype(np.intp), minlength=n_bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -419,6 +424,7 @@ def _jaccard_components(docs: DataFrame) -> DataFrame:
     # Written once: sets and runs both come from this table.
     path = fresh_path(spark, "sets-and-runs")
     scanned.groupBy("bucket").applyInArrow(_runs, _ROW).write.parquet(path)
+    delete_at_end(spark, path)
     both = spark.read.schema(_ROW).parquet(path)
     sets = both.where(F.col("blob").isNull()).select(*_SET)
     runs = both.where(F.col("blob").isNotNull()).select("blob").distinct().withColumn("run", F.xxhash64("blob"))
