@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F  # noqa: F401
 
 from timeline_engine.functions import frames as P
 
