@@ -67,20 +67,28 @@ def size_of(n_words: int) -> float:
     return math.log1p(n_words) / 4
 
 
-def features(text: str | None) -> np.ndarray:
+def features(text: str | None, known: dict[str, tuple[int, ...]] | None = None) -> np.ndarray:
     """The number of distinct words, then the sorted distinct feature hashes:
-    of what occurs, and anew of what occurs twice."""
-    words, seen = words_of(text), Counter()
+    of what occurs, and anew of what occurs twice. ``known`` keeps the features
+    of words from call to call."""
+    known = {} if known is None else known
+    words, seen = words_of(text), {}
     for word, n in words.items():
-        if bare := word.strip(MARKS):
-            for h in word_features(bare):
-                seen[h] += n
+        found = known.get(word)
+        if found is None:
+            bare = word.strip(MARKS)
+            found = known[word] = tuple(word_features(bare)) if bare else ()
+        for h in found:
+            seen[h] = seen.get(h, 0) + n
+    if len(known) > 200_000:
+        known.clear()
     return np.array([len(words), *sorted(set(seen) | {h ^ TWICE for h, n in seen.items() if n > 1})], np.uint32)
 
 
 def _feature_batches(batches):
+    known: dict[str, tuple[int, ...]] = {}
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array([features(t.as_py()).tobytes() for t in batch.column(0)], pa.binary())], names=["f"])
+        yield pa.RecordBatch.from_arrays([pa.array([features(t.as_py(), known).tobytes() for t in batch.column(0)], pa.binary())], names=["f"])
 
 
 def fold(doc_id):
