@@ -92,6 +92,47 @@ def overlapping(a: DataFrame, b: DataFrame, keys: Sequence[str], how: str = "lef
     return hit if how == "left_semi" else a.join(hit.select(*keys, "start_t", "end_t"), [*keys, "start_t", "end_t"], "left_anti")
 
 
+def overlapping_others(a: DataFrame, b: DataFrame, who: str, width: float = 3600.0) -> DataFrame:
+    """Spans of ``a`` that share an instant (ends included) with a span of ``b``
+    of another ``who``. Null instants and a null ``who`` meet nothing.
+
+    Time is the only key, so pairs would grow with the square of a busy hour.
+    Instead: a span is met if, of the others' spans begun by its end, the latest
+    end is not before its start. The two latest ends of different ``who`` answer
+    that for every ``who``; they are carried along the bins of ``width`` (at most
+    three rows a bin in one task) and then along the rows inside each bin.
+    """
+    known = F.col(who).isNotNull() & F.col("start_t").isNotNull() & F.col("end_t").isNotNull()
+    place = lambda t: F.floor(F.col(t) / width).alias("_bin")
+    begun = b.where(known).select(place("start_t"), F.col("start_t").alias("_t"), F.struct(F.col("end_t").alias("end"), F.col(who).alias("who")).alias("_span"))
+    asked = a.where(known).select(place("end_t"), F.col("end_t").alias("_t"), F.struct(*[F.col(c) for c in a.columns]).alias("_row"))
+
+    def with_second(df: DataFrame, w) -> DataFrame:
+        """Adds _second: its running maximum is the latest span that is not of
+        the ``who`` of the running maximum of _span."""
+        before = F.max("_span").over(w.rowsBetween(Window.unboundedPreceding, -1))
+        df = df.withColumn("_before", before)
+        return df.withColumn("_second", F.when(F.col("_span.who") != F.col("_before.who"), F.least("_span", "_before"))).drop("_before")
+
+    latest = begun.groupBy("_bin", F.col("_span.who").alias("_who")).agg(F.max("_span").alias("_span"))
+    rank = F.row_number().over(Window.partitionBy("_bin").orderBy(F.col("_span").desc()))
+    latest = latest.withColumn("_rank", rank).where(F.col("_rank") <= 2).select("_bin", "_span")
+    bins = begun.select("_bin").union(asked.select("_bin")).distinct()
+    w = Window.orderBy("_bin")
+    carried = with_second(bins.unionByName(latest, allowMissingColumns=True), w)
+    earlier = w.rangeBetween(Window.unboundedPreceding, -1)
+    pair = F.array(F.max("_span").over(earlier), F.max("_second").over(earlier))
+    carried = carried.withColumn("_pair", pair).where(F.col("_span").isNull()).select("_bin", F.explode("_pair").alias("_span")).where(F.col("_span").isNotNull())
+    carried = carried.withColumn("_t", F.lit(float("-inf")))
+
+    both = begun.unionByName(carried).unionByName(asked, allowMissingColumns=True)
+    w = Window.partitionBy("_bin").orderBy(F.col("_t"), F.col("_row").isNotNull())
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = with_second(both, w).withColumns({"_span": F.max("_span").over(running), "_second": F.max("_second").over(running)}).where(F.col("_row").isNotNull())
+    end = F.when(F.col("_span.who") == F.col(f"_row.{who}"), F.col("_second.end")).otherwise(F.col("_span.end"))
+    return met.where(end >= F.col("_row.start_t")).select("_row.*")
+
+
 def pair_series(left: DataFrame, right: DataFrame, keys: Sequence[str], value: str, spans: DataFrame | None = None) -> DataFrame:
     """Runs of the pair (left value, right value), at every start of either.
 

@@ -62,13 +62,10 @@ def pair_series(spark, sf_dir):
 
 
 def interval_overlap_semi(spark, sf_dir):
-    """View runs during which some other user's click run of the same start day
-    was open."""
-    day = F.floor(F.col("start_t") / DAY).cast("bigint").alias("day")
-    r = _runs(spark, sf_dir).select("user_id", day, "event_type", "start_t", "end_t")
-    a = r.where((F.col("event_type") == "view") & (F.col("user_id") % 2 == 0))
-    b = r.where((F.col("event_type") == "click") & (F.col("user_id") % 2 == 1) & (F.col("end_t") > F.col("start_t")))
-    return J.overlapping(a, b, ["day"], width=HOUR).select("user_id", "start_t", "end_t")
+    """View runs during which some other user's click run was open."""
+    r = _runs(spark, sf_dir).select("user_id", "event_type", "start_t", "end_t")
+    a, b = (r.where(F.col("event_type") == k) for k in ("view", "click"))
+    return J.overlapping_others(a, b, "user_id", HOUR).select("user_id", "start_t", "end_t")
 
 
 def survived_anti(spark, sf_dir):
