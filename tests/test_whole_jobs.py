@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 from timeline_engine import catalog
+from timeline_engine.operators import sequences as S
 from timeline_engine.operators import temporal_joins as J
 from timeline_engine.plans.inputs import RUNS
 
@@ -46,3 +47,28 @@ def test_overlapping_others(spark, seed):
     x, y = (spark.createDataFrame(s, "who int, start_t double, end_t double") for s in (a, b))
     assert 0 < len(want) < len(a)
     assert rows(J.overlapping_others(x, y, "who", 10.0)) == want
+
+
+SUCCESSORS = """WITH s AS (SELECT vec_id, label, lead(label) OVER (ORDER BY vec_id) AS next FROM embeddings),
+c AS (SELECT label, next, count(*)::BIGINT AS weight, min(vec_id) AS seen FROM s WHERE next IS NOT NULL GROUP BY 1, 2),
+k AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY weight DESC, seen) AS rn FROM c) SELECT label, next, weight FROM k WHERE rn = 1"""
+
+
+def test_successors_across_blocks(spark):
+    assert rows(catalog.QUERIES["modal_successor"](spark, DIR)) == whole("embeddings", SUCCESSORS)
+
+
+def test_successors_of_ids_far_apart(spark, tmp_path):
+    found = [(k * 150, k % 3) for k in range(30)]
+    spark.createDataFrame(found, "vec_id bigint, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert rows(catalog.QUERIES["modal_successor"](spark, str(tmp_path))) == [(0, 1, 10), (1, 2, 10), (2, 0, 9)]
+
+
+@pytest.mark.parametrize("per_block", [1, 3, 1000])
+def test_with_next_passes_empty_blocks(spark, per_block):
+    ids = sorted({*range(20), 500, 501, 10**6, -(10**9), 2**40})
+    df = spark.createDataFrame([(i, str(i)) for i in ids], "i bigint, s string")
+    want = sorted((i, str(i), str(j)) for i, j in zip(ids, ids[1:]))
+    got = S.with_next(df, "i", ["s"], per_block).collect()
+    assert sorted(tuple(r) for r in got if r[2] is not None) == want and len(got) == len(ids)
+    assert S.with_next(df.limit(0), "i", ["s"]).count() == 0

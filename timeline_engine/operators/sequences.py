@@ -19,6 +19,24 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], colu
     return df.withColumns({f"prev_{c}": F.lag(c).over(w) for c in columns})
 
 
+def with_next(df: DataFrame, order: str, columns: Sequence[str], per_block: int = 4_000, most_blocks: int = 20_000) -> DataFrame:
+    """Adds next_<column> of the next row of the whole table by ``order``, a
+    number. The table is cut into blocks of equal ranges of ``order``; the first
+    row of each block (at most ``most_blocks`` rows in one task) is handed to the
+    last block before it that has rows, so every adjacent pair is met."""
+    low, high, n = df.agg(F.min(order), F.max(order), F.count(order)).first()
+    blocks = max(1, min(most_blocks, n // per_block))
+    width = max((float(high) - float(low)) / blocks, 1e-9) if n else 1.0
+    placed = df.withColumn("_block", F.floor((F.col(order).cast("double") - F.lit(float(low or 0))) / width))
+    item = F.struct(order, *[F.col(c) for c in columns if c != order])
+    heads = placed.where(F.col(order).isNotNull()).groupBy("_block").agg(F.min_by(item, order).alias("_item"))
+    before = F.lag("_block").over(Window.orderBy("_block"))
+    handed = heads.withColumn("_block", before).where(F.col("_block").isNotNull()).select("_block", "_item.*", F.lit(True).alias("_handed"))
+    w = Window.partitionBy("_block").orderBy(F.col(order).asc_nulls_last(), F.col("_handed").asc_nulls_first())
+    both = placed.unionByName(handed, allowMissingColumns=True).withColumns({f"next_{c}": F.lead(c).over(w) for c in columns})
+    return both.where(F.col("_handed").isNull()).drop("_block", "_handed")
+
+
 def changes(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], when: Column, skip_null: str | None = None) -> DataFrame:
     """Rows at which ``when``, over columns and their prev_ forms, holds."""
     return with_previous(df, keys, order, columns, skip_null).where(when)

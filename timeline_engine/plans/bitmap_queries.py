@@ -3,11 +3,11 @@ label as the class."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.bitmaps import bit_distance, normalised_bit_distance, sign_bits
 from ..operators import aggregates as A
+from ..operators import sequences as S
 from .inputs import read
 
 N_LABELS = 10
@@ -91,9 +91,8 @@ def medoid_neighbours(spark, sf_dir):
 
 def modal_successor(spark, sf_dir):
     """The label that most often follows each label, by vec_id."""
-    w = Window.partitionBy(F.floor(F.col("vec_id") / 100)).orderBy("vec_id")
-    e = read(spark, sf_dir, "embeddings").withColumn("next", F.lead("label").over(w)).withColumn("at", F.col("vec_id"))
-    out = A.weighted_mode(e, ["label"], "next", F.lit(1), F.col("at"))
+    e = S.with_next(read(spark, sf_dir, "embeddings").select("vec_id", "label"), "vec_id", ["label"]).withColumn("at", F.col("vec_id"))
+    out = A.weighted_mode(e.withColumnRenamed("next_label", "next"), ["label"], "next", F.lit(1), F.col("at"))
     return out.select("label", "next", F.col("weight").cast("bigint").alias("weight"))
 
 
