@@ -16,7 +16,9 @@ vocabulary. Training takes a few seconds on the driver and is deterministic;
 the weights (a few hundred numbers) travel with the task.
 
 Nulls: a null or empty page has an empty text. Broken markup is read leniently:
-unmatched end tags are ignored, open elements end with the page. Repeated rows
+unmatched end tags are ignored, open elements end with their parent or with the
+page. Text in math, svg, object, noscript, canvas, audio and video (formulas,
+fallbacks) is text of its block like any other. Repeated rows
 give repeated rows, an empty table an empty table; other columns are ignored.
 """
 
@@ -41,8 +43,9 @@ BLOCK_TAGS = frozenset(
     "th thead title tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose inside is never text of the page.
-RAW_TAGS = frozenset("script style noscript template iframe textarea svg math object canvas audio video".split())
+#: Elements whose inside is never text of the page; one without an end tag
+#: reaches to the end of the page, by HTML's rule.
+RAW_TAGS = frozenset("script style template iframe textarea".split())
 #: start tag -> open elements that it ends, and those that hide them.
 _ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -52,8 +55,9 @@ _ENDS = {
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
+    "title": (frozenset(), frozenset()),  # in svg it stands inside a paragraph
 }
-_P_KEEPERS = frozenset("button td th table body html object".split())
+_P_KEEPERS = frozenset("button td th table body html object foreignobject".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME = re.compile(r"[a-z]+")
@@ -150,7 +154,7 @@ def blocks(page: str) -> list[Block]:
                     break
             continue
         if tag in RAW_TAGS:
-            if not m[3].endswith("/") or tag in ("script", "style", "textarea", "iframe"):
+            if not m[3].endswith("/") or tag != "template":
                 close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(page, at)
                 at = close.end() if close else n
             continue
