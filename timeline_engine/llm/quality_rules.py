@@ -18,6 +18,8 @@ doc_id are judged each by its own text. An empty table gives an empty table
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -56,10 +58,13 @@ RULES = (
 )
 
 
+@lru_cache(1)
 def _class_tables() -> tuple[np.ndarray, np.ndarray]:
-    upper, letter = np.zeros(0x250, bool), np.zeros(0x250, bool)
-    for c in range(0x250):
-        upper[c], letter[c] = chr(c).isupper(), chr(c).isalpha()
+    """Whether each code point is an upper-case letter, and a letter."""
+    upper, letter = np.zeros(0x110000, bool), np.zeros(0x110000, bool)
+    for c, x in enumerate(map(chr, range(0x110000))):
+        if x.isalpha():
+            letter[c], upper[c] = True, x.isupper()
     return upper, letter
 
 
@@ -98,8 +103,7 @@ def measure(text: str, tables, function_words: frozenset) -> tuple[tuple[int, ..
         return (0, word_chars, symbols, 0, 0), [None] * len(RULES)
     upper, letter = tables
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    small = np.minimum(codes, 0x24F)
-    is_letter = letter[small]
+    is_letter = letter[codes]
     letters = int(np.count_nonzero(is_letter))
     # Words with a letter: letters that no letter of the same word precedes.
     space = (codes == 32) | ((codes >= 9) & (codes <= 13))
@@ -110,7 +114,7 @@ def measure(text: str, tables, function_words: frozenset) -> tuple[tuple[int, ..
         symbols / n,
         repeats / n,
         dup_lines / len(real) if len(real) > 2 else None,
-        int(np.count_nonzero(upper[small])) / letters if letters else None,
+        int(np.count_nonzero(upper[codes])) / letters if letters else None,
         word_chars / n,
         lettered / n,
         functional / n,
