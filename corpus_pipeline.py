@@ -29,9 +29,36 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the least doc_id."""
-    found = parity_join.jaccard_components(docs).where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group of near duplicates stays: the least doc_id, of
+    texts with one doc_id the least text hash. A document is a doc_id with a
+    text; equal ones stay once. Rows without a doc_id all stay."""
+    own, number = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))), F.col("doc_id").cast("bigint")
+    known = docs.where(F.col("doc_id").isNotNull()).select(number.alias("_id"), own.alias("_h"))
+    texts = written(known.groupBy("_id", "_h").agg(F.count(F.lit(1)).alias("_rows")), "texts-of-ids")
+    least = texts.groupBy("_id").agg(F.min("_h").alias("_least"), F.count(F.lit(1)).alias("_texts")).where(F.col("_texts") > 1)
+    # The join works by number: further texts of a doc_id get numbers of their own.
+    further = texts.join(least, "_id").where(F.col("_h") != F.col("_least")).select("_id", "_h", F.xxhash64("_id", "_h").alias("_own"))
+    further = written(further, "further-texts")
+    numbered = docs.withColumns({"_number": number, "_hash": own})
+    if not further.isEmpty():
+        same = (F.col("_number") == F.col("_id")) & (F.col("_hash") == F.col("_h"))
+        numbered = numbered.join(further, same, "left").withColumn("_number", F.coalesce("_own", "_number")).drop("_id", "_h", "_own")
+    found = parity_join.jaccard_components(numbered.select(F.col("_number").alias("doc_id"), "text"))
+    found = found.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_member"), "component_id").distinct()
+    if further.isEmpty():
+        gone = found.where(F.col("component_id") != F.col("_member")).select("_member")
+    else:
+        found = written(found.join(further, F.col("_member") == F.col("_own"), "left"), "members")
+        rank = F.struct(F.coalesce("_id", "_member"), F.col("_h"))  # a null hash, of the least text, comes first
+        first = found.groupBy("component_id").agg(F.min_by("_member", rank).alias("_first"))
+        gone = found.join(first, "component_id").where(F.col("_member") != F.col("_first")).select("_member")
+    kept = numbered.join(gone, F.col("_number") == F.col("_member"), "left_anti")
+    repeated = texts.where(F.col("_rows") > 1).select(F.col("_id").alias("_i"), F.col("_h").alias("_x"))
+    if not repeated.isEmpty():
+        equal = (number == F.col("_i")) & (F.col("_hash") == F.col("_x"))
+        once = kept.join(repeated, equal, "left_semi").dropDuplicates(["_number"])
+        kept = kept.join(repeated, equal, "left_anti").unionByName(once)
+    return kept.select(*docs.columns)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
