@@ -72,3 +72,9 @@ def test_with_next_passes_empty_blocks(spark, per_block):
     got = S.with_next(df, "i", ["s"], per_block).collect()
     assert sorted(tuple(r) for r in got if r[2] is not None) == want and len(got) == len(ids)
     assert S.with_next(df.limit(0), "i", ["s"]).count() == 0
+
+
+@pytest.mark.parametrize("times, want", [([0.0, 500.0, 1300.0, 1700.0], (400.0, "sparse")), ([0.0, 150.0, 159.9, 10_000.0], (9.9, "sparse")), ([0.0, 61.0, 250.0], (61.0, "sparse")), ([5.0], (None, "sparse")), ([0.0, 0.25, 900.0], (0.25, "dense"))])
+def test_steps_of_any_length(spark, times, want):
+    found = S.infer_preset(spark.createDataFrame([(t,) for t in times], "t double"), "t").first()
+    assert (found.min_step is None and want[0] is None or found.min_step == pytest.approx(want[0])) and found.preset == want[1]

@@ -180,14 +180,10 @@ def chain_summary(chained: DataFrame, keys: Sequence[str], time: str, slot: str,
 
 def infer_preset(df: DataFrame, time: str) -> DataFrame:
     """(min_step, preset): 'sparse' if samples lie more than 0.5 s apart or are
-    fewer than three, else 'dense'. Steps are taken inside ranges of time, with
-    the last instant of each range carried to the next."""
+    fewer than three, else 'dense'. Every step between instants that follow each
+    other counts, whatever its length."""
     distinct = df.select(F.col(time).alias("t")).where(F.col("t").isNotNull()).distinct()
-    cell = distinct.withColumn("cell", F.floor(F.col("t") / 60))
-    w = Window.partitionBy("cell").orderBy("t")
-    inside = cell.withColumn("step", F.col("t") - F.lag("t").over(w))
-    edges = cell.groupBy("cell").agg(F.min("t").alias("lo"), F.max("t").alias("hi"))
-    across = edges.alias("a").join(edges.alias("b"), F.col("a.cell") + 1 == F.col("b.cell")).select((F.col("b.lo") - F.col("a.hi")).alias("step"), F.lit(0).alias("n"))
-    both = inside.select("step", F.lit(1).alias("n")).union(across).agg(F.min("step").alias("min_step"), F.sum("n").alias("n"))
+    steps = with_next(distinct, "t", ["t"]).select((F.col("next_t") - F.col("t")).alias("step"))
+    both = steps.agg(F.min("step").alias("min_step"), F.count(F.lit(1)).alias("n"))
     sparse = (F.coalesce("n", F.lit(0)) < 3) | F.coalesce(F.col("min_step") > 0.5, F.lit(True))
     return both.select("min_step", F.when(sparse, "sparse").otherwise("dense").alias("preset"))
