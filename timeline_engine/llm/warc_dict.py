@@ -72,21 +72,27 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
 
 
 def build_dictionary(records: list[bytes]) -> zstandard.ZstdCompressionDict | None:
-    """A dictionary from evenly spaced records; None if they are too few."""
+    """A dictionary trained on evenly spaced records; where they are too few or
+    too uniform to train on, one of the starts of these records as they are.
+    None without records."""
     step = max(1, sum(min(len(r), SAMPLE_RECORD) for r in records) // SAMPLE_BYTES)
     sample = [r[:SAMPLE_RECORD] for r in records[::step]]
-    if len(sample) < 16:
-        return None
-    try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, sample, k=256, d=8, f=18, level=LEVEL)
-    except zstandard.ZstdError:  # too little or too uniform to train on
-        return None
+    if len(sample) >= 16:
+        try:
+            return zstandard.train_dictionary(DICTIONARY_BYTES, sample, k=256, d=8, f=18, level=LEVEL)
+        except zstandard.ZstdError:  # too little or too uniform to train on
+            pass
+    each = DICTIONARY_BYTES // max(1, len(sample))
+    starts = b"".join(r[: max(each, 1)] for r in sample)[:DICTIONARY_BYTES]
+    return zstandard.ZstdCompressionDict(starts, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if len(starts) >= 8 else None
 
 
 def archive(records: list[bytes]) -> bytes:
     """The bytes of a .warc.zst file."""
     dictionary = build_dictionary(records)
     raw = dictionary.as_bytes() if dictionary else b""
+    if dictionary and not dictionary.dict_id():  # starts of records: embedded compressed
+        raw = zstandard.ZstdCompressor(level=LEVEL).compress(raw)
     packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=dictionary, write_checksum=True) if dictionary else zstandard.ZstdCompressor(level=LEVEL, write_checksum=True)
     return struct.pack("<II", MAGIC, len(raw)) + raw + b"".join(packer.compress(r) for r in records)
 
