@@ -58,7 +58,9 @@ _ENDS = {
     "title": (frozenset(), frozenset()),  # in svg it stands inside a paragraph
 }
 _P_KEEPERS = frozenset("button td th table body html object foreignobject".split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_MARK = re.compile(r"[>\"']")
+_NUMBER = re.compile("&#0*([0-9]+)")
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME = re.compile(r"[a-z]+")
 #: Kinds of names in class, id and role attributes.
@@ -78,11 +80,66 @@ _OWN_TAGS = frozenset("p h1 h2 h3 h4 li td th div blockquote pre dd dt figcaptio
 _PATH_TAGS = frozenset("nav header footer aside article main section form ul ol table head title figure button select dialog address details".split())
 
 
+class Path:
+    """A place inside an open element. Of the elements above it only what the
+    field reads is kept, of bounded size however deep they are nested."""
+
+    __slots__ = ("parent", "tag", "read")
+    #: what an element chain shows -> its features; emptied when large
+    _features: dict[tuple, list[str]] = {}
+
+    def __init__(self, parent: Path | None = None, element: tuple = ("", (), False)):
+        self.parent, (tag, kinds, hidden) = parent, element
+        self.tag = tag
+        if parent is None:
+            self.read = (frozenset(), "none", frozenset(), (), False, None, 0)
+            return
+        above, own, seen, near, unseen, head, articles = parent.read
+        if tag in _PATH_TAGS:
+            if tag == "header" and head is None:
+                head = "header in article" if articles else "header of page"
+            articles = min(2, articles + (tag == "article"))
+            above = above | {tag}
+        self.read = (above, tag if tag in BLOCK_TAGS else own, seen.union(kinds) if kinds else seen, kinds or near, unseen or hidden, head, articles)
+
+    def __iter__(self):
+        """The elements above, as (tag,), outermost first."""
+        tags, place = [], self
+        while place.parent is not None:
+            tags.append((place.tag,))
+            place = place.parent
+        return reversed(tags)
+
+    def features(self) -> list[str]:
+        known = Path._features.get(self.read)
+        if known is not None:
+            return known
+        above, own, seen, near, hidden, head, articles = self.read
+        out = ["above:" + t for t in above]
+        out.append("own:" + (own if own in _OWN_TAGS else "rest"))
+        out += ["kind:" + k for k in seen]
+        out += ["near:" + k for k in near]
+        if hidden:
+            out.append("hidden")
+        if head:
+            out.append(head)
+        if articles > 1:
+            out.append("nested article")
+        if above & {"ul", "ol"} and not above & {"article", "main"}:
+            out.append("list outside article")
+        if not above & {"article", "main"} and "content" not in seen:
+            out.append("no main part above")
+        if len(Path._features) > 20_000:
+            Path._features.clear()
+        Path._features[self.read] = out
+        return out
+
+
 class Block:
-    __slots__ = ("text", "path", "linked", "marks")
+    __slots__ = ("text", "path", "linked")
 
-    def __init__(self, text: str, path: tuple, linked: int, marks: frozenset = frozenset()):
-        self.text, self.path, self.linked, self.marks = text, path, linked, marks
+    def __init__(self, text: str, path: Path, linked: int):
+        self.text, self.path, self.linked = text, path, linked
 
 
 _ELEMENTS: dict[tuple[str, str], tuple] = {}  # emptied when large
@@ -107,112 +164,161 @@ def _element(tag: str, attributes: str) -> tuple[str, tuple[str, ...], bool]:
     return found
 
 
+class _Tags:
+    """Finds the markup of a page from left to right in linear time.
+
+    A tag ends at the first ``>`` outside quotes. Where each mark leads is kept,
+    so that the page is not read again for every ``<`` that begins no tag.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.ends: dict[int, int] = {}  # mark -> end of a tag that meets it, -1 if none
+        self.from_, self.mark = 0, -1  # the first mark from ``from_`` on
+        self.last_close = page.rfind(">")
+
+    def _first_mark(self, at: int) -> int:
+        if not self.from_ <= at <= self.mark:
+            m = _MARK.search(self.page, at)
+            self.from_, self.mark = at, m.start() if m else len(self.page)
+        return self.mark
+
+    def _tag_end(self, at: int) -> int:
+        page, ends, met = self.page, self.ends, []
+        mark, n = self._first_mark(at), len(page)
+        while True:
+            if mark >= n:
+                end = -1
+                break
+            end = ends.get(mark)
+            if end is not None:
+                break
+            met.append(mark)
+            if page[mark] == ">":
+                end = mark + 1
+                break
+            close = page.find(page[mark], mark + 1)
+            if close < 0:
+                end = -1
+                break
+            m = _MARK.search(page, close + 1)
+            mark = m.start() if m else n
+        for k in met:
+            ends[k] = end
+        return end
+
+    def next(self, at: int):
+        """(start, end, slash, tag, attributes) of the next markup; the tag is
+        None for comments and declarations. None if there is no more."""
+        page = self.page
+        while (start := page.find("<", at)) >= 0:
+            kind = page[start + 1 : start + 2]
+            if kind in ("!", "?"):
+                if page.startswith("<!--", start):
+                    close = page.find("-->", start + 4)
+                    return start, close + 3 if close >= 0 else len(page), "", None, ""
+                if start < self.last_close and (close := page.find(">", start)) >= 0:
+                    return start, close + 1, "", None, ""
+            elif m := _TAG.match(page, start):
+                end = self._tag_end(m.end())
+                if end >= 0:
+                    return start, end, m[1], m[2].lower(), page[m.end() : end - 1]
+            at = start + 1
+        return None
+
+
+def _unescaped(text: str) -> str:
+    """``text`` with character references decoded, numbers of any length."""
+    if "&#" in text:  # beyond the last code point they all mean the same
+        text = _NUMBER.sub(lambda m: "&#" + (m[1] if len(m[1]) < 9 else "1114112"), text)
+    return html_module.unescape(text)
+
+
 def blocks(page: str) -> list[Block]:
-    """The non-empty leaf blocks of a page, in order."""
-    found, stack, parts, linked, at, n = [], [], [], 0, 0, len(page)
-    links = 0  # open <a> elements
+    """The non-empty leaf blocks of a page, in order, in time linear in its
+    length: open elements are found by their places, kept per tag."""
+    found, parts, linked, at, n = [], [], 0, 0, len(page)
+    tags, stack, paths = _Tags(page), [], [Path()]  # paths[k]: inside the first k open elements
+    places: dict[str, list[int]] = {}  # tag -> its places in the stack
+    block_places: list[int] = []
 
     def flush():
         nonlocal parts, linked
         if parts:
             text = "".join(parts)
             if "&" in text:
-                text = html_module.unescape(text)
+                text = _unescaped(text)
             text = " ".join(text.split())
             if text:
-                found.append(Block(text, tuple(stack), linked))
+                found.append(Block(text, paths[-1], linked))
             parts, linked = [], 0
 
+    def last(names) -> int:
+        return max((places[t][-1] for t in names if places.get(t)), default=-1)
+
     def pop_to(k: int):
-        nonlocal links
-        links -= sum(e[0] == "a" for e in stack[k:])
-        del stack[k:]
+        for tag in stack[k:]:
+            places[tag].pop()
+        while block_places and block_places[-1] >= k:
+            block_places.pop()
+        del stack[k:], paths[k + 1 :]
 
     while at < n:
-        m = _TOKEN.search(page, at)
-        end = m.start() if m else n
+        token = tags.next(at)
+        end = token[0] if token else n
         if end > at:
             parts.append(page[at:end])
-            if links > 0:
+            if places.get("a"):
                 linked += end - at
-        if m is None:
+        if token is None:
             break
-        at = m.end()
-        if m[2] is None:
+        _, at, slash, tag, attributes = token
+        if tag is None:
             continue
-        tag = m[2].lower()
-        if m[1]:
+        if slash:
             if tag in BLOCK_TAGS:
                 flush()
             elif tag == "br":
                 parts.append(" ")
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    pop_to(k)
-                    break
-                if tag not in BLOCK_TAGS and stack[k][0] in BLOCK_TAGS:
-                    break
+            k = last((tag,))
+            # An end tag inside a block does not end what is open around it.
+            if k >= 0 and (tag in BLOCK_TAGS or not block_places or block_places[-1] < k):
+                pop_to(k)
             continue
         if tag in RAW_TAGS:
-            if not m[3].endswith("/") or tag != "template":
-                close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(page, at)
-                at = close.end() if close else n
+            if not attributes.endswith("/") or tag != "template":
+                close = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, at)
+                close = page.find(">", close.end()) if close else -1
+                at = close + 1 if close >= 0 else n
             continue
         if tag in BLOCK_TAGS:
             flush()
             ends, keeps = _ENDS.get(tag, (None, None))
             if ends is None and tag not in VOID_TAGS or tag == "hr":
                 ends, keeps = {"p"}, _P_KEEPERS
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in ends:
-                    pop_to(k)
-                    break
-                if stack[k][0] in keeps:
-                    break
+            k = last(ends)
+            if k > last(keeps):
+                pop_to(k)
         elif tag == "br":
             parts.append(" ")
-        if tag not in VOID_TAGS and not m[3].endswith("/"):
-            stack.append(_element(tag, m[3]))
-            links += tag == "a"
+        if tag not in VOID_TAGS and not attributes.endswith("/"):
+            places.setdefault(tag, []).append(len(stack))
+            if tag in BLOCK_TAGS:
+                block_places.append(len(stack))
+            stack.append(tag)
+            paths.append(Path(paths[-1], _element(tag, attributes)))
     flush()
     return found
 
 
-def _path_features(path: tuple) -> list[str]:
-    tags = [e[0] for e in path]
-    above = set(tags)
-    out = ["above:" + t for t in above & _PATH_TAGS]
-    own = next((t for t in reversed(tags) if t in BLOCK_TAGS), "none")
-    out.append("own:" + (own if own in _OWN_TAGS else "rest"))
-    kinds = [k for e in path for k in e[1]]
-    out += ["kind:" + k for k in set(kinds)]
-    near = next((e[1] for e in reversed(path) if e[1]), ())
-    out += ["near:" + k for k in near]
-    if any(e[2] for e in path):
-        out.append("hidden")
-    if "header" in above:
-        inside = "article" in above and tags.index("article") < tags.index("header")
-        out.append("header in article" if inside else "header of page")
-    if tags.count("article") > 1:
-        out.append("nested article")
-    if above & {"ul", "ol"} and not above & {"article", "main"}:
-        out.append("list outside article")
-    if not above & {"article", "main"} and "content" not in kinds:
-        out.append("no main part above")
-    return out
-
-
 def features(page_blocks: list[Block]) -> list[list[str]]:
     """The feature names of each block."""
-    out, n, cache = [], len(page_blocks), {}
+    out, n = [], len(page_blocks)
     for i, b in enumerate(page_blocks):
-        path = cache.get(b.path)
-        if path is None:
-            path = cache[b.path] = _path_features(b.path)
         words, length = b.text.count(" ") + 1, max(len(b.text), 1)
         size = 0 if words == 1 else 1 if words < 5 else 2 if words < 10 else 3 if words < 20 else 4 if words < 50 else 5
         density = b.linked / length
-        names = ["bias", *path, f"words:{size}", f"links:{0 if not density else 1 if density < 0.3 else 2 if density < 0.8 else 3}"]
+        names = ["bias", *b.path.features(), f"words:{size}", f"links:{0 if not density else 1 if density < 0.3 else 2 if density < 0.8 else 3}"]
         if b.text[-1] in ".!?…:;\"”»)":
             names.append("closing mark")
         if "©" in b.text or "(c)" in b.text.lower():
