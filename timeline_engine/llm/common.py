@@ -9,7 +9,8 @@ import uuid
 from contextlib import contextmanager
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: ASCII white space, the only separators of words in every operator here.
 WS_CLASS = r"\x20\x09-\x0D"
@@ -21,6 +22,21 @@ LOWER = UPPER.lower()
 _LOCAL_DIR: dict[str, str] = {}
 
 
+def own(df: DataFrame, *without: str, at: str = "") -> list[Column]:
+    """The columns of ``df`` whatever their names hold, without some (in any
+    case); ``at`` is an alias before them."""
+    gone = {w.lower() for w in without}
+    return [F.col(f"{at + '.' if at else ''}`{c.replace('`', '``')}`") for c in df.columns if c.lower() not in gone]
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as make it new to ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -12,9 +12,12 @@ Texts are tokenised once; ids are written compressed to the shared folder
 document's key is completed by a hash of its id, so copies of one text spread
 over partitions. A task streams its documents and holds one sequence.
 
-Words repeat, so a worker keeps the ids of words it has seen. The tokenizer
-never merges over white space, hence ids of a text are those of its words; the
-cache is bounded.
+Words repeat, so a worker keeps the ids of words it has seen; the cache is
+bounded. That, and the short way from plain words to the merge model, holds for
+tokenizers that normalise and split as ``SPLIT_WORDS`` says and never merge over
+white space. A tokenizer's file is compared with it when it is loaded; any other
+one reads every text whole. Ids take 16 bits where the vocabulary allows it,
+else 32.
 
 Nulls: a null text is empty and consists of the end token alone. A null doc_id
 is packed like any other. Rows that repeat a doc_id are packed each for itself.
@@ -25,6 +28,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import json
 import re
 import sys
 import types
@@ -93,6 +97,33 @@ def curve_point(vector: np.ndarray) -> np.ndarray:
     return np.minimum((squeezed * (1 << BITS)).astype(np.int64), (1 << BITS) - 1)
 
 
+#: How the tokenizers that may be read word by word normalise and split (their
+#: own settings, fixed values).
+SPLIT_WORDS = (
+    [("NFC", None), ("Replace", r"\s+"), ("Lowercase", None)],
+    [("Split", r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"), ("ByteLevel", None)],
+)
+
+
+def by_words(path: str) -> bool:
+    """Whether a tokenizer's file says that texts may be read word by word."""
+    with open(path, encoding="utf-8") as f:
+        told = json.load(f)
+
+    def steps(part: dict | None, inner: str) -> list[tuple]:
+        each = (part or {}).get(inner) or ([part] if part else [])
+        return [(x.get("type"), (x.get("pattern") or {}).get("Regex")) for x in each]
+
+    return (steps(told.get("normalizer"), "normalizers"), steps(told.get("pre_tokenizer"), "pretokenizers")) == SPLIT_WORDS
+
+
+def id_type(path: str) -> str:
+    """The numpy type of a tokenizer's ids."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else "<u4"
+
+
 #: ASCII marks but the apostrophe, which contractions use.
 _MARKS = re.escape("".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"))
 _LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"
@@ -122,6 +153,9 @@ class WordIds(dict):
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.model, self.older = self.tokenizer.model, {}
+        self.by_words, self.kind = by_words(path), id_type(path)
+        if self.kind != "<u2":
+            self.by_words = False
 
     def _compute(self, word: bytes) -> bytes:
         if word.isalpha() and word.islower():  # ASCII letters
@@ -152,6 +186,14 @@ class WordIds(dict):
     def ids(self, words: list[bytes]) -> np.ndarray:
         return np.frombuffer(b"".join(map(self.__getitem__, words)), np.uint16)
 
+    def ids_of(self, raw: bytes) -> np.ndarray:
+        """The ids of a text in UTF-8."""
+        if not self.by_words:
+            return np.array(self.tokenizer.encode(raw.decode("utf-8"), add_special_tokens=False).ids, self.kind)
+        # With nothing to compose with and no special token, case can go first.
+        raw = raw.lower() if raw.isascii() and b"<|" not in raw else raw
+        return self.ids(raw.split())
+
 
 def worker_ids(path: str) -> WordIds:
     """The cache of this worker process, kept between its tasks."""
@@ -162,7 +204,9 @@ def worker_ids(path: str) -> WordIds:
 
 
 def release_ids() -> None:
-    """Frees this worker's cache, for the stages that follow."""
+    """Frees this worker's cache, for the stages that follow: workers live on
+    between stages, and without the trim the freed pages stay with them, beside
+    the sorts of the next stage."""
     if sys.modules.pop("_packing_word_ids", None) is not None:
         gc.collect()
         if sys.platform == "linux":
@@ -170,18 +214,15 @@ def release_ids() -> None:
 
 
 def _tokenise(path: str):
-    end = np.array([END], "<u2")
-
     def run(batches):
         cache, packer = worker_ids(path), zstandard.ZstdCompressor(level=1)
-        rows_of, ones = projection(1 << 16), np.ones(1 << 16, np.float32)
+        end = np.array([END], cache.kind)
+        rows_of, ones = projection(max(1 << 16, cache.tokenizer.get_vocab_size())), np.ones(1 << 16, np.float32)
         for batch in batches:
             sizes, packed, means = [], [], []
             for text in batch.column(1).cast(pa.binary()):
                 raw = text.as_py() or b""
-                # With nothing to compose with and no special token, case can go first.
-                raw = raw.lower() if raw.isascii() and b"<|" not in raw else raw
-                ids = np.concatenate([cache.ids(raw.split()), end])
+                ids = np.concatenate([cache.ids_of(raw), end])
                 if len(ids) > len(ones):
                     ones = np.ones(2 * len(ids), np.float32)
                 sizes.append(len(ids))
@@ -190,7 +231,9 @@ def _tokenise(path: str):
             if not sizes:
                 continue
             key = hilbert_key(curve_point(np.array(means, float))).astype(np.int64)
-            salt = mix64(np.array([i or 0 for i in batch.column(0).to_pylist()], np.int64).view(np.uint64)).view(np.int64)
+            # Rows that repeat an id (or have none) differ by their place in the batch.
+            place = np.arange(len(sizes), dtype=np.uint64)
+            salt = mix64(np.array([i or 0 for i in batch.column(0).to_pylist()], np.int64).view(np.uint64) + mix64(place)).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(key), pa.array(salt), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())],
                 names=["doc_id", "hilbert", "salt", "doc_tokens", "ids"],
@@ -240,7 +283,7 @@ class _Packer:
         self.used = 0
 
 
-def _pack(length: int):
+def _pack(length: int, kind: str):
     names = [c.split()[0] for c in _PIECES.split(", ")]
 
     def out(rows):
@@ -253,7 +296,7 @@ def _pack(length: int):
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                packer.add(doc_id, np.frombuffer(unpack.decompress(ids.as_py()), "<u2"))
+                packer.add(doc_id, np.frombuffer(unpack.decompress(ids.as_py()), kind))
                 if len(packer.rows) >= 20_000:
                     yield out(packer.rows)
                     packer.rows = []
@@ -279,7 +322,7 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, length: int = LENGT
         tokenizer_path = public_tokenizers.path("word_bpe_49k.json")
     rows = tokenised(docs, tokenizer_path)
     along = rows.repartitionByRange("hilbert", "salt").sortWithinPartitions("hilbert", "salt", "doc_id", "doc_tokens")
-    return along.select("doc_id", "ids").mapInArrow(_pack(length), _PIECES)
+    return along.select("doc_id", "ids").mapInArrow(_pack(length, id_type(tokenizer_path)), _PIECES)
 
 
 def op2_packing(spark, sf_dir: str) -> DataFrame:

@@ -9,15 +9,16 @@ travel with the lines.
 
 Skew: keys are counted in 65,536 hash buckets (at most that many rows per map
 task). Lines in a bucket far above the mean get a salt from their document, so
-a frequent line is cut into many ranges. Within one salt a later document is
-certainly a repeat; the at most ``SALTS`` first documents of a salted key then
-go through a second, small round.
+a frequent line is cut into many ranges: of n lines, into about the root of n.
+Within one salt a later document is certainly a repeat; the first documents of a
+salted key, at most one a salt, then go through a second round of about the
+root of n rows.
 
 Nulls: a null text is one empty line. A null doc_id is a document of its own
 that precedes all others. Rows that repeat a doc_id count as one document for
 the "two documents" rule and each keep their own bitmap (by a hash of the
-text); equal rows get equal results. Other columns are ignored, so clashing
-names do no harm. An empty table gives an empty table.
+text); equal rows get equal results. Other columns pass through, whatever
+their names. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -25,10 +26,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, WS_CHARS, written
+from .common import LOWER, UPPER, WS_CHARS, own, table, written
 
 BUCKETS = 65_536
-SALTS = 64
 #: A bucket is salted from this many times the mean, and this many lines, on.
 HOT_FACTOR, HOT_LEAST = 4, 1_000
 
@@ -52,7 +52,9 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     ``keep`` lists the 64-line words of the keep bitmap that are not all ones,
     as (word, bits), by word; an absent word keeps its 64 lines.
     """
-    lines = docs.select(F.col("doc_id"), _text_hash(F.col("text")).alias("text_hash"), F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
+    # The hash is made below the generator, which would else make it per line.
+    texts = docs.select(F.col("doc_id"), _text_hash(F.col("text")).alias("text_hash"), _lines(F.col("text")).alias("lines"))
+    lines = texts.select("doc_id", "text_hash", F.posexplode("lines").alias("pos", "line"))
     key = line_key(F.col("line"))
     lines = (
         lines.select("doc_id", "text_hash", "pos", key.alias("key"))
@@ -62,10 +64,10 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     lines = written(lines, "line-hashes")
     bucket = F.col("h1").bitwiseAND(F.lit(BUCKETS - 1))
     sizes = lines.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-    hot = sizes.where(F.col("n") > max(HOT_LEAST, HOT_FACTOR * lines.count() / BUCKETS)).select("bucket")
+    hot = sizes.where(F.col("n") > max(HOT_LEAST, HOT_FACTOR * lines.count() / BUCKETS)).select("bucket", F.ceil(F.sqrt("n")).cast("long").alias("salts"))
     # At most BUCKETS rows of one number, whatever the input: safe to broadcast.
-    salted = lines.withColumn("bucket", bucket).join(F.broadcast(hot.withColumn("hot", F.lit(True))), "bucket", "left")
-    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(F.lit(-1)).cast("int")
+    salted = lines.withColumn("bucket", bucket).join(F.broadcast(hot), "bucket", "left")
+    salt = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("salts")), F.lit(-1)).cast("long")
     salted = salted.select("h1", "h2", salt.alias("salt"), "doc_id", "text_hash", "pos")
 
     ranged = salted.repartitionByRange("h1", "h2", "salt")
@@ -89,18 +91,23 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 10) -> DataFrame:
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, names: tuple[str, str, str] = ("n_lines", "n_dropped", "kept")) -> DataFrame:
     """The documents with three columns added, or replaced: the number of lines,
     of dropped lines, and the text of the kept ones."""
-    d, b = docs.withColumn("_h", _text_hash(F.col("text"))).alias("d"), bitmaps.alias("b")
-    joined = d.join(b, F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("d._h") == F.col("b.text_hash")), "left")
-    lines = _lines(F.col("d.text"))
+    # The bitmap as an array of all words up to the last listed one, so that a
+    # line finds its word by place: one bit a line. Made before the join, as in
+    # the projection after it, it would be made again for every line.
+    before = lambda i: F.when(i > 0, F.element_at("keep", F.greatest(i, F.lit(1)))["word"] + 1).otherwise(F.lit(0))
+    whole = F.flatten(F.transform("keep", lambda w, i: F.concat(F.array_repeat(F.lit(-1).cast("long"), w["word"] - before(i)), F.array(w["bits"]))))
+    b = bitmaps.select("doc_id", "text_hash", "n_dropped", whole.alias("words")).alias("b")
+    text = F.col("d.text")
+    joined = docs.alias("d").join(b, F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")) & (_text_hash(text) == F.col("b.text_hash")), "left")
+    lines = _lines(text)
 
     def stays(_line: Column, i: Column) -> Column:
-        word = F.filter(F.col("b.keep"), lambda w: w["word"] == F.shiftright(i, 6))
-        bits = F.coalesce(F.try_element_at(word, F.lit(1))["bits"], F.lit(-1).cast("long"))
+        bits = F.coalesce(F.try_element_at("b.words", F.shiftright(i, 6) + 1), F.lit(-1).cast("long"))
         return F.getbit(bits, i.bitwiseAND(F.lit(63))) == 1
 
-    kept = F.when(F.col("b.keep").isNull(), F.coalesce(F.col("d.text"), F.lit(""))).otherwise(F.array_join(F.filter(lines, stays), "\n"))
+    kept = F.when(F.col("b.words").isNull(), F.coalesce(text, F.lit(""))).otherwise(F.array_join(F.filter(lines, stays), "\n"))
     return joined.select(
-        *[F.col(f"d.`{c}`") for c in docs.columns if c not in names],
+        *own(docs, *names, at="d"),
         F.size(lines).cast("long").alias(names[0]),
         F.coalesce(F.col("b.n_dropped"), F.lit(0)).cast("long").alias(names[1]),
         kept.alias(names[2]),
@@ -109,8 +116,6 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, names: tuple[str, str, st
 
 def op9_line_dedup(spark, sf_dir: str) -> DataFrame:
     """Per document: lines before dropping, lines dropped, digest of the rest."""
-    from .common import table
-
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = apply_bitmaps(docs, keep_bitmaps(docs))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept"), 256).alias("kept_sha256"))

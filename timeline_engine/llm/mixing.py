@@ -109,7 +109,8 @@ def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = (1, 2, 3)
         .select("doc_id", "text_hash", "source", "size", "source_size", "target", "epochs", "rest", "src_no", "bucket", "rn", "upto")
     )
     ordered = written(ordered, "mix-order")
-    chosen = F.col("upto") <= F.col("rest")
+    # Without a remainder nothing more is taken, empty documents neither.
+    chosen = (F.col("rest") > 0) & (F.col("upto") <= F.col("rest"))
     spent = ordered.where(chosen).groupBy("src_no").agg(F.max("upto").alias("spent"))
     gap = written(
         sources.select("src_no").join(spent, "src_no", "left").select("src_no", F.coalesce("spent", F.lit(0)).alias("spent")), "mix-spent"

@@ -12,9 +12,12 @@ text, and their beginnings, whose share among the toxic texts exceeds that
 among the unlabelled ones by more than chance; weights are not negative.
 
 Training reads bounded samples: at most ``MOST_POSITIVE`` confirmed toxic
-documents and about ``MOST_UNLABELLED`` unlabelled ones, both by a hash of
-doc_id. The class prior is the share of toxic rows among all labelled training
-rows. Scores cover every document.
+documents, those of least hash of doc_id, and at most ``MOST_UNLABELLED``
+unlabelled ones, the distinct rows of least hash of (doc_id, text); neither
+depends on the order of rows. The features of these texts are counted in the
+cluster; only the chosen ones, and of each text the numbers of those it holds,
+reach the driver. The class prior is the share of toxic rows among all labelled
+training rows. Scores cover every document.
 
 Nulls: a null or empty text has no features and scores by the intercept. Null
 labels and labels of unknown documents are ignored; a doc_id labelled twice is
@@ -34,11 +37,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, written
 
 MOST_POSITIVE = 4000
 MOST_UNLABELLED = 12_000
 FOLDS = 5
+#: Hashes of rows are placed evenly among so many.
+PLACES = 1 << 40
 #: A word must exceed its expected number of toxic texts by so many standard
 #: deviations to become a feature.
 LEAST_Z = 4.0
@@ -88,52 +93,71 @@ def features(text: str | None, known: dict[str, tuple[int, ...]] | None = None)
 def _feature_batches(batches):
     known: dict[str, tuple[int, ...]] = {}
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array([features(t.as_py(), known).tobytes() for t in batch.column(0)], pa.binary())], names=["f"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([features(t.as_py(), known).tobytes() for t in batch.column(1)], pa.binary())], names=["toxic", "f"])
 
 
-def fold(doc_id):
-    return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(FOLDS))
+def _count_batches(batches):
+    """(feature, texts of either kind that hold it), combined per batch."""
+    for batch in batches:
+        kind = batch.column(0).to_numpy(zero_copy_only=False).astype(bool)
+        sets = [np.frombuffer(f.as_py(), np.uint32)[1:] for f in batch.column(1)]
+        found, at = np.unique(np.concatenate([*sets, np.empty(0, np.uint32)]), return_inverse=True)
+        toxic = np.repeat(kind, [len(s) for s in sets])
+        n = [np.bincount(at[m], minlength=len(found)).astype(np.int64) for m in (toxic, ~toxic)]
+        yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(n[0]), pa.array(n[1])], names=["feature", "n_p", "n_u"])
 
 
-def _shares(sets: list[np.ndarray], vocabulary: np.ndarray) -> np.ndarray:
-    every = np.concatenate([*sets, np.empty(0, np.uint32)])
-    at = np.searchsorted(vocabulary, every)
-    ok = (at < len(vocabulary)) & (vocabulary[np.minimum(at, max(len(vocabulary) - 1, 0))] == every) if len(vocabulary) else np.zeros(len(every), bool)
-    return np.bincount(at[ok], minlength=len(vocabulary)).astype(float)
+def _hit_batches(vocabulary: np.ndarray):
+    """Of each text its size and the numbers of the chosen features it holds."""
 
+    def run(batches):
+        for batch in batches:
+            sizes, hits = [], []
+            for f in batch.column(1):
+                s = np.frombuffer(f.as_py(), np.uint32)
+                sizes.append(int(s[0]))
+                at = np.minimum(np.searchsorted(vocabulary, s[1:]), len(vocabulary) - 1)
+                hits.append(at[vocabulary[at] == s[1:]].astype(np.uint32).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(hits, pa.binary())], names=["toxic", "size", "hits"])
 
-def _rows(sets: list[np.ndarray], vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, column) of the vocabulary words that occur."""
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    every = np.concatenate([*sets, np.empty(0, np.uint32)])
-    at = np.minimum(np.searchsorted(vocabulary, every), len(vocabulary) - 1)
-    ok = vocabulary[at] == every
-    return row[ok], at[ok]
+    return run
+
+
+def fold(doc_id):
+    return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(FOLDS))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -60, 60)))
 
 
-def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 400) -> tuple[dict[int, float], float, float]:
+def chosen_features(counts: DataFrame, n_pos: int, n_unl: int, prior: float) -> np.ndarray:
+    """Sorted features that occur among the toxic texts beyond chance; if none
+    does, the twenty likeliest. ``counts``: feature, n_p, n_u."""
+    expected = F.lit(float(n_pos)) * (F.col("n_u") + 0.5) / F.lit(float(n_unl + 1))
+    z = (F.col("n_p") - expected) / F.sqrt(expected + 1)
+    scored = counts.where(F.col("n_p") > 0).withColumn("z", z)
+    # Of texts with a feature, n_p / expected * prior are toxic.
+    sure = scored.where((F.col("z") > LEAST_Z) & (F.col("n_p") * F.lit(prior) > F.lit(LEAST_SHARE) * expected))
+    found = [r[0] for r in sure.select("feature").collect()] or [r[0] for r in scored.orderBy(F.desc("z"), "feature").limit(20).collect()]
+    return np.sort(np.array(found, np.uint32))
+
+
+def train(vocabulary: np.ndarray, positive: list[tuple[int, bytes]], unlabelled: list[tuple[int, bytes]], prior: float, steps: int = 400) -> tuple[dict[int, float], float, float]:
     """(weight by feature hash, weight of the size, intercept) by Adam on the
-    non-negative risk with logistic loss and a small ridge."""
+    non-negative risk with logistic loss and a small ridge. Texts are given as
+    (number of words, numbers of their features in the vocabulary)."""
     if not positive or not unlabelled:
         return {}, 0.0, -60.0
-    size_p, size_u = (np.array([size_of(int(s[0])) for s in sets]) for sets in (positive, unlabelled))
-    positive, unlabelled = [s[1:] for s in positive], [s[1:] for s in unlabelled]
-    vocabulary, n_p = np.unique(np.concatenate([*positive, np.empty(0, np.uint32)]), return_counts=True)
-    share_u = (_shares(unlabelled, vocabulary) + 0.5) / (len(unlabelled) + 1)
-    expected = len(positive) * share_u
-    # Of texts with a feature, n_p / expected * prior are toxic.
-    chosen = ((n_p - expected) / np.sqrt(expected + 1) > LEAST_Z) & (n_p * prior > LEAST_SHARE * expected)
-    if not chosen.any():
-        z = (n_p - expected) / np.sqrt(expected + 1)
-        chosen = z >= np.sort(z)[-min(20, len(z)) :][0] if len(z) else chosen
-    vocabulary = vocabulary[chosen]
     if not len(vocabulary):
         return {}, 0.0, float(np.log(prior / (1 - prior)))
-    (rp, cp), (ru, cu) = _rows(positive, vocabulary), _rows(unlabelled, vocabulary)
+
+    def rows(texts):
+        hits = [np.frombuffer(h, np.uint32) for _, h in texts]
+        return np.repeat(np.arange(len(hits)), [len(h) for h in hits]), np.concatenate([*hits, np.empty(0, np.uint32)]).astype(np.int64)
+
+    size_p, size_u = (np.array([size_of(n) for n, _ in texts]) for texts in (positive, unlabelled))
+    (rp, cp), (ru, cu) = rows(positive), rows(unlabelled)
     k, n_pos, n_unl = len(vocabulary), len(positive), len(unlabelled)
     w, first, second = np.zeros(k + 2), np.zeros(k + 2), np.zeros(k + 2)
     w[:k] = 0.1
@@ -192,14 +216,28 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[int, float], float, fl
         return {}, 0.0, -60.0
     prior = min(max(toxic / n, 1e-4), 0.9)
     by_hash = F.xxhash64(F.lit("sample"), F.col("doc_id"))
-    confirmed = known.where(F.col("toxic") == 1).orderBy(by_hash).limit(MOST_POSITIVE).select("doc_id")
+    confirmed = known.where(F.col("toxic") == 1).orderBy(by_hash, "doc_id").limit(MOST_POSITIVE).select("doc_id")
     pick = docs.select("doc_id", "text")
     # At most MOST_POSITIVE ids: safe to broadcast.
     positive = pick.join(F.broadcast(confirmed), "doc_id", "left_semi").select("text").dropDuplicates()
-    share = min(1.0, MOST_UNLABELLED / max(1, docs.count()))
-    unlabelled = pick.where(F.pmod(by_hash, F.lit(1_000_000)) < int(share * 1_000_000) + 1).limit(2 * MOST_UNLABELLED).select("text")
-    sets = [[np.frombuffer(r[0], np.uint32) for r in d.mapInArrow(_feature_batches, "f binary").collect()] for d in (positive, unlabelled)]
-    return train(*(sorted(s, key=lambda x: x.tobytes()) for s in sets), prior)
+    place = F.pmod(F.xxhash64(F.lit("row"), F.col("doc_id"), F.col("text")), F.lit(PLACES))
+    placed = pick.select(place.alias("place"), "text")
+    # Places are even: half as many again as are wanted lie below this bound.
+    bound = min(PLACES, int(1.5 * PLACES * MOST_UNLABELLED / max(1, docs.count())) + 1)
+    last = placed.where(F.col("place") < bound).select("place").distinct().orderBy("place").limit(MOST_UNLABELLED).agg(F.max("place")).first()[0]
+    unlabelled = placed.where(F.col("place") <= (-1 if last is None else last)).groupBy("place").agg(F.first("text").alias("text")).select("text")
+    both = positive.select(F.lit(True).alias("toxic"), "text").unionAll(unlabelled.select(F.lit(False), "text"))
+    sampled = written(both.mapInArrow(_feature_batches, "toxic boolean, f binary"), "toxicity-features")
+    n_pos, n_unl = sampled.agg(F.count_if("toxic"), F.count_if(~F.col("toxic"))).first()
+    if not n_pos or not n_unl:
+        return {}, 0.0, -60.0
+    counts = sampled.mapInArrow(_count_batches, "feature bigint, n_p bigint, n_u bigint").groupBy("feature").agg(F.sum("n_p").alias("n_p"), F.sum("n_u").alias("n_u"))
+    vocabulary = chosen_features(counts, n_pos, n_unl, prior)
+    if not len(vocabulary):
+        return train(vocabulary, [(0, b"")], [(0, b"")], prior)
+    # At most MOST_POSITIVE + MOST_UNLABELLED rows of a few numbers.
+    hits = sorted((r[0], r[1], bytes(r[2])) for r in sampled.mapInArrow(_hit_batches(vocabulary), "toxic boolean, size bigint, hits binary").collect())
+    return train(vocabulary, [h[1:] for h in hits if h[0]], [h[1:] for h in hits if not h[0]], prior)
 
 
 def score(docs: DataFrame, weights: dict[int, float], size_weight: float, intercept: float) -> DataFrame:

@@ -13,7 +13,7 @@ return as one small table of the same bound, which is broadcast.
 
 Nulls: a null text has no words and fails the base rules. Rows that repeat a
 doc_id are judged each by its own text. An empty table gives an empty table
-(the prior alone remains). Other columns pass through ``judge`` untouched.
+(the prior alone remains). Other columns are ignored.
 """
 
 from __future__ import annotations

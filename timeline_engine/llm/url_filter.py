@@ -1,16 +1,18 @@
 """URL allow and block rules by host suffix and path prefix (DataFrame
 functions only).
 
-Each distinct URL is expanded into expressions: every suffix of its host that
-starts at a label, followed by every prefix of its path that is as long as some
-rule's path. An expression meets the rules in an equi-join on the first four
+Each distinct URL is expanded into expressions: a suffix of its host, followed
+by a prefix of its path, for every pair of a number of labels and a length of
+path that some rule has (no other expression could meet a rule, so a host of
+many labels costs no more than a short one). An expression meets the rules in an equi-join on the first four
 bytes of its SHA-256 digest; the full digests then confirm the match. Of the
 rules confirmed, the longest decides.
 
 Only URLs are shuffled, each distinct one once. Rules are broadcast when their
 counted number is at most ``BROADCAST_RULES``; larger lists take a shuffle join
-that adaptive execution can split. The lengths of rule paths (at most the
-longest path) are the only thing the driver reads.
+that adaptive execution can split. The pairs (labels, length of path) of the
+rules are the only thing the driver reads. Pages without a URL are spread over
+all partitions of the join that hands the verdicts back.
 
 Nulls: a null URL or one without ``://`` has an empty host and path, fits no
 rule and gets the default verdict. Repeated rows give repeated rows.
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, table
+from .common import LOWER, UPPER, own, table
 
 BROADCAST_RULES = 100_000
 #: (verdict, host, path without its first slash)
@@ -51,38 +53,36 @@ def split_url(url: Column) -> tuple[Column, Column]:
 def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
     """``pages`` with host, path, rule and verdict added (replacing columns of
     these names)."""
-    own = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
+    names = ("host", "path", "rule", "verdict")
     digest = lambda c: F.sha2(c.cast("binary"), 256)
+    n_labels = lambda host: F.char_length(host) - F.char_length(F.replace(host, F.lit("."), F.lit(""))) + 1
     rule = F.concat(F.col("host"), F.lit("/"), F.col("path"))
     r = rules.select(F.translate("host", UPPER, LOWER).alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict").select(
-        rule.alias("rule"), "verdict", (F.char_length("path") + 1).alias("n"), digest(rule).alias("rule_digest")
+        rule.alias("rule"), "verdict", n_labels(F.col("host")).alias("labels"), (F.char_length("path") + 1).alias("n"), digest(rule).alias("rule_digest")
     )
     # Of equal rules with two verdicts, block holds.
-    r = r.groupBy("rule", "n", "rule_digest").agg(F.max("verdict").alias("verdict")).withColumn("short", F.substring("rule_digest", 1, 8))
-    lengths = sorted(x[0] for x in r.select("n").distinct().collect())
+    r = r.groupBy("rule", "labels", "n", "rule_digest").agg(F.max("verdict").alias("verdict")).withColumn("short", F.substring("rule_digest", 1, 8))
+    shapes = sorted((x[0], x[1]) for x in r.select("labels", "n").distinct().collect())
     host, path = split_url(F.col("url"))
     urls = pages.select("url").where(F.col("url").isNotNull()).distinct().select("url", host.alias("host"), path.alias("path"))
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    prefixes = F.filter(
-        F.array(*[F.when(F.char_length("path") >= n, F.substring("path", 1, n)) for n in lengths]).cast("array<string>"), lambda p: p.isNotNull()
-    )
+    urls = urls.where(F.col("host") != "").withColumn("labels", n_labels(F.col("host")))
+    fits = lambda k, n: (F.col("labels") >= k) & (F.char_length("path") >= n)
+    made = [F.when(fits(k, n), F.concat(F.substring_index("host", ".", -k), F.substring("path", 1, n))) for k, n in shapes]
     expressions = (
-        urls.where(F.col("host") != "")
-        .select("url", F.explode(suffixes).alias("suffix"), prefixes.alias("prefixes"))
-        .select("url", "suffix", F.explode("prefixes").alias("prefix"))
-        .select("url", F.concat("suffix", "prefix").alias("expression"))
+        urls.select("url", F.explode(F.array_compact(F.array(*made).cast("array<string>"))).alias("expression"))
         .withColumn("digest", digest(F.col("expression")))
         .withColumn("short", F.substring("digest", 1, 8))
     )
     few = r.count() <= BROADCAST_RULES
     met = expressions.join(F.broadcast(r) if few else r, "short").where(F.col("digest") == F.col("rule_digest"))
-    best = met.groupBy("url").agg(F.max(F.struct(F.char_length("rule").alias("length"), "rule", "verdict")).alias("best"))
-    best = best.select(F.col("url").alias("_judged"), F.col("best.rule").alias("_rule"), F.col("best.verdict").alias("_verdict"))
-    host, path = split_url(F.col("url"))
-    out = pages.select(*own).join(best, F.col("url") == F.col("_judged"), "left")
-    verdict = F.coalesce("_verdict", F.lit(default)).alias("verdict")
-    return out.select(*[F.col(f"`{c}`") for c in own], host.alias("host"), path.alias("path"), F.col("_rule").alias("rule"), verdict)
+    best = met.groupBy("url").agg(F.max(F.struct(F.char_length("rule").alias("length"), "rule", "verdict")).alias("best")).alias("b")
+    p = pages.alias("p")
+    url = F.col("p.url")
+    spread = F.when(url.isNull(), F.xxhash64(*own(pages, at="p"))).otherwise(F.lit(0))
+    out = p.join(best, (url == F.col("b.url")) & (spread == F.lit(0).cast("long") * F.char_length("b.url")), "left")
+    host, path = split_url(url)
+    verdict = F.coalesce(F.col("b.best.verdict"), F.lit(default)).alias("verdict")
+    return out.select(*own(pages, *names, at="p"), host.alias("host"), path.alias("path"), F.col("b.best.rule").alias("rule"), verdict)
 
 
 def op3_url_filter(spark, sf_dir: str) -> DataFrame:

@@ -8,16 +8,18 @@ revisit records that refer to it.
 
 Writers stream: a task holds at most one archive (``ARCHIVE_BYTES`` of
 records). Files are written under a temporary name and moved, through the file
-system that the path names, so a task that runs again replaces its own file by
-the same bytes. Reading uses Spark's binary file source.
+system that the path names; a partition's records have one order, so a task
+that runs again replaces its own file by the same bytes. The names of the
+archives are a table of their own, committed with the job. Readers open the
+files it names and no others, so whatever a lost attempt left is never read.
 
 Duplicates are found with digests alone (a combined minimum per digest); only
 pages that have a copy take part in the join that tells them so.
 
 Nulls: null html is an empty payload; a null url leaves the target field out; a
-null page_id is written as ``none`` and is never the page referred to. Rows that
-repeat a page_id and payload are all responses if that id is the smallest. An
-empty table gives no archives and an empty result. Other columns are ignored.
+null page_id is written as ``none`` and is never the page referred to. Of rows
+that repeat a page_id and payload, one (of least url, nulls first) is the
+response if that id is the smallest, and the others revisit it. An empty table gives no archives and an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from urllib.parse import quote
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import delete_at_end, fresh_path, table, written
@@ -157,30 +159,44 @@ def _writer(folder: str):
     return run
 
 
-def _reader(batches):
+def _read_all(folder: str):
+    """From the names of archives to their records."""
+
+    def run(batches):
+        from pyarrow import fs
+
+        system, path = fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                with system.open_input_stream(f"{path}/{name}", compression=None) as f:
+                    yield from _records(f.read())
+
+    return run
+
+
+def _records(data: bytes):
+    """The records of an archive, in batches."""
     names = [c.split()[0] for c in _RECORD.split(", ")]
     kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary())
 
     def out(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    for batch in batches:
-        for data in batch.column(0):
+    rows, size = [], 0
+    for headers, block in read_archive(data):
+        head, _, payload = block.partition(b"\r\n\r\n")
+        length = next(int(x.split(b":")[1]) for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:"))
+        digest = headers["warc-payload-digest"].removeprefix("sha256:")
+        if headers["warc-type"] == "response" and (len(payload) != length or hashlib.sha256(payload).hexdigest() != digest):
+            raise ValueError(f"damaged payload in {headers['warc-record-id']}")
+        whole = payload if headers["warc-type"] == "response" else None
+        rows.append((_page(headers["warc-record-id"]), headers.get("warc-target-uri"), headers["warc-type"], _page(headers.get("warc-refers-to")), digest, length, whole))
+        size += len(payload)
+        if size >= 16_000_000:
+            yield out(rows)
             rows, size = [], 0
-            for headers, block in read_archive(data.as_py()):
-                head, _, payload = block.partition(b"\r\n\r\n")
-                length = next(int(x.split(b":")[1]) for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:"))
-                digest = headers["warc-payload-digest"].removeprefix("sha256:")
-                if headers["warc-type"] == "response" and (len(payload) != length or hashlib.sha256(payload).hexdigest() != digest):
-                    raise ValueError(f"damaged payload in {headers['warc-record-id']}")
-                whole = payload if headers["warc-type"] == "response" else None
-                rows.append((_page(headers["warc-record-id"]), headers.get("warc-target-uri"), headers["warc-type"], _page(headers.get("warc-refers-to")), digest, length, whole))
-                size += len(payload)
-                if size >= 16_000_000:
-                    yield out(rows)
-                    rows, size = [], 0
-            if rows:
-                yield out(rows)
+    if rows:
+        yield out(rows)
 
 
 def with_copies(pages: DataFrame) -> DataFrame:
@@ -193,29 +209,49 @@ def with_copies(pages: DataFrame) -> DataFrame:
     copies = long.join(again.select("digest", "first"), "digest").where(~F.col("page_id").eqNullSafe(F.col("first"))).distinct()
     copies = copies.select(F.col("page_id").alias("_id"), F.col("digest").alias("_digest"), F.col("first").alias("refers_to"))
     joined = rows.join(copies, F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left")
-    return joined.select("page_id", "url", "html", "digest", "refers_to")
+    repeated = long.where(F.col("page_id").isNotNull()).groupBy("page_id", "digest").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > 1)
+    repeated = written(repeated.select("page_id", "digest"), "repeated-pages")
+    out = joined.select("page_id", "url", "html", "digest", "refers_to")
+    if repeated.isEmpty():
+        return out
+    # Only pages that repeat an id and payload are put in order.
+    again = out.join(repeated, ["page_id", "digest"], "left_semi")
+    later = F.row_number().over(Window.partitionBy("page_id", "digest").orderBy("url")) > 1
+    again = again.withColumn("_later", later).withColumn("refers_to", F.when(F.col("_later"), F.coalesce("refers_to", "page_id")).otherwise(F.col("refers_to")))
+    return out.join(repeated, ["page_id", "digest"], "left_anti").select(*out.columns).unionByName(again.select(*out.columns))
 
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """Writes all pages; returns (name, records, bytes) of the archives."""
-    rows = with_copies(pages).sortWithinPartitions("page_id")
+    rows = with_copies(pages).sortWithinPartitions("page_id", "digest", "url", "refers_to")
     return written(rows.mapInArrow(_writer(folder), "name string, records bigint, bytes bigint"), "archives")
 
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """The records of all archives in a folder."""
-    files = spark.read.format("binaryFile").load(f"{folder}/*.warc.zst")
-    return files.select("content").mapInArrow(_reader, _RECORD)
+    """The records of all archives in a folder, whoever wrote them."""
+    files = spark.read.format("binaryFile").load(f"{folder}/*.warc.zst").select("content")
+
+    def run(batches):
+        for batch in batches:
+            for data in batch.column(0):
+                yield from _records(data.as_py())
+
+    return files.mapInArrow(run, _RECORD)
+
+
+def read_named(archives: DataFrame, folder: str) -> DataFrame:
+    """The records of the archives in a folder that ``archives`` names."""
+    parts = max(1, min(archives.count(), int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    return archives.select("name").repartition(parts, "name").mapInArrow(_read_all(folder), _RECORD)
 
 
 def op7_warc(spark, sf_dir: str) -> DataFrame:
     """Writes the pages as archives, reads these back: a row per record."""
     folder = fresh_path(spark, "warc")
-    names = write_archives(table(spark, sf_dir, "pages"), folder)
-    if names.isEmpty():
-        return spark.createDataFrame([], _RECORD).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
-    delete_at_end(spark, folder)
-    return read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    archives = write_archives(table(spark, sf_dir, "pages"), folder)
+    if not archives.isEmpty():
+        delete_at_end(spark, folder)
+    return read_named(archives, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 OP7_SQL = r"""

@@ -4,17 +4,20 @@ Hashes of all ``K``-code-point grams are taken by a rolling (doubling) scheme;
 in every window of ``WINDOW`` consecutive grams the smallest hash is selected,
 the rightmost of equal ones, and a hash selected again at the same place counts
 once. Any passage of at least ``WINDOW + K - 1`` code points that two texts
-share therefore selects a hash in both; the positions say where it lies. A text
-with fewer grams than a window selects its smallest hash; one shorter than a
+share therefore selects a hash in both, and the positions, which the fingerprint
+holds beside the hashes, say where it lies in either (``located``). A text with
+fewer grams than a window selects its smallest hash; one shorter than a
 gram is hashed whole; the empty text has an empty fingerprint.
 
 The likeness of two fingerprints is the Jaccard similarity of their sets of
 hashes (1 for two empty ones).
 
 ``neighbours`` hands each document the text of the next one by doc_id without
-a global sort: buckets of consecutive ids (bounds from quantiles, which only
-balance the load), sorted each, with the first document of a bucket sent to the
-bucket before as well. Texts cross the network once, compressed.
+a global sort: buckets of consecutive rows by (doc_id, hash of the text), sorted
+each, with the first document of a bucket sent to the bucket before as well.
+Bounds come from quantiles of doc_id, which only balance the load; an id that
+fills several quantiles, or null, is cut further by the hash. Texts cross the
+network once, compressed.
 
 Nulls: a null text is empty; a null doc_id precedes all others. Rows that
 repeat a doc_id are ordered by a hash of their text. In a table of one document
@@ -25,6 +28,8 @@ ignored.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +44,8 @@ K = 16  # a power of two, for the doubling
 WINDOW = 32  # a power of two; shared passages of 47 code points are found
 DOCS_PER_BUCKET = 4000
 MOST_BUCKETS = 20_000
+#: Bytes of text in a partition, where there are more than the session's number.
+PARTITION_BYTES = 256_000_000
 _NO_POSITION = np.uint64(0xFFFFFFFF)
 
 
@@ -89,35 +96,68 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def as_string(hashes: np.ndarray, positions: np.ndarray) -> str:
-    """The fingerprint as text: 8 hexadecimal digits a hash, in text order."""
-    return hashes.astype(">u4").tobytes().hex()
+    """The fingerprint as text: 16 hexadecimal digits a gram, eight of its hash
+    and eight of its position, in text order."""
+    return np.stack([hashes, positions], 1).astype(">u4").tobytes().hex()
 
 
-def _buckets(bounds: list[int], heads: dict[int, int] | None):
+def from_string(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, position) of a fingerprint given as text."""
+    both = np.frombuffer(bytes.fromhex(fingerprint), ">u4").astype(np.uint64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
+
+
+def located(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> list[tuple[int, int]]:
+    """Where two fingerprints meet: (position in a, position in b) of every
+    hash that both hold."""
+    places: dict[int, list[int]] = {}
+    for h, p in zip(b[0].tolist(), b[1].tolist(), strict=True):
+        places.setdefault(h, []).append(p)
+    return [(p, q) for h, p in zip(a[0].tolist(), a[1].tolist(), strict=True) for q in places.get(h, ())]
+
+
+_FIRST, _HASHES = -(1 << 63), 1 << 63
+
+
+def _cut(doc_id: int | None, parts: int) -> list[tuple]:
+    """Bounds that part the rows of one doc_id by their hash."""
+    return [(doc_id is not None, doc_id or 0, _FIRST + 2 * _HASHES * k // parts) for k in range(1, parts)]
+
+
+def _bounds(docs: DataFrame, n: int, n_buckets: int) -> list[tuple]:
+    """Sorted first rows of all buckets but the first, as (has id, id, hash)."""
+    shares = [k / n_buckets for k in range(1, n_buckets)]
+    found, no_id = docs.agg(F.percentile_approx("doc_id", shares, 10 * n_buckets), F.count_if(F.col("doc_id").isNull())).first()
+    times = Counter(found or [])
+    out = _cut(None, -(-no_id * n_buckets // n)) if no_id * n_buckets > n else []
+    for doc_id, k in times.items():
+        out += [(True, doc_id, _FIRST), *_cut(doc_id, k)]
+    return sorted(out)
+
+
+def _buckets(bounds: list[tuple], heads: dict[int, tuple] | None):
     """Rows (bucket, part, doc_id, text_hash, packed text) for the shuffle; with
-    ``heads`` (bucket -> its first doc_id) first documents are sent to the
-    bucket before too, as part 1."""
-    bounds = np.array(bounds, np.int64)
-    before: dict[int | None, list[int]] = {}
-    if heads is not None:
-        order = sorted(heads)
-        for k, b in enumerate(order):
-            before.setdefault(heads[b], []).append(order[k - 1])
+    ``heads`` (bucket -> its first row) first documents are sent to the bucket
+    before too, as part 1."""
+    before: dict[tuple, list[int]] = {}
+    order = sorted(heads or ())
+    for k, b in enumerate(order):  # the bucket before the first is the last
+        before.setdefault(heads[b], []).append(order[k - 1])
 
     def run(batches):
         packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            at = [0 if i is None else int(np.searchsorted(bounds, i, "right")) for i in ids]
+            rows = [(i is not None, i or 0, h) for i, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+            at = [bisect_right(bounds, r) for r in rows]
             if heads is None:
-                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), batch.column(0)], names=["bucket", "doc_id"])
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *batch.columns[:2]], names=["bucket", "doc_id", "text_hash"])
                 continue
             out = []
-            for bucket, doc_id, text in zip(at, ids, batch.column(1).cast(pa.binary()), strict=True):
-                raw = text.as_py() or b""
-                row = (doc_id, xxhash.xxh3_64_intdigest(raw) >> 1, packer.compress(raw))
-                out.append((bucket, 0, *row))
-                out += [(b, 1, *row) for b in before.get(doc_id, ()) if heads[bucket] == doc_id]
+            for bucket, row, text in zip(at, rows, batch.column(2).cast(pa.binary()), strict=True):
+                made = (row[1] if row[0] else None, row[2], packer.compress(text.as_py() or b""))
+                out.append((bucket, 0, *made))
+                if row in before and heads[bucket] == row:
+                    out += [(b, 1, *made) for b in before[row]]
             cols = list(zip(*out, strict=True)) if out else [()] * 5
             kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["bucket", "part", "doc_id", "text_hash", "packed"])
@@ -127,24 +167,22 @@ def _buckets(bounds: list[int], heads: dict[int, int] | None):
 
 def neighbours(docs: DataFrame) -> DataFrame:
     """(bucket, part, doc_id, text_hash, packed), sorted inside partitions so
-    that each part-0 row is followed by its next document."""
+    that each part-0 row is followed by its next document. The last document's
+    next is the first."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    n = docs.count()
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
+    n, n_bytes = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
     n_buckets = max(1, min(MOST_BUCKETS, n // DOCS_PER_BUCKET))
-    bounds: list[int] = []
-    if n_buckets > 1:
-        shares = [k / n_buckets for k in range(1, n_buckets)]
-        found = docs.agg(F.percentile_approx("doc_id", shares, 10 * n_buckets)).first()[0]
-        bounds = sorted(set(found or []))
-    # At most MOST_BUCKETS rows of two numbers reach the driver.
-    ids = docs.select("doc_id").mapInArrow(_buckets(bounds, None), "bucket int, doc_id bigint")
-    firsts = ids.groupBy("bucket").agg(F.min_by("doc_id", F.struct(F.col("doc_id").isNotNull(), "doc_id")).alias("head"))
-    heads = {r[0]: r[1] for r in firsts.collect()}
+    bounds = _bounds(docs, n, n_buckets) if n_buckets > 1 else []
+    # At most some MOST_BUCKETS rows of two numbers reach the driver.
+    keys = docs.select("doc_id", "text_hash").mapInArrow(_buckets(bounds, None), "bucket int, doc_id bigint, text_hash bigint")
+    first = F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash"))
+    heads = {r[0]: tuple(r[1]) for r in keys.groupBy("bucket").agg(first.alias("head")).collect()}
     schema = "bucket int, part int, doc_id bigint, text_hash bigint, packed binary"
     rows = docs.mapInArrow(_buckets(bounds, heads), schema)
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    return rows.repartition(min(parts, max(1, n_buckets)), "bucket").sortWithinPartitions("bucket", "part", "doc_id", "text_hash")
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(len(bounds) + 1, max(shuffles, (n_bytes or 0) // PARTITION_BYTES))
+    return rows.repartition(max(1, parts), "bucket").sortWithinPartitions("bucket", "part", "doc_id", "text_hash")
 
 
 def edited(text: str, following: str) -> str:
