@@ -154,9 +154,8 @@ SELECT event_id, event_type, run FROM j WHERE rn = 1""",
   SELECT *, CASE WHEN left_value IS DISTINCT FROM lag(left_value) OVER w OR right_value IS DISTINCT FROM lag(right_value) OVER w THEN 1 ELSE 0 END AS brk4 FROM j WINDOW w AS (PARTITION BY user_id ORDER BY t)
 ), n4 AS (SELECT *, sum(brk4) OVER (PARTITION BY user_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS run4 FROM b4)
 SELECT user_id, min(t) AS start_t, max(e) AS end_t, min(left_value) AS left_value, min(right_value) AS right_value FROM n4 GROUP BY user_id, run4""",
-    "interval_overlap_semi": f"""WITH {RUNS}, d AS (SELECT *, floor(start_t / 86400)::BIGINT AS day FROM r)
-SELECT user_id, start_t, end_t FROM d a WHERE event_type = 'view' AND user_id % 2 = 0 AND EXISTS (
-  SELECT 1 FROM d b WHERE b.event_type = 'click' AND b.user_id % 2 = 1 AND b.end_t > b.start_t AND a.day = b.day AND a.start_t <= b.end_t AND b.start_t <= a.end_t)""",
+    "interval_overlap_semi": f"""WITH {RUNS} SELECT user_id, start_t, end_t FROM r a WHERE event_type = 'view' AND EXISTS (
+  SELECT 1 FROM r b WHERE b.event_type = 'click' AND b.user_id <> a.user_id AND a.start_t <= b.end_t AND b.start_t <= a.end_t)""",
     "survived_anti": f"""WITH {EVENTS} SELECT event_id, user_id, t FROM e a WHERE event_type = 'error' AND NOT EXISTS (
   SELECT 1 FROM e b WHERE b.event_type = 'purchase' AND b.user_id = a.user_id AND b.t - 86400 <= a.t AND a.t <= b.t)""",
     "unwitnessed_anti": f"""WITH {EVENTS} SELECT event_id, user_id, t FROM e a WHERE event_type = 'purchase' AND NOT EXISTS (
