@@ -78,3 +78,10 @@ def test_with_next_passes_empty_blocks(spark, per_block):
 def test_steps_of_any_length(spark, times, want):
     found = S.infer_preset(spark.createDataFrame([(t,) for t in times], "t double"), "t").first()
     assert (found.min_step is None and want[0] is None or found.min_step == pytest.approx(want[0])) and found.preset == want[1]
+
+
+def test_more_templates_than_constants(spark):
+    from timeline_engine.plans import bitmap_queries as B
+
+    bitmaps, templates = B._bitmaps(spark, DIR), B._templates(spark, DIR)
+    assert rows(B.nearest_two(bitmaps, templates, 3)) == rows(B.nearest_two(bitmaps, templates, 1000))

@@ -3,6 +3,7 @@ label as the class."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bitmaps import bit_distance, normalised_bit_distance, sign_bits
@@ -40,14 +41,29 @@ def _templates(spark, sf_dir):
 def nearest_template(spark, sf_dir):
     """Each bitmap's nearest label and runner-up, and whether it is sure.
 
-    The templates, one a label, are a small dimension: their number is checked,
-    and they enter the expression as constants, so no row is shuffled.
+    The templates, one a label, are a dimension. Up to ``MOST_TEMPLATES`` they
+    enter the expression as constants, so no row is shuffled; more of them meet
+    the bitmaps in blocks, a block a task at a time, and the two nearest of each
+    block are combined.
     """
-    templates = sorted(tuple(r) for r in _templates(spark, sf_dir).limit(MOST_TEMPLATES + 1).collect())
-    if len(templates) > MOST_TEMPLATES:
-        raise ValueError(f"more than {MOST_TEMPLATES} templates")
-    each = [F.struct(bit_distance(F.col("bits"), F.lit(t).cast("bigint")).alias("distance"), F.lit(label).alias("label")) for label, t in templates]
-    out = _bitmaps(spark, sf_dir).withColumn("r", F.array_sort(F.array(*each)))
+    bitmaps, templates = _bitmaps(spark, sf_dir), _templates(spark, sf_dir)
+    return nearest_two(bitmaps, templates, MOST_TEMPLATES)
+
+
+def nearest_two(bitmaps: DataFrame, templates: DataFrame, most: int) -> DataFrame:
+    few = sorted(tuple(r) for r in templates.limit(most + 1).collect())
+    if len(few) <= most:
+        each = [F.struct(bit_distance(F.col("bits"), F.lit(t).cast("bigint")).alias("distance"), F.lit(label).alias("label")) for label, t in few]
+        out = bitmaps.withColumn("r", F.array_sort(F.array(*each)))
+    else:
+        # A table of blocks, each an array of templates: a bitmap meets a block
+        # as one row, whatever the number of templates in it.
+        item = F.struct("template", "label")
+        blocks = templates.groupBy(F.pmod(F.xxhash64("label"), F.lit(64)).alias("block")).agg(F.collect_list(item).alias("held"))
+        spread = bitmaps.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(63))))
+        near = F.transform("held", lambda t: F.struct(bit_distance(F.col("bits"), t["template"]).alias("distance"), t["label"].alias("label")))
+        met = spread.join(blocks, "block").select("vec_id", "label", F.slice(F.array_sort(near), 1, 2).alias("two"))
+        out = met.groupBy("vec_id", "label").agg(F.array_sort(F.flatten(F.collect_list("two"))).alias("r"))
     best, second = F.try_element_at("r", F.lit(1)), F.try_element_at("r", F.lit(2))
     margin = second["distance"] - best["distance"]
     return out.select(
@@ -122,7 +138,7 @@ SELECT label, position, (2 * sum((x > 0)::INT) > count(*))::INT AS bit FROM p GR
 SELECT vec_id, label, CASE WHEN bit_count(bits | head) = 0 THEN 1.0 ELSE bit_count(xor(bits, head))::DOUBLE / bit_count(bits | head) END AS distance FROM v JOIN h USING (label)""",
     "medoid_neighbours": f"""WITH {_BITS} SELECT a.vec_id, a.label, count(b.vec_id)::BIGINT AS neighbours FROM v a LEFT JOIN v b
 ON a.label = b.label AND a.vec_id <> b.vec_id AND bit_count(xor(a.bits, b.bits)) <= 24 GROUP BY 1, 2""",
-    "modal_successor": """WITH s AS (SELECT vec_id, label, lead(label) OVER (PARTITION BY floor(vec_id / 100) ORDER BY vec_id) AS next FROM embeddings),
+    "modal_successor": """WITH s AS (SELECT vec_id, label, lead(label) OVER (ORDER BY vec_id) AS next FROM embeddings),
 c AS (SELECT label, next, count(*)::BIGINT AS weight, min(vec_id) AS seen FROM s WHERE next IS NOT NULL GROUP BY 1, 2),
 k AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY weight DESC, seen) AS rn FROM c) SELECT label, next, weight FROM k WHERE rn = 1""",
     "bitmap_groups": f"WITH {_BITS} SELECT min(vec_id) AS first, count(*)::BIGINT AS n FROM v GROUP BY bits",

@@ -84,7 +84,7 @@ def span_sessions(spark, sf_dir):
 
 
 def state_occupancy(spark, sf_dir):
-    """Time spent in each type's runs, its share, and the longest run."""
+    """Time spent in each type's runs, their number, and the longest run."""
     length = F.col("end_t") - F.col("start_t")
     out = _runs(spark, sf_dir).groupBy("event_type").agg(F.sum(F.round(length).cast("bigint")).alias("total"), F.max(length).alias("longest"), F.count(F.lit(1)).alias("runs"))
     return out
