@@ -1,0 +1,231 @@
+"""Readers over frames drawn from their own atlases."""
+
+import numpy as np
+import pytest
+
+from timeline_engine.functions import readers as R
+
+RNG = np.random.default_rng(4)
+
+
+def glyph(h, w):
+    """A random glyph that fills its box and has ink in every column."""
+    g = RNG.random((h, w)) > 0.45
+    g[0] = g[-1] = True
+    g[RNG.integers(1, h - 1, w), np.arange(w)] = True
+    return g
+
+
+def placed(g, canvas):
+    out = np.zeros(canvas, bool)
+    out[: g.shape[0], : g.shape[1]] = g
+    return out
+
+
+def font(chars, h, w, canvas):
+    drawn = {c: glyph(h, w) for c in chars}
+    return drawn, {c: placed(g, canvas) for c, g in drawn.items()}
+
+
+def line(glyphs, gap=2):
+    h = max(g.shape[0] for g in glyphs)
+    out = []
+    for g in glyphs:
+        cell = np.zeros((h, g.shape[1] + gap), bool)
+        cell[h - g.shape[0] :, : g.shape[1]] = g
+        out.append(cell)
+    return np.hstack(out)[:, :-gap]
+
+
+def draw(frame, mask, x, y, on=250):
+    frame[y : y + mask.shape[0], x : x + mask.shape[1]][mask] = on
+
+
+BOARD, BOARD_ATLAS = font("0123456789/:", 14, 8, (24, 24))
+NAMES = {n: glyph(14, 8 * len(n)) for n in ("alpha", "bravo", "carol", "delta", "echos", "fives", "golfs", "hotel")}
+LABELS = {n: glyph(14, 40) for n in ("TIME", "PLNT", "OVLD")}
+SKULL = glyph(20, 18)
+ATLASES = {"board": BOARD_ATLAS, "names": NAMES, "labels": LABELS, "icons": {"skull": SKULL}}
+
+
+def board_frame():
+    frame = np.full((1080, 1920, 3), 35, np.uint8)
+    for right in (0, R.MIRROR):
+        for column in ("kd", "strk", "stat"):
+            draw(frame, LABELS["PLNT"], R.COLUMNS[column][0] + right + 6, R.LABEL_TOP + 1)
+        for slot, top in enumerate(R.ROW_TOPS):
+            k = slot + (4 if right else 0)
+            on = 250
+            if k == 2:  # the spectated row: dark on bright
+                x0, x1 = R.COLUMNS["number"][0] + right, R.COLUMNS["stat"][1] + right
+                frame[top - R.HIGHLIGHT_RISE : top - R.HIGHLIGHT_RISE + R.HIGHLIGHT_HEIGHT, x0 : x1 + 1] = 250
+                on = 35
+            for column, text in (("number", str(k)), ("kd", f"{k}/1{k}"), ("strk", str(9 - k)), ("stat", f"0:{k}5")):
+                if (column, k) != ("strk", 5):
+                    draw(frame, line([BOARD[c] for c in text]), R.COLUMNS[column][0] + right + 3, top + 1, on)
+            draw(frame, list(NAMES.values())[k], R.COLUMNS["name"][0] + right + 9, top + 1, on)
+            if k in (1, 6):
+                draw(frame, SKULL, R.COLUMNS["gutter"][0] + right + 8, top - 2)
+    noise = R.cut(frame, (*R.COLUMNS["strk"], R.ROW_TOPS[1], R.ROW_TOPS[1] + 15), R.MIRROR)
+    noise[1:15, 8:15] = np.where(RNG.random((14, 7, 1)) > 0.5, 250, 35)  # no glyph of the font
+    return frame
+
+
+def test_board():
+    frame = board_frame()
+    rows = R.read_board(frame, ATLASES)
+    assert [(r["side"], r["slot"]) for r in rows] == [(s, k) for s in ("left", "right") for k in range(4)]
+    for k, r in enumerate(rows):
+        assert (r["number"], r["name"], r["kills"], r["deaths"], r["stat"]) == (k, list(NAMES)[k], k, 10 + k, f"0:{k}5")
+        assert r["streak"] == (None if k == 5 else 9 - k)  # noise is not guessed
+        assert r["gutter"] == ("skull" if k in (1, 6) else "none") and r["spectated"] == (k == 2) and r["stat_label"] == "PLNT"
+        assert r["worst_distance"] == 0 or k == 5
+    moved = frame.copy()
+    moved[R.LABEL_TOP : R.LABEL_TOP + 16, R.MIRROR + 400 : R.MIRROR + 660] = np.roll(frame[R.LABEL_TOP : R.LABEL_TOP + 16, R.MIRROR + 400 : R.MIRROR + 660], 5, 1)
+    with pytest.raises(R.LayoutError):
+        R.read_board(moved, ATLASES)
+    assert len(R.read_board(moved, ATLASES, check=False)) == 8
+
+
+def test_distant_name_is_null():
+    frame = board_frame()
+    x0 = R.COLUMNS["name"][0]
+    frame[R.ROW_TOPS[0] : R.ROW_TOPS[0] + 16, x0 : x0 + 300] = 35
+    draw(frame, glyph(14, 40), x0 + 9, R.ROW_TOPS[0] + 1)
+    assert R.read_board(frame, ATLASES)[0]["name"] is None
+
+
+SCORE, SCORE_ATLAS = font("0123456789", 34, 20, (38, 32))
+CLOCK, CLOCK_ATLAS = font("0123456789", 18, 10, (22, 19))
+ROTATION, ROTATION_ATLAS = font("0123456789", 22, 12, (26, 21))
+LIVES, LIVES_ATLAS = font("0123456789", 15, 9, (19, 16))
+
+
+def colon(h, canvas):
+    g = np.zeros((h // 2, 3), bool)
+    g[:3] = g[-3:] = True
+    return g, placed(g, canvas)
+
+
+CLOCK[":"], CLOCK_ATLAS[":"] = colon(18, (22, 19))
+ROTATION[":"], ROTATION_ATLAS[":"] = colon(22, (26, 21))
+TITLES = {"CDL HARDPOINT": glyph(14, 90), "LIVES REMAINING": glyph(14, 110), "OTHER TITLE": glyph(14, 70)}
+HEADER_ATLASES = {"score": SCORE_ATLAS, "clock": CLOCK_ATLAS, "rotation": ROTATION_ATLAS, "lives": LIVES_ATLAS, "labels": TITLES}
+
+
+def pips(frame, box, levels):
+    for k, level in enumerate(levels):
+        frame[box[2] : box[3] + 1, box[0] + 2 + 16 * k : box[0] + 14 + 16 * k] = level
+
+
+def header_frame(clock="1:42", substrip="LIVES REMAINING", red=False):
+    frame = np.full((1080, 1920, 3), 20, np.uint8)
+    pips(frame, R.HEADER_BOXES["pips_left"], [64, 64, 64, 64, 170])
+    pips(frame, R.HEADER_BOXES["pips_right"], [170, 170, 64, 64, 64])
+    draw(frame, line([SCORE[c] for c in "75"]), 810, 89)
+    draw(frame, line([SCORE["8"]]), 1030, 89)
+    glyphs = [CLOCK[c] for c in clock]
+    draw(frame, line(glyphs, 3), 910, 69, (20, 20, 220) if red else 250)
+    draw(frame, line([ROTATION[c] for c in "0:31"], 3), 958, 117)
+    draw(frame, TITLES["CDL HARDPOINT"], 840, 171)
+    draw(frame, TITLES[substrip], 850, 205)
+    draw(frame, LIVES["3"], 740, 205)
+    draw(frame, LIVES["4"], 1120, 205)
+    return frame
+
+
+def test_header():
+    got = R.read_header(header_frame(), HEADER_ATLASES)
+    worst = got.pop("worst_distance")
+    assert got == {"best_of": 9, "maps_left": 1, "maps_right": 2, "score_left": 75, "score_right": 8, "clock": "1:42", "rotation": "0:31", "mode": "CDL HARDPOINT", "substrip": "LIVES REMAINING", "lives_left": 3, "lives_right": 4}
+    assert worst == 0
+    other = R.read_header(header_frame(substrip="OTHER TITLE"), HEADER_ATLASES)
+    assert (other["substrip"], other["lives_left"], other["lives_right"]) == ("OTHER TITLE", None, None)
+    red = R.read_header(header_frame(clock="285", red=True), HEADER_ATLASES)
+    assert red["clock"] == "28.5"
+    torn = header_frame()
+    torn[72:85, 905:990] = 20  # digits without a part are not read
+    assert R.read_header(torn, HEADER_ATLASES)["clock"] is None
+    odd = header_frame()
+    pips(odd, R.HEADER_BOXES["pips_right"], [170, 170, 64, 64])
+    odd[26:45, 1035 + 66 : 1131] = 20
+    with pytest.raises(R.LayoutError):
+        R.read_header(odd, HEADER_ATLASES)
+
+
+PANEL, PANEL_ATLAS = font("0123456789/:", 14, 8, (24, 24))
+PANEL_ATLASES = {"panel": PANEL_ATLAS, "names": {n: [g] for n, g in NAMES.items()}, "labels": LABELS, "weapons": {"rifle#2": glyph(14, 60), "knife": glyph(14, 50)}}
+
+
+def panel_frame():
+    frame = np.full((1080, 1920, 3), 30, np.uint8)
+    x0, x1, y0, y1 = R.PANEL_BAR
+    frame[895:954, x0 : x1 + 1] = 130
+    draw(frame, NAMES["carol"], 1430, 915)
+    for column, label, text in (("hp", "TIME", "100"), ("kd", "TIME", "7/12"), ("strk", "TIME", "3"), ("stat", "OVLD", "0:42")):
+        draw(frame, LABELS[label], R.PANEL_COLUMNS[column][0] + 14, R.PANEL_LABEL_Y[0] + 2)
+        draw(frame, line([PANEL[c] for c in text]), R.PANEL_COLUMNS[column][0] + 16, R.PANEL_VALUE_Y[0] + 3)
+    draw(frame, PANEL_ATLASES["weapons"]["rifle#2"], 1750, 850)
+    return frame
+
+
+def test_panel():
+    got = R.read_panel(panel_frame(), PANEL_ATLASES)
+    assert got == {"name": "carol", "hp": 100, "kills": 7, "deaths": 12, "streak": 3, "stat": "0:42", "stat_label": "OVLD", "team": "left", "weapon": "rifle"}
+    play = RNG.integers(0, 255, (1080, 1920, 3)).astype(np.uint8)
+    assert R.read_panel(play, PANEL_ATLASES) is None
+    bad = panel_frame()
+    bad[R.PANEL_VALUE_Y[0] + 4 : R.PANEL_VALUE_Y[0] + 12, 1412:1487][:, 20:27] = 250  # one digit of three is spoilt
+    assert R.read_panel(bad, PANEL_ATLASES)["hp"] is None
+    bad[R.PANEL_VALUE_Y[0] : R.PANEL_VALUE_Y[1], 1412:1720] = 30
+    with pytest.raises(R.LayoutError):
+        R.read_panel(bad, PANEL_ATLASES)
+
+
+def test_box_score():
+    fields = ("player_index", "name", "kills_deaths")
+    grey = np.zeros((700, 1920), np.uint8)
+    digits, atlas = font("0123456789/", 20, 10, (24, 24))
+    for k in range(8):
+        y = 100 + 40 * k + (60 if k >= 4 else 0)
+        for x, text in ((300, str(k)), (700, "11"), (1300, f"{k}/{k}")):
+            grey[y : y + 20, x : x + 12 * len(text) - 2][line([digits[c] for c in text])] = 255
+        grey[y : y + 20, 1400] = 255 if k == 9 else 0
+    rows = R.read_box(grey, atlas, fields)
+    assert [r["player_index"] for r in rows] == list("01234567") and rows[3]["kills_deaths"] == "3/3" and all(r["max_distance"] == 0 and r["min_margin"] > 0 for r in rows)
+    with pytest.raises(R.LayoutError):
+        R.read_box(grey, atlas, fields[:2])
+    with pytest.raises(R.LayoutError):
+        R.read_box(grey * 0, atlas, fields)
+
+
+def test_state_and_geometry():
+    frame = np.full((1080, 1920, 3), 60, np.uint8)
+    for k in range(4):
+        frame[110 + 32 * k : 126 + 32 * k, 120:160] = 200
+    tag = np.zeros((24, 134), bool)
+    tag[:, ::9] = tag[12] = True
+    frame[300:340, 400:550] = (0, 128, 255)
+    frame[308:332, 408:542][tag] = 255
+    got = R.probe_state(frame, (100, 300, 100, 250), (400, 549, 300, 339), {"REPLAY": tag, "OTHER": ~tag})
+    assert got["chrome"] and got["name_rows"] == 4 and got["tag"] == "REPLAY" and got["tag_distance"] == 0 and got["series_orange"] > 0.2 and got["boxscore_columns"] is None
+    assert R.even_crop((39, 656, 18, 225)) == (36, 16, 622, 212)
+    crops = R.strip_crops()
+    assert all(v % 2 == 0 for c in crops.values() for v in c) and crops["scoreboard_right"][0] - crops["scoreboard_left"][0] == R.MIRROR
+    a, b = R.pasted({(4, 6): np.full((2, 2, 3), 9, np.uint8)}, (20, 20, 3)), R.pasted({}, (20, 20, 3))
+    assert a[6:8, 4:6].min() == 9 and a.sum() == 9 * 12 and b.sum() == 0
+
+
+def test_readers_as_dataframes(spark):
+    def crop(f):
+        return (*f.shape, f.tobytes())
+
+    rows = [(1.0, crop(board_frame())), (2.0, crop(np.zeros((1080, 1920, 3), np.uint8))), (3.0, None)]
+    frames = spark.createDataFrame(rows, "t double, crop struct<h:int,w:int,c:int,pixels:binary>")
+    board = R.board_rows(frames, ATLASES)
+    assert sorted((r.t, r.number, r.name) for r in board.collect()) == [(1.0, k, n) for k, n in enumerate(NAMES)]
+    assert {r.number for r in R.by_player(board).where("dead").collect()} == {1, 6} and R.roster(board).count() == 8
+    header = R.header_row(spark.createDataFrame([(1.0, crop(header_frame()))], frames.schema), HEADER_ATLASES).first()
+    assert (header.clock, header.best_of, header.lives_right) == ("1:42", 9, 4)
+    panel = R.panel_row(spark.createDataFrame([(1.0, crop(panel_frame())), (2.0, None)], frames.schema), PANEL_ATLASES).orderBy("t").collect()
+    assert (panel[0].name, panel[0].hp, panel[1].name) == ("carol", 100, None)
