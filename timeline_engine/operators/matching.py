@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from .grouped import fold_groups
 
 
-def greedy_pairs(a: list[float], b: list[float], window: float, offset: float = 0.0) -> list[tuple[int, int]]:
+def greedy_pairs(a: list[float], b: list[float], window: float, offset: float = 0.0, signed: bool = False) -> list[tuple[int, int]]:
     """Index pairs with |b - (a + offset)| <= window, each index used once,
-    taken by distance, then position in ``a``, then in ``b``; both sorted."""
+    taken by distance, then (``signed``) earlier before later, then position in
+    ``a``, then in ``b``; both sorted."""
     found, lo = [], 0
     for i, t in enumerate(a):
         centre = t + offset
@@ -26,11 +27,12 @@ def greedy_pairs(a: list[float], b: list[float], window: float, offset: float =
             lo += 1
         j = lo
         while j < len(b) and b[j] <= centre + window:
-            found.append((abs(b[j] - centre), i, j))
+            far = b[j] - centre
+            found.append((abs(far), far if signed else 0.0, i, j))
             j += 1
     found.sort()
     used_a, used_b, out = set(), set(), []
-    for _, i, j in found:
+    for _, _, i, j in found:
         if i not in used_a and j not in used_b:
             used_a.add(i)
             used_b.add(j)
@@ -62,6 +64,28 @@ def match_events(falls: DataFrame, events: DataFrame, keys: Sequence[str], windo
     return fold_groups(both.select(*keys, "t", "_side", "_piece"), [*keys, "_piece"], ["t"], choose, schema)
 
 
+def match_both(steps: DataFrame, events: DataFrame, keys: Sequence[str], window: float) -> DataFrame:
+    """(keys, t, event_t, delta) of every step of a counter and every event,
+    matched one-to-one, nearest first; a step without event, or an event without
+    step, has null on the other side. Each row counts, equal ones too."""
+    both = steps.select(*keys, "t", F.lit(0).alias("_side")).unionByName(events.select(*keys, "t", F.lit(1).alias("_side")))
+    w = Window.partitionBy(*keys).orderBy("t")
+    far = (F.col("t") - F.lag("t").over(w) > window).cast("int")
+    both = both.withColumn("_piece", F.sum(F.coalesce(far, F.lit(0))).over(w))
+    n = len(keys)
+
+    def choose(rows: list[tuple]) -> list[tuple]:
+        mine, theirs = ([r[n] for r in rows if r[n + 1] == side] for side in (0, 1))
+        hit = dict(greedy_pairs(mine, theirs, window, signed=True))
+        left = sorted(set(range(len(theirs))) - set(hit.values()))
+        pairs = [(t, theirs[hit[i]] if i in hit else None) for i, t in enumerate(mine)] + [(None, theirs[j]) for j in left]
+        return [(*rows[0][:n], t, e, None if t is None or e is None else e - t) for t, e in pairs]
+
+    types = dict(steps.dtypes)
+    schema = ", ".join([*(f"`{k}` {types[k]}" for k in keys), "t double", "event_t double", "delta double"])
+    return fold_groups(both.select(*keys, "t", "_side", "_piece"), [*keys, "_piece"], ["t", "_side"], choose, schema)
+
+
 def candidate_counts(falls: DataFrame, events: DataFrame, keys: Sequence[str], offsets: Sequence[float], window: float) -> DataFrame:
     """For each offset, how many falls have an event in the window, and how many
     candidate pairs there are. Falls are repeated per offset, a fixed list."""

@@ -410,3 +410,90 @@ def kill_checks(box: DataFrame, team: int = 4) -> DataFrame:
     )
     one = lambda a, b: F.struct(F.lit(f"{a} kills").alias("name"), ((F.col("rows") == 2 * team) & (F.col(f"{a}_kills") <= F.col(f"{b}_deaths"))).alias("passed"), (F.col(f"{b}_deaths") - F.col(f"{a}_kills")).alias("others"))
     return total.select("vod", "map", F.explode(F.array(one("left", "right"), one("right", "left"))).alias("c")).select("vod", "map", "c.name", "c.passed", "c.others")
+
+
+#: Seconds within which an increment meets its event.
+INCREMENT_WINDOW = 1.5
+
+
+def localise(steps: DataFrame, events: DataFrame, window: float = INCREMENT_WINDOW) -> DataFrame:
+    """(vod, field, player, t, event_t, delta): increments of kills against the
+    events of that attacker, of deaths against those of that victim, one-to-one.
+    A null event_t is a lost event, a null t an invented one."""
+    role = F.explode(F.array(F.struct(F.lit("kills").alias("field"), F.col("attacker").alias("player")), F.struct(F.lit("deaths").alias("field"), F.col("victim").alias("player"))))
+    cast = events.select("vod", "t", role.alias("x")).select("vod", "x.field", "x.player", "t").where(F.col("player").isNotNull())
+    mine = steps.select("vod", "field", "player", F.col("latest").alias("t"))
+    return M.match_both(mine, cast, ["vod", "field", "player"], window)
+
+
+def localise_report(found: DataFrame) -> DataFrame:
+    """(vod, field, increments, matched, lost, invented, median_delta)."""
+    both = F.col("t").isNotNull() & F.col("event_t").isNotNull()
+    return found.groupBy("vod", "field").agg(
+        F.count("t").alias("increments"), F.count_if(both).alias("matched"), F.count_if(F.col("event_t").isNull()).alias("lost"),
+        F.count_if(F.col("t").isNull()).alias("invented"), F.median("delta").alias("median_delta"),
+    )
+
+
+def best_of_outliers(header: DataFrame | Header) -> tuple[DataFrame, DataFrame]:
+    """((vod, value) by weight of samples, the runs that say otherwise)."""
+    runs = Header.of(header).runs.where((F.col("field") == "best_of") & F.col("value").isNotNull())
+    mode = A.weighted_mode(runs, VOD, "value", F.col("samples"), F.col("start_t")).drop("weight")
+    other = runs.join(mode.withColumnRenamed("value", "_mode"), VOD).where(F.col("value") != F.col("_mode"))
+    return mode, other.select(*runs.columns)
+
+
+def spectated_runs(board: DataFrame) -> DataFrame:
+    """Runs in which a slot was the spectated one."""
+    return board.where(F.coalesce(F.col("spectated"), F.lit(False)))
+
+
+def spectated_counts(board: DataFrame, maps: DataFrame, step: float = 1.0) -> DataFrame:
+    """(vod, slots, instants): at how many sampled instants of a map how many
+    slots were marked spectated; one is right."""
+    spans = maps.select("vod", F.col("start_t"), F.col("end_t"))
+    at = J.instants(spans, step).select("vod", "t").distinct()
+    runs = spectated_runs(board).select("vod", "side", "slot", F.col("start_t").alias("_lo"), F.col("end_t").alias("_hi"))
+    met = J.interval_join(at, runs, VOD, "t", "_lo", "_hi").groupBy("vod", "t").agg(F.count_distinct("side", "slot").alias("slots"))
+    return at.join(met, ["vod", "t"], "left").groupBy("vod", F.coalesce("slots", F.lit(0)).alias("slots")).agg(F.count(F.lit(1)).alias("instants"))
+
+
+def in_rounds(events: DataFrame, found: DataFrame) -> DataFrame:
+    """Events with the map and round (half-open) that hold them."""
+    spans = found.select(*MAP, "number", F.col("start_t").alias("_lo"), F.col("end_t").alias("_hi"))
+    return J.interval_join(events, spans, VOD, "t", "_lo", "_hi", closed=False).drop("_lo", "_hi")
+
+
+def round_checks(found: DataFrame, events: DataFrame, sides: DataFrame, winners: DataFrame, team: int = LIVES) -> DataFrame:
+    """(vod, map, check, wrong): how many rounds of a map break each rule: an
+    edge seen by all witnesses, an outcome, a winner, no player dead twice, no
+    side with more than ``team`` dead; and whether the side with more rounds
+    won the map."""
+    part = [*MAP, "number"]
+    held = in_rounds(events.where(F.col("victim").isNotNull()), found)
+    twice = held.groupBy(*part, "victim").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).groupBy(*MAP).agg(F.count_distinct("number").alias("twice"))
+    named = held.join(sides.select("vod", F.col("name").alias("victim"), "side"), ["vod", "victim"])
+    many = named.groupBy(*part, "side").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > team).groupBy(*MAP).agg(F.count_distinct("number").alias("many"))
+    edges = (F.col("number") > 1) & (F.size("witnesses") < 3)
+    won = lambda side: F.count_if(F.col("winner") == side)
+    total = found.groupBy(*MAP).agg(
+        F.count_if(edges).alias("unseen"), F.count_if(F.col("outcome").isNull()).alias("open"), F.count_if(F.col("winner").isNull()).alias("undecided"), won("left").alias("l"), won("right").alias("r")
+    )
+    out = total.join(twice, MAP, "left").join(many, MAP, "left").join(winners.select("vod", F.col("number").alias("map"), F.col("winner").alias("_w")), MAP, "left")
+    ahead = F.when(F.col("l") > F.col("r"), "left").when(F.col("r") > F.col("l"), "right")
+    checks = {"witnesses": F.col("unseen"), "outcome": F.col("open"), "winner": F.col("undecided"), "one death each": F.col("twice"), "deaths of a side": F.col("many"), "rounds and map": (F.col("_w").isNotNull() & ~ahead.eqNullSafe(F.col("_w"))).cast("bigint")}
+    each = [F.struct(F.lit(k).alias("check"), F.coalesce(v.cast("bigint"), F.lit(0)).alias("wrong")) for k, v in checks.items()]
+    return out.select(*MAP, F.explode(F.array(*each)).alias("c")).select(*MAP, "c.*")
+
+
+def margin_checks(box: DataFrame, floor: int = 8) -> DataFrame:
+    """Box rows whose least glyph margin lies below the floor."""
+    return box.where(F.col("min_margin") < floor)
+
+
+def anchor_checks(segments: DataFrame, anchors: DataFrame, states: tuple[str, ...] = ("boxscore", "series")) -> DataFrame:
+    """(vod, t, state, ok): whether each known instant lies in a segment of one
+    of ``states``."""
+    runs = segments.select("vod", "start_t", "end_t", "state")
+    found = J.value_at(anchors, runs, VOD, "t", ["state"], closed=False)
+    return found.withColumn("ok", F.coalesce(F.col("state").isin(*states), F.lit(False)))

@@ -1,0 +1,106 @@
+"""Heartbeats of long jobs: a small JSON file per job, replaced as a whole."""
+
+from __future__ import annotations
+
+import json
+import os
+import time
+from collections import deque
+from dataclasses import asdict, dataclass, replace
+from pathlib import Path
+
+#: Seconds between writes, ticks that the rate is taken over,
+#: seconds without a write after which a job counts as stalled.
+WRITE_EVERY, RATE_TICKS, STALE_AFTER = 0.5, 40, 30.0
+
+
+@dataclass(frozen=True)
+class Heartbeat:
+    name: str
+    label: str
+    done: int
+    total: int | None
+    started: float
+    updated: float
+    pid: int
+    finished: bool = False
+    error: str | None = None
+    rate: float | None = None
+
+    @property
+    def share(self) -> float | None:
+        return min(1.0, self.done / self.total) if self.total else None
+
+    @property
+    def left(self) -> float | None:
+        """Seconds to go at the present rate."""
+        return (self.total - self.done) / self.rate if self.total and self.rate else None
+
+    def state(self, now: float) -> str:
+        if self.error is not None:
+            return "failed"
+        if self.finished:
+            return "done"
+        return "stalled" if now - self.updated > STALE_AFTER else "running"
+
+
+class Job:
+    """Writes its heartbeat as it goes; an error inside ``with`` is recorded."""
+
+    def __init__(self, folder: str | Path, name: str, label: str = "", total: int | None = None, clock=time.time):
+        self.path, self.clock = Path(folder) / f"{name}.json", clock
+        now = clock()
+        self.beat = Heartbeat(name, label or name, 0, total, now, now, os.getpid())
+        self.ticks: deque[tuple[float, int]] = deque([(now, 0)], maxlen=RATE_TICKS)
+        self._write()
+
+    def _write(self, **changes) -> None:
+        self.beat = replace(self.beat, updated=self.clock(), **changes)
+        draft = self.path.with_suffix(f".{os.getpid()}.draft")
+        draft.parent.mkdir(parents=True, exist_ok=True)
+        draft.write_text(json.dumps(asdict(self.beat)))
+        os.replace(draft, self.path)  # a reader sees the old file or the new one
+
+    def advance(self, n: int = 1) -> None:
+        now, done = self.clock(), self.beat.done + n
+        self.ticks.append((now, done))
+        (t0, d0), rate = self.ticks[0], self.beat.rate
+        rate = (done - d0) / (now - t0) if now > t0 else rate
+        self.beat, due = replace(self.beat, done=done, rate=rate), now - self.beat.updated >= WRITE_EVERY
+        if due:
+            self._write()
+
+    def __enter__(self) -> Job:
+        return self
+
+    def __exit__(self, kind, error, trace) -> None:
+        self._write(finished=True, error=None if error is None else f"{kind.__name__}: {error}")
+
+
+def heartbeats(folder: str | Path) -> list[Heartbeat]:
+    """All jobs of a folder, by start; files that are no heartbeat are passed."""
+    found = []
+    for path in Path(folder).glob("*.json"):
+        try:
+            found.append(Heartbeat(**json.loads(path.read_text())))
+        except (ValueError, TypeError, OSError):
+            continue
+    return sorted(found, key=lambda b: (b.started, b.name))
+
+
+def duration(seconds: float) -> str:
+    minutes, rest = divmod(round(seconds), 60)
+    hours, minutes = divmod(minutes, 60)
+    return f"{hours}h{minutes:02d}m" if hours else f"{minutes}m{rest:02d}s" if minutes else f"{rest}s"
+
+
+def status_rows(folder: str | Path, now: float | None = None, width: int = 20) -> list[str]:
+    """One line of text a job."""
+    now = time.time() if now is None else now
+    out = []
+    for b in heartbeats(folder):
+        filled = round(width * (b.share or 0.0))
+        bar = "#" * filled + "." * (width - filled) if b.share is not None else "?" * width
+        more = b.error or (f"{duration(b.left)} left" if b.left is not None and b.state(now) == "running" else duration(b.updated - b.started))
+        out.append(f"{b.label:<24} [{bar}] {b.done}{f'/{b.total}' if b.total else ''} {b.state(now)} {more}")
+    return out
