@@ -83,11 +83,15 @@ def agreement(df: DataFrame, a: str, b: str, keys: Sequence[str] = ()) -> DataFr
 
 
 def occupancy(segments: DataFrame, state: str, top: int = 3) -> DataFrame:
-    """(state, total, share, longest): time per state, with its longest
-    segments."""
-    length = F.col("end_t") - F.col("start_t")
-    out = segments.groupBy(state).agg(F.sum(length).alias("total"), F.slice(F.sort_array(F.collect_list(length), asc=False), 1, top).alias("longest"))
-    return out.withColumn("share", F.col("total") / F.sum("total").over(Window.partitionBy()))
+    """(state, total, share, longest): time per state, its share of all time,
+    and the lengths of its ``top`` longest segments, which are ranked before
+    they are gathered."""
+    lengths = segments.select(state, (F.col("end_t") - F.col("start_t")).alias("_l"))
+    total = lengths.groupBy(state).agg(F.sum("_l").alias("total"))
+    rank = F.row_number().over(Window.partitionBy(state).orderBy(F.desc("_l")))
+    most = lengths.withColumn("_r", rank).where(F.col("_r") <= top).groupBy(state).agg(F.sort_array(F.collect_list("_l"), asc=False).alias("longest"))
+    share = F.col("total") / F.sum("total").over(Window.partitionBy())
+    return total.withColumn("share", share).join(most, state)
 
 
 def consistent_map(df: DataFrame, key: str, value: str) -> DataFrame:

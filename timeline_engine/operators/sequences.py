@@ -110,6 +110,20 @@ def consensus(witnesses: DataFrame, keys: Sequence[str], time: str, name: str, r
     return merged.select(*keys, F.col("b.t").alias("t"), names.alias("witnesses"), (F.size(names) >= needed).alias("confirmed"))
 
 
+def every_nth(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    """Systematic sample: the first row of every ``n`` of a key."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") % n == (1 if n > 1 else 0)).drop("_n")
+
+
+def seeded_sample(df: DataFrame, keys: Sequence[str], identity: str, size: int, seed: str) -> DataFrame:
+    """The ``size`` rows of each key with the least digest of seed and identity:
+    the same rows at every run, whatever the order of the table. Ranks are
+    limited before the shuffle."""
+    w = Window.partitionBy(*keys).orderBy(F.md5(F.concat(F.lit(seed), F.col(identity).cast("string")).cast("binary")), identity)
+    return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= size).drop("_n")
+
+
 def chains(rows: list[tuple], max_gap: float, slack: float) -> list[list[int]]:
     """Chains of sightings: rows are (t, slot, features), sorted by t and slot.
 

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import seconds
 from ..operators import aggregates as A
+from ..operators import feed as E
 from ..operators import matching as M
 from ..operators import runs as R
 from ..operators import temporal_joins as J
+from . import segments as G
 from .inputs import DAY, EVENTS, HOUR, RUNS, events, read, typed
 
 KEY, ORDER = ["user_id"], ["t", "event_id"]
@@ -114,6 +116,35 @@ def greedy_sweep(spark, sf_dir):
     return M.sweep(e, p, KEY, OFFSETS, 6 * HOUR)
 
 
+def step_match(spark, sf_dir):
+    """Errors and purchases of a user within two days, matched one-to-one, with
+    those on either side that are left over."""
+    e, p = (typed(spark, sf_dir, k).select("user_id", "t") for k in ("error", "purchase"))
+    return M.match_both(e, p, KEY, 2 * DAY)
+
+
+def neighbour_vote(spark, sf_dir):
+    """The event type that a user's hour and its neighbours of the same k modulo
+    5 prefer."""
+    e = events(spark, sf_dir).withColumn("h", F.floor(F.col("t") / HOUR).cast("double"))
+    rows = e.groupBy("user_id", F.col("h").alias("t"), (F.col("event_id") % 3).alias("slot")).agg((F.min("k") % 5).alias("signature"))
+    votes = e.select("user_id", F.col("h").alias("t"), (F.col("event_id") % 3).alias("slot"), F.lit("type").alias("role"), F.col("event_type").alias("player"), F.lit(1.0).alias("weight"))
+    return E.neighbour_votes(rows.where(F.col("signature").isNotNull()), votes, KEY).drop("role")
+
+
+def first_in_day(spark, sf_dir):
+    """The first event of each user and day."""
+    e = events(spark, sf_dir).select("user_id", F.floor(F.col("t") / DAY).cast("bigint").alias("day"), "t", F.col("event_id").alias("attacker"), F.col("event_type").alias("victim"))
+    return E.first_of(e, ["user_id", "day"])
+
+
+def kill_checks(spark, sf_dir):
+    """Whether a side's kills exceed the other's deaths, by day."""
+    e = events(spark, sf_dir).select(F.lit("v").alias("vod"), F.floor(F.col("t") / DAY).cast("int").alias("map"), (F.col("user_id") % 8 + 1).cast("int").alias("slot"), F.coalesce("k", F.lit(0)).alias("k"), "event_type")
+    box = e.groupBy("vod", "map", "slot").agg(F.sum("k").alias("kills"), (F.count(F.lit(1)) * 45).alias("deaths"))
+    return G.kill_checks(box).select("map", "name", "passed", "others")
+
+
 def unpivot_roles(spark, sf_dir):
     """Ship instants of line items and order instants of orders, as one list."""
     li = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("key"), F.lit("shipped").alias("role"), seconds(F.col("l_shipdate")).alias("t"))
@@ -121,10 +152,44 @@ def unpivot_roles(spark, sf_dir):
     return li.unionByName(o).groupBy("key", "role").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("first_t"), F.max("t").alias("last_t"))
 
 
-QUERIES = {f.__name__: f for f in (live_gate, asof_value, asof_backward, asof_forward, asof_slack_first, pair_series, interval_overlap_semi, survived_anti, unwitnessed_anti, expand_instants, agreement_rate, greedy_match, offset_sweep, greedy_sweep, unpivot_roles)}
+QUERIES = {f.__name__: f for f in (live_gate, asof_value, asof_backward, asof_forward, asof_slack_first, pair_series, interval_overlap_semi, survived_anti, unwitnessed_anti, expand_instants, agreement_rate, greedy_match, offset_sweep, greedy_sweep, step_match, neighbour_vote, first_in_day, kill_checks, unpivot_roles)}
 
 _OFFSETS = ", ".join(f"({x})" for x in OFFSETS)
+
+
+def _greedy(a: str, b: str, key: str, window: float, order: str) -> str:
+    """CTEs that take candidate pairs one by one: z holds key, i, j. ``a`` and
+    ``b`` select key and t."""
+    return f"""a AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY t) AS i FROM ({a})), b AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY t) AS j FROM ({b})),
+c AS (SELECT ({key}) AS key, i, j, row_number() OVER (PARTITION BY {key} ORDER BY abs(b.t - a.t), {order} i, j) AS k FROM a JOIN b USING ({key}) WHERE abs(b.t - a.t) <= {window}),
+f AS (SELECT DISTINCT key, 0::BIGINT AS k, []::BIGINT[] AS ua, []::BIGINT[] AS ub FROM c
+  UNION ALL SELECT f.key, c.k, CASE WHEN list_contains(ua, i) OR list_contains(ub, j) THEN ua ELSE list_append(ua, i) END, CASE WHEN list_contains(ua, i) OR list_contains(ub, j) THEN ub ELSE list_append(ub, j) END
+  FROM f JOIN c ON c.key = f.key AND c.k = f.k + 1),
+y AS (SELECT key, arg_max(ua, k) AS ua, arg_max(ub, k) AS ub FROM f GROUP BY key), z AS (SELECT key, unnest(ua) AS i, unnest(ub) AS j FROM y)"""
+
+
+_ERRORS, _BUYS = "SELECT user_id, t FROM e WHERE event_type = 'error'", "SELECT user_id, t FROM e WHERE event_type = 'purchase'"
+_SHIFTED = "SELECT x AS off, user_id, t + x AS t FROM e, o WHERE event_type = 'error'"
 ORACLE_SQL = {
+    "greedy_match": f"""WITH RECURSIVE {EVENTS}, {_greedy(_ERRORS, _BUYS.replace("SELECT", "SELECT DISTINCT"), "user_id", 2 * DAY, "")}
+SELECT a.user_id, a.t, b.t AS matched_t, b.t - a.t AS delta FROM a LEFT JOIN z ON z.key = a.user_id AND z.i = a.i LEFT JOIN b ON b.user_id = a.user_id AND b.j = z.j""",
+    "greedy_sweep": f"""WITH RECURSIVE {EVENTS}, o(x) AS (SELECT x::DOUBLE FROM (VALUES {_OFFSETS}) v(x)), {_greedy(_SHIFTED, "SELECT DISTINCT x AS off, user_id, t FROM e, o WHERE event_type = 'purchase'", "off, user_id", 6 * HOUR, "")}
+SELECT a.off AS "offset", count(*)::BIGINT AS falls, count(z.j)::BIGINT AS matched FROM a LEFT JOIN z ON z.key = (a.off, a.user_id) AND z.i = a.i GROUP BY a.off""",
+    "step_match": f"""WITH RECURSIVE {EVENTS}, {_greedy(_ERRORS, _BUYS, "user_id", 2 * DAY, "b.t - a.t,")}
+SELECT a.user_id, a.t, b.t AS event_t, b.t - a.t AS delta FROM a LEFT JOIN z ON z.key = a.user_id AND z.i = a.i LEFT JOIN b ON b.user_id = a.user_id AND b.j = z.j
+UNION ALL SELECT b.user_id, NULL, b.t, NULL FROM b WHERE NOT EXISTS (SELECT 1 FROM z WHERE z.key = b.user_id AND z.j = b.j)""",
+    "neighbour_vote": f"""WITH {EVENTS}, x AS (SELECT user_id, floor(t / 3600)::DOUBLE AS t, event_id % 3 AS slot, k, event_type FROM e),
+r AS (SELECT user_id, t, slot, min(k) % 5 AS sig FROM x GROUP BY 1, 2, 3 HAVING min(k) IS NOT NULL), v AS (SELECT user_id, t, slot, event_type AS player, count(*)::DOUBLE AS n FROM x GROUP BY 1, 2, 3, 4),
+l AS (SELECT user_id, t, slot, t AS at, slot AS s, 1.0::DOUBLE AS w FROM r UNION ALL
+  SELECT a.user_id, a.t, a.slot, b.t, b.slot, 0.5 FROM r a JOIN r b ON a.user_id = b.user_id AND a.sig = b.sig AND abs(b.t - a.t) BETWEEN 1 AND 3 AND (CASE WHEN b.t < a.t THEN b.slot <= a.slot ELSE b.slot >= a.slot END)),
+p AS (SELECT l.user_id, l.t, l.slot, player, sum(w * n) AS s FROM l JOIN v ON v.user_id = l.user_id AND v.t = l.at AND v.slot = l.s GROUP BY 1, 2, 3, 4),
+q AS (SELECT *, row_number() OVER (PARTITION BY user_id, t, slot ORDER BY s DESC, player) AS rn, sum(s) OVER (PARTITION BY user_id, t, slot) AS total FROM p)
+SELECT user_id, t, slot, player AS label, round(s / total, 3) AS agreement FROM q WHERE rn = 1""",
+    "first_in_day": f"""WITH {EVENTS}, q AS (SELECT *, floor(t / 86400)::BIGINT AS day, row_number() OVER (PARTITION BY user_id, floor(t / 86400) ORDER BY t, event_id) AS rn FROM e)
+SELECT user_id, day, t, event_id AS attacker, event_type AS victim FROM q WHERE rn = 1""",
+    "kill_checks": f"""WITH {EVENTS}, s AS (SELECT floor(t / 86400)::INT AS map, user_id % 8 + 1 AS slot, sum(coalesce(k, 0))::BIGINT AS kills, count(*) * 45 AS deaths FROM e GROUP BY 1, 2),
+m AS (SELECT map, count(*) AS n, sum(kills) FILTER (WHERE slot <= 4)::BIGINT AS lk, sum(deaths) FILTER (WHERE slot <= 4)::BIGINT AS ld, sum(kills) FILTER (WHERE slot > 4)::BIGINT AS rk, sum(deaths) FILTER (WHERE slot > 4)::BIGINT AS rd FROM s GROUP BY map)
+SELECT map, 'left kills' AS name, n = 8 AND lk <= rd AS passed, rd - lk AS others FROM m UNION ALL SELECT map, 'right kills', n = 8 AND rk <= ld, ld - rk FROM m""",
     "live_gate": f"""WITH {RUNS}, s AS (SELECT user_id, start_t + 3600 AS a, end_t - 3600 AS z FROM r WHERE event_type = 'view' AND end_t - start_t > 7200)
 SELECT event_id, user_id, t FROM e WHERE EXISTS (SELECT 1 FROM s WHERE s.user_id = e.user_id AND e.t >= s.a AND e.t <= s.z)""",
     "asof_value": f"""WITH {RUNS} SELECT e.event_id, r.event_type, r.samples FROM e LEFT JOIN r

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.exprs import screen_state
+from ..operators import aggregates as A
 from ..operators import runs as R
 from .inputs import DAY, EVENTS, HOUR, RUNS, events, read
 
@@ -90,6 +91,13 @@ def state_occupancy(spark, sf_dir):
     return out
 
 
+def state_share(spark, sf_dir):
+    """Each type's share of the time in runs, and its third longest run."""
+    whole = _runs(spark, sf_dir).select("event_type", F.floor("start_t").alias("start_t"), F.floor("end_t").alias("end_t"))
+    out = A.occupancy(whole, "event_type")
+    return out.select("event_type", "total", "share", F.try_element_at("longest", F.lit(3)).alias("third"))
+
+
 def adjacent_roles(spark, sf_dir):
     """Runs of one role in a conversation."""
     c = read(spark, sf_dir, "conversations")
@@ -97,7 +105,7 @@ def adjacent_roles(spark, sf_dir):
     return out.select("conv_id", "run", "role", F.col("start_t").alias("first_turn"), F.col("end_t").alias("last_turn"), F.col("samples").alias("turns"))
 
 
-QUERIES = {f.__name__: f for f in (rle_runs, rle_runs_gap, rle_null_value, longest_run, run_length_histogram, stitched_runs, sample_interval, state_case, bridge_gaps, state_segments, session_windows, span_sessions, state_occupancy, adjacent_roles)}
+QUERIES = {f.__name__: f for f in (rle_runs, rle_runs_gap, rle_null_value, longest_run, run_length_histogram, stitched_runs, sample_interval, state_case, bridge_gaps, state_segments, session_windows, span_sessions, state_occupancy, state_share, adjacent_roles)}
 
 ORACLE_SQL = {
     "rle_runs": f"WITH {RUNS} SELECT * FROM r",
@@ -142,6 +150,8 @@ SELECT user_id, session, min(t) AS start_t, max(t) AS end_t, count(*)::BIGINT AS
 SELECT user_id, session, min(start_t) AS start_t, max(end_t) AS end_t, count(*)::BIGINT AS items FROM s GROUP BY user_id, session""",
     "state_occupancy": f"""WITH {RUNS} SELECT event_type, sum(round(end_t - start_t)::BIGINT)::BIGINT AS total, max(end_t - start_t) AS longest, count(*)::BIGINT AS runs
 FROM r GROUP BY event_type""",
+    "state_share": f"""WITH {RUNS}, l AS (SELECT event_type, floor(end_t)::BIGINT - floor(start_t)::BIGINT AS len, row_number() OVER (PARTITION BY event_type ORDER BY floor(end_t)::BIGINT - floor(start_t)::BIGINT DESC) AS rn FROM r)
+SELECT event_type, sum(len)::BIGINT AS total, sum(len)::DOUBLE / (SELECT sum(len) FROM l)::DOUBLE AS share, max(len) FILTER (WHERE rn = 3) AS third FROM l GROUP BY event_type""",
     "adjacent_roles": """WITH b AS (
   SELECT *, CASE WHEN role IS DISTINCT FROM lag(role) OVER w OR lag(turn) OVER w IS NULL THEN 1 ELSE 0 END AS brk FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
 ), n AS (SELECT *, sum(brk) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)::BIGINT AS run FROM b)

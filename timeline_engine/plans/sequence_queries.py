@@ -91,18 +91,22 @@ def over_four(spark, sf_dir):
     return out.where(F.col("n") > 4).withColumn("repeated", F.col("types") < F.col("n"))
 
 
+def _named(boundaries):
+    return boundaries.withColumn("witnesses", F.array_join("witnesses", ","))
+
+
 def boundary_consensus(spark, sf_dir):
     """Instants of a user at which error, purchase and signup fall together."""
     rank = F.when(F.col("event_type") == "error", 0).when(F.col("event_type") == "purchase", 1).otherwise(2)
     w = events(spark, sf_dir).where(F.col("event_type").isin("error", "purchase", "signup")).withColumn("rank", rank)
-    return S.consensus(w, KEY, "t", "event_type", "rank", DAY, 2)
+    return _named(S.consensus(w, KEY, "t", "event_type", "rank", DAY, 2))
 
 
 def round_boundaries(spark, sf_dir):
     """The same where a witness may join a boundary once only."""
     rank = F.when(F.col("event_type") == "error", 0).when(F.col("event_type") == "purchase", 1).otherwise(2)
     w = events(spark, sf_dir).where(F.col("event_type").isin("error", "purchase", "signup")).withColumn("rank", rank)
-    return S.consensus(w, KEY, "t", "event_type", "rank", DAY, 3, once=True)
+    return _named(S.consensus(w, KEY, "t", "event_type", "rank", DAY, 3, once=True))
 
 
 def _segments(spark, sf_dir):
@@ -157,19 +161,64 @@ def chain_events(spark, sf_dir):
     """Sightings of a user followed down slots: one event per chain."""
     e = events(spark, sf_dir).select("user_id", "event_id", "t", (F.col("event_id") % 5).alias("slot"), (F.col("k") % 10).alias("width"), "event_type", (F.col("value") > 50).alias("medal"))
     c = S.chain_events(e, KEY, "t", "slot", ["width"], max_gap=2 * DAY, slack=3, tie=["event_id"])
-    return S.chain_summary(c, KEY, "t", "slot", first=["event_type"], any_of=["medal"])
+    return S.chain_summary(c, KEY, "t", "slot", first=["event_type"], any_of=["medal"]).withColumn("slots", F.array_join("slots", ","))
+
+
+def systematic_sample(spark, sf_dir):
+    """Every tenth event of a user, from the first."""
+    return S.every_nth(events(spark, sf_dir), KEY, ORDER, 10).select("event_id", "user_id")
+
+
+def seeded_sample(spark, sf_dir):
+    """The fifty events of each type whose seeded digests are least."""
+    return S.seeded_sample(events(spark, sf_dir), ["event_type"], "event_id", 50, "7").select("event_id", "event_type")
 
 
 QUERIES = {
     f.__name__: f
-    for f in (reset_detect, up_jump, unit_step, falls, monotone_violations, staircase_fold, staircase_gaps, until_fall, duplicate_in_round, over_four, boundary_consensus, round_boundaries, interval_assign, score_at, low_in_span, outcome_case, map_winner, chain_events)
+    for f in (reset_detect, up_jump, unit_step, falls, monotone_violations, staircase_fold, staircase_gaps, until_fall, duplicate_in_round, over_four, boundary_consensus, round_boundaries, interval_assign, score_at, low_in_span, outcome_case, map_winner, chain_events, systematic_sample, seeded_sample)
 }
 
 _W = "WINDOW w AS (PARTITION BY user_id ORDER BY t, event_id)"
 _SEG = EVENTS + """, sg AS (
   SELECT user_id, row_number() OVER w AS segment, t AS start_t, lead(t) OVER w AS end_t FROM e WHERE event_type = 'signup' WINDOW w AS (PARTITION BY user_id ORDER BY t, event_id)
 ), hd AS (SELECT e.*, sg.segment, sg.start_t, sg.end_t FROM e JOIN sg ON sg.user_id = e.user_id AND e.t >= sg.start_t AND (sg.end_t IS NULL OR e.t < sg.end_t))"""
+
+
+def _consensus(needed: int, once: str) -> str:
+    near = f"list_position(list_transform(out, lambda b: abs(b.t - q.t) <= 86400{once}), true)"
+    return f"""WITH RECURSIVE {EVENTS}, q AS (
+  SELECT user_id, t, event_type AS name, row_number() OVER (PARTITION BY user_id ORDER BY CASE event_type WHEN 'error' THEN 0 WHEN 'purchase' THEN 1 ELSE 2 END, t, event_type) AS i
+  FROM e WHERE event_type IN ('error', 'purchase', 'signup')
+), f AS (
+  SELECT user_id, 0::BIGINT AS i, []::STRUCT(t DOUBLE, seen VARCHAR[])[] AS out FROM (SELECT DISTINCT user_id FROM q)
+  UNION ALL
+  SELECT f.user_id, q.i, CASE WHEN coalesce({near}, 0) = 0 THEN list_append(out, {{'t': q.t, 'seen': [q.name]}})
+    ELSE list_transform(out, lambda b, n: CASE WHEN n = {near} THEN {{'t': b.t, 'seen': list_sort(list_distinct(list_append(b.seen, q.name)))}} ELSE b END) END
+  FROM f JOIN q ON q.user_id = f.user_id AND q.i = f.i + 1
+), l AS (SELECT user_id, unnest(arg_max(out, i)) AS b FROM f GROUP BY user_id)
+SELECT user_id, b.t AS t, array_to_string(b.seen, ',') AS witnesses, len(b.seen) >= {needed} AS confirmed FROM l"""
+
+
+_FITS = "q.t - c.t <= 172800 AND c.t < q.t AND c.slot >= q.slot AND abs(c.w - q.w) <= 3"
+_AT = f"list_position(list_transform(live, lambda c: {_FITS} AND c.slot = list_min(list_transform(list_filter(live, lambda c: {_FITS}), lambda c: c.slot))), true)"
 ORACLE_SQL = {
+    "boundary_consensus": _consensus(2, ""),
+    "round_boundaries": _consensus(3, " AND NOT list_contains(b.seen, q.name)"),
+    "chain_events": f"""WITH RECURSIVE {EVENTS}, g AS (
+  SELECT user_id, event_id, t, event_id % 5 AS slot, k % 10 AS w, event_type, value > 50 AS medal, CASE WHEN t - lag(t) OVER v > 172800 THEN 1 ELSE 0 END AS far FROM e WINDOW v AS (PARTITION BY user_id ORDER BY t, event_id % 5, event_id)
+), q AS (SELECT *, row_number() OVER v AS i, sum(far) OVER (PARTITION BY user_id ORDER BY t, slot, event_id ROWS UNBOUNDED PRECEDING)::BIGINT AS session FROM g WINDOW v AS (PARTITION BY user_id ORDER BY t, slot, event_id)
+), f AS (
+  SELECT user_id, 0::BIGINT AS i, 0::BIGINT AS chain, []::STRUCT(t DOUBLE, slot BIGINT, w BIGINT)[] AS live FROM (SELECT DISTINCT user_id FROM q)
+  UNION ALL
+  SELECT f.user_id, q.i, CASE WHEN coalesce({_AT}, 0) = 0 THEN len(live) + 1 ELSE {_AT} END,
+    CASE WHEN coalesce({_AT}, 0) = 0 THEN list_append(live, {{'t': q.t, 'slot': q.slot, 'w': q.w}}) ELSE list_transform(live, lambda c, n: CASE WHEN n = {_AT} THEN {{'t': q.t, 'slot': q.slot, 'w': q.w}} ELSE c END) END
+  FROM f JOIN q ON q.user_id = f.user_id AND q.i = f.i + 1
+), r AS (SELECT q.*, f.chain FROM q JOIN f USING (user_id, i)),
+s AS (SELECT user_id, session, chain, min(t) AS t, arg_min(event_type, t) AS event_type, bool_or(medal) AS medal, count(*)::BIGINT AS frames, string_agg(slot::VARCHAR, ',' ORDER BY t) AS slots FROM r GROUP BY 1, 2, 3)
+SELECT user_id, session, chain - min(chain) OVER (PARTITION BY user_id, session) AS chain, t, event_type, medal, frames, slots FROM s""",
+    "systematic_sample": f"WITH {EVENTS}, q AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY t, event_id) AS n FROM e) SELECT event_id, user_id FROM q WHERE n % 10 = 1",
+    "seeded_sample": f"WITH {EVENTS}, q AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY md5('7' || event_id::VARCHAR), event_id) AS n FROM e) SELECT event_id, event_type FROM q WHERE n <= 50",
     "reset_detect": f"""WITH {EVENTS}, b AS (SELECT *, floor(value / 20)::BIGINT AS bucket FROM e), p AS (SELECT *, lag(bucket) OVER w AS prev_bucket FROM b {_W})
 SELECT event_id, user_id, round_even(t, 0)::BIGINT AS at, prev_bucket FROM p WHERE bucket = 0 AND prev_bucket > 0""",
     "up_jump": f"""WITH {EVENTS}, p AS (SELECT *, lag(value) OVER w AS prev_value FROM (SELECT * FROM e WHERE value IS NOT NULL) {_W})
