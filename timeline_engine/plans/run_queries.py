@@ -107,7 +107,24 @@ def adjacent_roles(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (rle_runs, rle_runs_gap, rle_null_value, longest_run, run_length_histogram, stitched_runs, sample_interval, state_case, bridge_gaps, state_segments, session_windows, span_sessions, state_occupancy, state_share, adjacent_roles)}
 
+_DWELL = "CASE r.state WHEN 'view' THEN 10800 WHEN 'purchase' THEN 14400 WHEN 'signup' THEN 28800 WHEN 'error' THEN 10800 ELSE 0 END"
 ORACLE_SQL = {
+    "state_segments": f"""WITH RECURSIVE {RUNS}, g AS (SELECT user_id, t - lag(t) OVER (PARTITION BY user_id ORDER BY t) AS step FROM e),
+iv AS (SELECT user_id, coalesce(median(step) FILTER (WHERE step > 0), 1.0) AS iv FROM g GROUP BY user_id), h AS (
+  SELECT r.*, iv, CASE WHEN lag(event_type) OVER w = 'click' AND lead(event_type) OVER w = 'click' AND event_type <> 'click' AND end_t - start_t + iv <= 14400 THEN 'click' ELSE event_type END AS held
+  FROM r JOIN iv USING (user_id) WINDOW w AS (PARTITION BY user_id ORDER BY start_t)
+), b2 AS (SELECT *, CASE WHEN held IS DISTINCT FROM lag(held) OVER (PARTITION BY user_id ORDER BY start_t) THEN 1 ELSE 0 END AS brk2 FROM h
+), n2 AS (SELECT *, sum(brk2) OVER (PARTITION BY user_id ORDER BY start_t ROWS UNBOUNDED PRECEDING) AS run2 FROM b2
+), m AS (SELECT user_id, run2, min(held) AS state, min(start_t) AS s, max(end_t) AS e, sum(samples)::BIGINT AS n, min(iv) AS iv FROM n2 GROUP BY 1, 2
+), f AS (
+  SELECT user_id, min(iv) AS iv, 0::BIGINT AS step, list({{'state': state, 's': s, 'e': e, 'n': n}} ORDER BY s) AS runs FROM m GROUP BY user_id
+  UNION ALL
+  SELECT user_id, iv, step + 1, list_concat(list_concat(runs[1:a - 1], [{{'state': state, 's': runs[a].s, 'e': runs[b].e, 'n': list_sum(list_transform(runs[a:b], lambda r: r.n))::BIGINT}}]), runs[b + 1:])
+  FROM (SELECT *, CASE WHEN i > 1 AND runs[i - 1].state = state THEN i - 1 ELSE i END AS a, CASE WHEN i < len(runs) AND runs[i + 1].state = state THEN i + 1 ELSE i END AS b FROM (
+    SELECT *, runs[CASE WHEN i = 1 OR (i < len(runs) AND runs[i + 1].e - runs[i + 1].s > runs[i - 1].e - runs[i - 1].s) THEN i + 1 ELSE i - 1 END].state AS state FROM (
+      SELECT *, list_min(list_filter(list_transform(runs, lambda r, k: CASE WHEN r.e - r.s + iv < {_DWELL} THEN {{'l': r.e - r.s + iv, 'k': k}} END), lambda x: x IS NOT NULL)).k AS i FROM f WHERE len(runs) > 1) WHERE i IS NOT NULL))
+), z AS (SELECT user_id, iv, unnest(arg_max(runs, step)) AS r FROM (SELECT user_id, any_value(iv) AS iv, arg_max(runs, step) AS runs, max(step) AS step FROM f GROUP BY user_id) GROUP BY user_id, iv)
+SELECT user_id, r.state AS event_type, r.s AS start_t, r.e + iv AS end_t, r.n AS samples FROM z""",
     "rle_runs": f"WITH {RUNS} SELECT * FROM r",
     "rle_runs_gap": f"""WITH {EVENTS}, b AS (
   SELECT *, CASE WHEN event_type IS DISTINCT FROM lag(event_type) OVER w OR lag(event_id) OVER w IS NULL OR t - lag(t) OVER w > 43200 THEN 1 ELSE 0 END AS brk
