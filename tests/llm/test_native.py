@@ -1,6 +1,7 @@
 """The operators made of DataFrame functions, on small hard cases."""
 
 import hashlib
+import math
 import re
 
 from pyspark.sql import functions as F
@@ -87,7 +88,7 @@ def waterfill(sizes, weights, most=3):
 
 
 def test_mixing_targets_epochs_and_reruns(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "BUCKET_ROWS", 16)
+    monkeypatch.setattr(mixing, "MANY_ROWS", 16)
     rows = [(i, " ".join(["w"] * (1 + i * 7 % 23)), None if i % 11 == 0 else "abcdz"[min(i % 9, 4)]) for i in range(400)]
     rows += [(1000, None, "empty"), (1001, "", "empty"), (1002, " \t", "b"), (400, "one two", None)]
     df = docs(spark, rows)
@@ -107,6 +108,59 @@ def test_mixing_targets_epochs_and_reruns(spark, monkeypatch):
         assert max(epochs) - min(epochs) <= 1 and max(epochs) <= 3
 
 
+def mix_brute(rows, seed="mix"):
+    """Words taken by source, document by document in the order of keys."""
+    text = lambda t: t or ""
+
+    def key(i, t):
+        u = (int(hashlib.md5(f"{seed}{'null' if i is None else i}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        share = 5.0 * sum(c in "#*$%&|<>!" for c in text(t)) / max(len(text(t)), 1)
+        return -math.log(u) / (0.1 if t is None else max(0.1, 1.0 - share))
+
+    names = sorted({s for _, _, s in rows if s is not None}, key=lambda s: s.encode()) + [None] * any(s is None for _, _, s in rows)
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", text(t)))
+    total = [sum(size(t) for _, t, s in rows if s == name) for name in names]
+    taken = {}
+    for name, whole, target in zip(names, total, waterfill(total, [k % 3 + 1 for k in range(len(names))]), strict=True):
+        epochs = int(target // whole) if whole else 0
+        rest, upto, over = target - epochs * whole, 0, []
+        taken[name] = epochs * whole
+        spent = 0
+        mine = sorted((key(i, t), i is not None, i or 0, size(t)) for i, t, s in rows if s == name)
+        for *_, n in mine:
+            upto += n
+            if rest > 0 and upto <= rest:
+                spent = upto
+            else:
+                over.append(n)
+        fit = min(over, key=lambda n: abs(rest - spent - n), default=0)
+        taken[name] += spent + (fit if abs(rest - spent - fit) < rest - spent else 0)
+    return taken
+
+
+def mix_taken(df):
+    out = {}
+    for r in mixing.mix(df).collect():
+        out[r.source] = out.get(r.source, 0) + r.taken
+    return out
+
+
+def test_mixing_rows_that_share_an_id(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MANY_ROWS", 16)
+    rows = [(None, "w " * (1 + i % 5), "a") for i in range(150)] + [(7, "w " * 3, "b") for i in range(150)] + [(i, "w # " * (i % 9), "c") for i in range(200)]
+    assert mix_taken(docs(spark, rows)) == mix_brute(rows)
+
+
+def test_mixing_ranges_follow_the_rows(spark):
+    equal = [(None, "same text", "a")] * 1000
+    marked = [(i, "<#> <#>", "b") for i in range(1000)]
+    df = docs(spark, equal + marked).select("doc_id", F.lit(1).alias("size"), F.xxhash64("text").alias("text_hash"), "source")
+    weight = F.when(F.col("source") == "a", 1.0).otherwise(0.1)
+    named = df.withColumns({"src_no": F.ascii("source"), "key": -F.ln(mixing.uniform(F.col("doc_id"), "mix")) / weight, "row": F.monotonically_increasing_id()})
+    per = [r["count"] for r in mixing.ranges(named, 20).groupBy("part").count().collect()]
+    assert sum(per) == 2000 and len(per) >= 18 and max(per) <= 250
+
+
 def test_mixing_prefers_quality(spark):
     rows = [(i, ("clean words here " * 5) if i % 2 else ("#$% *&| <>% " * 5), "b") for i in range(400)] + [(1000 + i, "w " * 15, "a") for i in range(1200)]
     out = mixing.mix(docs(spark, rows)).where("source = 'b'").collect()

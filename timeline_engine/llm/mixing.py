@@ -9,12 +9,15 @@ remainder. The one document that straddles the end is replaced by the unchosen
 document whose size fits the gap best, so that whole documents come within a
 few words of the target.
 
-Scale: texts are read once, into a narrow table (source, size, weight, key).
-Each source is cut along the key into buckets of about ``BUCKET_ROWS``
-documents; the running sum is a sum over buckets (a small table) plus a sum
-inside the bucket, so a source with a third of all rows is spread over many
-tasks. Tables of sources and buckets are written before they are joined, so
-the planner broadcasts them only by their measured size.
+Scale: texts are read once, into a narrow table (source, size, key, number of
+the row). That table is range-partitioned by source, key and, for ties, by
+doc_id, size, text hash and row number; the running sum is a sum over a
+source's ranges (a small table) plus a sum inside the range. Ranges follow the
+rows and no two rows are equal, so neither a source with a third of all rows,
+nor a doc_id (or none) that many rows share, nor a source whose documents all
+have the least weight ends in one task. Tables of sources and ranges are
+written before they are joined, so the planner broadcasts them only by their
+measured size.
 
 Nulls: a null text has size 0; null is a source of its own, last in order; a
 null doc_id is sampled like any other. Repeated rows are separate documents.
@@ -28,7 +31,10 @@ from pyspark.sql import functions as F
 
 from .common import WORD_PATTERN, table, written
 
-BUCKET_ROWS = 4096
+#: Documents of a range: at least so many where there are few, at most about so many.
+FEW_ROWS, MANY_ROWS = 4096, 500_000
+#: The order of a source's documents; the row's number parts equal ones.
+ORDER = ("key", "doc_id", "size", "text_hash", "row")
 #: No document is taken more than this many times.
 MAX_EPOCHS = 3
 
@@ -80,6 +86,20 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> Da
     return per.select("source", "src_no", "source_size", "source_docs", target.alias("target"))
 
 
+def range_count(sized: DataFrame) -> int:
+    """How many ranges the rows are cut into: the shuffle setting, with fewer for
+    few rows and more for many."""
+    rows = sized.count()
+    usual = int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(usual, -(-rows // FEW_ROWS)), -(-rows // MANY_ROWS))
+
+
+def ranges(named: DataFrame, n: int) -> DataFrame:
+    """``named`` with ``part``, the number of its range in the order of sources
+    and documents; written, so that every later step sees the same ranges."""
+    return written(named.repartitionByRange(n, "src_no", *ORDER).withColumn("part", F.spark_partition_id()), "mix-ranges")
+
+
 def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
     """(doc_id, text_hash, source, size, source_size, target, copies, taken),
     one row a document; ``copies`` is how often the mix takes it."""
@@ -90,23 +110,23 @@ def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = (1, 2, 3)
         F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"),
         word_count(text).alias("size"),
         (-F.ln(uniform(F.col("doc_id"), seed)) / quality_weight(text)).alias("key"),
+        F.monotonically_increasing_id().alias("row"),
     )
     sized = written(sized, "mix-sizes")
     sources = written(source_targets(sized, weights), "mix-sources")
     epochs = F.coalesce(F.floor(F.col("target") / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0))
     plan = sources.withColumn("epochs", epochs).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
     named = sized.alias("d").join(plan.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source"))).drop(F.col("s.source"))
-    n_buckets = F.ceil(F.col("source_docs") / BUCKET_ROWS)
-    named = named.withColumn("bucket", F.floor(n_buckets * (F.lit(1.0) - F.exp(-F.col("key")))))
-    sums = written(named.groupBy("src_no", "bucket").agg(F.sum("size").alias("bucket_size")), "mix-buckets")
-    earlier = Window.partitionBy("src_no").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("src_no", "bucket", F.coalesce(F.sum("bucket_size").over(earlier), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("src_no", "bucket").orderBy("key", "doc_id", "size", "text_hash")
+    cut = ranges(named, range_count(sized))
+    sums = written(cut.groupBy("src_no", "part").agg(F.sum("size").alias("part_size")), "mix-sums")
+    earlier = Window.partitionBy("src_no").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("src_no", "part", F.coalesce(F.sum("part_size").over(earlier), F.lit(0)).alias("start"))
+    inside = Window.partitionBy("src_no", "part").orderBy(*ORDER)
     ordered = (
-        named.join(starts, ["src_no", "bucket"])
+        cut.join(starts, ["src_no", "part"])
         .withColumn("rn", F.row_number().over(inside))
         .withColumn("upto", F.col("start") + F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .select("doc_id", "text_hash", "source", "size", "source_size", "target", "epochs", "rest", "src_no", "bucket", "rn", "upto")
+        .select("doc_id", "text_hash", "source", "size", "source_size", "target", "epochs", "rest", "src_no", "part", "rn", "upto")
     )
     ordered = written(ordered, "mix-order")
     # Without a remainder nothing more is taken, empty documents neither.
@@ -117,10 +137,10 @@ def mix(docs: DataFrame, seed: str = "mix", weights: tuple[int, ...] = (1, 2, 3)
     )
     rest = ordered.where(~chosen).join(gap, "src_no")
     off = F.abs(F.col("rest") - F.col("spent") - F.col("size"))
-    fit = rest.where(off < F.col("rest") - F.col("spent")).groupBy("src_no").agg(F.min(F.struct(off.alias("off"), "bucket", "rn")).alias("fit"))
-    fit = written(fit.select("src_no", F.col("fit.bucket").alias("fit_bucket"), F.col("fit.rn").alias("fit_rn")), "mix-fit")
+    fit = rest.where(off < F.col("rest") - F.col("spent")).groupBy("src_no").agg(F.min(F.struct(off.alias("off"), "part", "rn")).alias("fit"))
+    fit = written(fit.select("src_no", F.col("fit.part").alias("fit_part"), F.col("fit.rn").alias("fit_rn")), "mix-fit")
     done = ordered.join(fit, "src_no", "left")
-    also = chosen | F.coalesce((F.col("bucket") == F.col("fit_bucket")) & (F.col("rn") == F.col("fit_rn")), F.lit(False))
+    also = chosen | F.coalesce((F.col("part") == F.col("fit_part")) & (F.col("rn") == F.col("fit_rn")), F.lit(False))
     copies = (F.col("epochs") + F.when(also, F.lit(1)).otherwise(F.lit(0))).cast("long")
     return done.select("doc_id", "text_hash", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
