@@ -88,13 +88,14 @@ def expand_instants(spark, sf_dir):
 
 
 def agreement_rate(spark, sf_dir):
-    """How often two as-of series of a user agree, at the user's signups."""
-    s = typed(spark, sf_dir, "signup").select("event_id", "user_id", "t")
+    """How often a user's type of event an hour before a signup is that of a day
+    before it."""
+    s = typed(spark, sf_dir, "signup").select("event_id", "user_id", (F.col("t") - HOUR).alias("t1"), (F.col("t") - DAY).alias("t2"))
     e = events(spark, sf_dir)
-    a = e.where(F.col("k") % 2 == 0).select("user_id", F.col("t").alias("ta"), F.col("event_type").alias("a"), F.col("event_id").alias("ia"))
-    b = e.where(F.col("k") % 3 == 0).select("user_id", F.col("t").alias("tb"), F.col("event_type").alias("b"), F.col("event_id").alias("ib"))
-    both = J.asof(s, a, KEY, "t", "ta", ["a", "ia"], tie=["ia"]).drop("ia")
-    both = J.asof(both, b, KEY, "t", "tb", ["b", "ib"], tie=["ib"])
+    a = e.select("user_id", F.col("t").alias("ta"), F.col("event_type").alias("a"), F.col("event_id").alias("ia"))
+    b = e.select("user_id", F.col("t").alias("tb"), F.col("event_type").alias("b"), F.col("event_id").alias("ib"))
+    both = J.asof(s, a, KEY, "t1", "ta", ["a", "ia"], tie=["ia"]).drop("ia")
+    both = J.asof(both, b, KEY, "t2", "tb", ["b", "ib"], tie=["ib"])
     return A.agreement(both, "a", "b", KEY)
 
 
@@ -229,10 +230,10 @@ SELECT user_id, min(t) AS start_t, max(e) AS end_t, min(left_value) AS left_valu
 SELECT user_id, run, start_t + i * 3600.0::DOUBLE AS t FROM x""",
     "agreement_rate": f"""WITH {EVENTS}, ja AS (
   SELECT s.event_id, s.user_id, s.t, a.event_type AS a, row_number() OVER (PARTITION BY s.event_id ORDER BY a.t DESC NULLS LAST, a.event_id DESC) AS rn
-  FROM e s LEFT JOIN e a ON a.user_id = s.user_id AND a.t <= s.t AND a.k % 2 = 0 WHERE s.event_type = 'signup'
+  FROM e s LEFT JOIN e a ON a.user_id = s.user_id AND a.t <= s.t - 3600 WHERE s.event_type = 'signup'
 ), jb AS (
   SELECT ja.event_id, ja.user_id, ja.a, b.event_type AS b, row_number() OVER (PARTITION BY ja.event_id ORDER BY b.t DESC NULLS LAST, b.event_id DESC) AS rn
-  FROM ja LEFT JOIN e b ON b.user_id = ja.user_id AND b.t <= ja.t AND b.k % 3 = 0 WHERE ja.rn = 1)
+  FROM ja LEFT JOIN e b ON b.user_id = ja.user_id AND b.t <= ja.t - 86400 WHERE ja.rn = 1)
 SELECT user_id, count(*)::BIGINT AS compared, count_if(a = b)::BIGINT AS equal FROM jb WHERE rn = 1 AND a IS NOT NULL AND b IS NOT NULL GROUP BY user_id""",
     "offset_sweep": f"""WITH {EVENTS}, o(x) AS (VALUES {_OFFSETS}), f AS (SELECT x::DOUBLE AS off, user_id, t FROM e, o WHERE event_type = 'error'),
 j AS (SELECT f.off, f.user_id, f.t, p.t AS pt FROM f JOIN e p ON p.event_type = 'purchase' AND p.user_id = f.user_id AND p.t >= (f.t + f.off) - 21600 AND p.t <= (f.t + f.off) + 21600),
