@@ -123,6 +123,14 @@ def test_sources(spark, tmp_path):
     assert files.box_totals(spark, str(tmp_path / "box.json")).agg(F.sum("kills"), F.sum("deaths")).first()[:] == (4, 6)
 
 
+def test_an_atlas_too_large_for_workers(spark, monkeypatch):
+    monkeypatch.setattr(files, "MOST_BITMAPS", 1)
+    atlas = spark.createDataFrame([("a", 0, ["#"]), ("b", 0, ["#"])], "label string, variant int, rows array<string>")
+    assert list(files.bitmaps_of(atlas.where("label = 'a'"))) == ["a"]
+    with pytest.raises(ValueError):
+        files.bitmaps_of(atlas)
+
+
 def test_strips(spark, tmp_path):
     frames = spark.range(3000).select(F.explode(F.array(F.lit("a"), F.lit("b"))).alias("region"), F.col("id").alias("frame"), F.col("id").cast("string").cast("binary").alias("pixels"))
     files.write_strip(frames, str(tmp_path / "s"), fps=6.0, start=100.0)

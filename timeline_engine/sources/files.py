@@ -21,6 +21,8 @@ BOX_SCORES = "map int, t double, mode string, start double, `end` double, kd map
 GLYPH_ATLAS = "font string, canvas array<int>, threshold int, glyphs map<string,array<string>>"
 TEMPLATE_SET = "name string, templates map<string,array<string>>"
 NAME_SET = "name string, teams map<string,string>, templates map<string,array<array<string>>>"
+#: Bitmaps that kernels may hold at once.
+MOST_BITMAPS = 100_000
 
 
 def read_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -72,11 +74,15 @@ def read_atlas(spark: SparkSession, path: str, kind: str) -> DataFrame:
 
 
 def bitmaps_of(atlas: DataFrame) -> dict:
-    """label -> bitmaps of an atlas (a small dimension), for the kernels."""
+    """label -> bitmaps of an atlas, for the kernels. It goes to every worker, so
+    one of more than ``MOST_BITMAPS`` is an error; none is left out."""
     from ..functions.bitmaps import from_rows
 
+    rows = atlas.limit(MOST_BITMAPS + 1).collect()
+    if len(rows) > MOST_BITMAPS:
+        raise ValueError(f"an atlas may hold {MOST_BITMAPS} bitmaps at most; join larger ones as a table")
     out: dict = {}
-    for r in sorted(atlas.collect(), key=lambda r: (r.label, r.variant)):
+    for r in sorted(rows, key=lambda r: (r.label, r.variant)):
         out.setdefault(r.label, []).append(from_rows(r.rows))
     return out
 
