@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_rows, delete_at_end, fresh_path, mix64, ngram_hashes, table, word_hashes, written
-from .components import components
+from .components import components, joined_components
 
 N_WORDS = 5
 #: similarity >= 3/4, as integers
@@ -441,8 +441,7 @@ def _jaccard_components(docs: DataFrame) -> DataFrame:
     near = near.where(F.col("a.node") != F.col("b.node")).select("a.node", "b.node", "a.n", "b.n", "a.sketch", "b.sketch")
     near = near.toDF("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(_close, "a bigint, b bigint")
     first = written(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    links = _linked(first, docs)
-    found = components(links)
+    found = components(_linked(first, docs))
 
     # Members whose run holds several components; sorted runs stream by. First
     # the likeliest pair of each two components, then whatever is still open.
@@ -458,8 +457,7 @@ def _jaccard_components(docs: DataFrame) -> DataFrame:
             continue
         more = _linked(later, docs)
         if not more.isEmpty():
-            links = links.union(more)
-            found = components(links)
+            found = joined_components(found, more)
         tried = tried.union(later)
     found = found.withColumnRenamed("component", "reached")
     placed = classes.select(*keys, "node").join(found, "node", "left").select(*keys, F.coalesce("reached", "node").alias("reached"))
