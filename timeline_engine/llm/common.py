@@ -78,6 +78,12 @@ def delete_at_end(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
 
 
+def delete_now(spark: SparkSession, path: str) -> None:
+    """Deletes a table that no later plan reads."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: lineage ends there, lost
     executors cost a reread, and the planner knows the table's real size."""
