@@ -23,17 +23,21 @@ Hamming distance of a bit sketch (the parity of the shingles hashed to each
 bit, four to eight bits a shingle), then verified on whole sets.
 
 Links are only needed for classes. First each run is compared with its least
-and greatest member; components of these links are formed; then, inside runs,
-the likeliest pair of each two components, and at last all pairs of different
-components, and only these. Every link between different texts is thereby found
+and greatest member and components of these links are formed. In runs of at
+most ``SMALL`` members, the likeliest pair of each two components, and then all
+pairs of different components are verified. Larger runs that still hold several
+components are families of one template: ``families.py`` finds their links
+without comparing all pairs. Every link between different texts is thereby found
 or is implied by others.
 
-A run of different texts that share a chunk is held by one task, at 12 bytes a
-text; copies of a text add nothing to it within a batch.
+A run is cut out of its bucket's keys in one task, at 12 bytes for each
+different text that shares the chunk; copies of a text add nothing to it within
+a batch. Whatever follows deals the members of a run to many tasks.
 
 Nulls: a null or wordless text has an empty set and no links. A row with a null
 doc_id links with nothing and its component is null. Rows that repeat a doc_id
-are one node. Other columns are ignored. An empty table gives an empty table.
+are one node: what one of its texts links with, the others reach. Other columns
+are ignored. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -46,6 +50,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_rows, delete_at_end, fresh_path, mix64, ngram_hashes, table, word_hashes, written
 from .components import components, joined_components
+from .families import SMALL, families, family_links
 
 N_WORDS = 5
 #: similarity >= 3/4, as integers
@@ -217,10 +222,10 @@ def _frequent(group: pa.Table) -> pa.Table:
     return pa.table({"place": pa.array(place, pa.int64()), "texts": pa.array(n[often], pa.int64())})
 
 
-def frequent_keys(docs: DataFrame, n_buckets: int) -> np.ndarray:
-    """Sorted places of the most frequent chunk keys of all documents."""
-    rows = docs.mapInArrow(_scan(n_buckets, None), _ROW).select("bucket", "blob")
-    often = written(rows.groupBy("bucket").applyInArrow(_frequent, "place bigint, texts bigint"), "frequent")
+def most_frequent(rows: DataFrame) -> np.ndarray:
+    """Sorted places of the most frequent keys in ``rows``, blobs of keys
+    without ids."""
+    often = written(rows.select("bucket", "blob").groupBy("bucket").applyInArrow(_frequent, "place bigint, texts bigint"), "frequent")
     level = F.floor(F.log2("texts")).cast("int")
     sizes = sorted((r[0], r[1]) for r in often.groupBy(level).count().collect())
     least, room = 63, MOST_FREQUENT
@@ -329,29 +334,23 @@ def _close(batches):
 
 
 def _open_pairs(best_only: bool):
-    """From the members of runs, sorted by run: pairs of unequal components that
-    size and sketches allow, compared in blocks inside the task. With
-    ``best_only`` one pair for each two components, that of least distance."""
+    """From the members of small runs, sorted by run: pairs of unequal components
+    that size and sketches allow. With ``best_only`` one pair for each two
+    components, that of least distance."""
 
     def pairs(run: list[tuple], seen: dict):
         size = min(len(r[3]) for r in run)
         node, component, n = (np.array([r[k] for r in run], np.int64) for k in range(3))
         bits = np.stack([folded(r[3], size) for r in run])
-        step = max(1, 2_000_000 // (len(run) * bits.shape[1]))
-        for at in range(0, len(run), step):
-            part = slice(at, at + step)
-            least, most = np.minimum(n[part, None], n), np.maximum(n[part, None], n)
-            ok = (node[part, None] < node) & (component[part, None] != component) & (DEN * least >= NUM * most)
-            i, j = np.nonzero(ok)
-            if not len(i):
-                continue
-            apart = np.bitwise_count(bits[part][i] ^ bits[j]).sum(1, dtype=np.int64)
-            near = np.flatnonzero(apart <= allowed(n[part][i] + n[j]))
-            i, j, apart = i[near] + at, j[near], apart[near]
-            for a, b, c, d, far in zip(node[i].tolist(), node[j].tolist(), component[i].tolist(), component[j].tolist(), apart.tolist(), strict=True):
-                key = (min(c, d), max(c, d)) if best_only else (a, b)
-                if key not in seen or seen[key][0] > far:
-                    seen[key] = (far, a, b)
+        least, most = np.minimum(n[:, None], n), np.maximum(n[:, None], n)
+        i, j = np.nonzero((node[:, None] < node) & (component[:, None] != component) & (DEN * least >= NUM * most))
+        apart = np.bitwise_count(bits[i] ^ bits[j]).sum(1, dtype=np.int64)
+        near = np.flatnonzero(apart <= allowed(n[i] + n[j]))
+        i, j, apart = i[near], j[near], apart[near]
+        for a, b, c, d, far in zip(node[i].tolist(), node[j].tolist(), component[i].tolist(), component[j].tolist(), apart.tolist(), strict=True):
+            key = (min(c, d), max(c, d)) if best_only else (a, b)
+            if key not in seen or seen[key][0] > far:
+                seen[key] = (far, a, b)
 
     def out(seen: dict):
         _, a, b = zip(*seen.values(), strict=True)
@@ -419,7 +418,7 @@ def _jaccard_components(docs: DataFrame) -> DataFrame:
     n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     n_buckets = max(2 * shuffles, -(-n_bytes * 8 // (10 * BUCKET_BYTES)))
-    frequent = spark.sparkContext.broadcast(frequent_keys(docs, n_buckets))
+    frequent = spark.sparkContext.broadcast(most_frequent(docs.mapInArrow(_scan(n_buckets, None), _ROW)))
     scanned = docs.mapInArrow(_scan(n_buckets, frequent), _ROW)
     # Written once: sets and runs both come from this table.
     path = fresh_path(spark, "sets-and-runs")
@@ -443,10 +442,18 @@ def _jaccard_components(docs: DataFrame) -> DataFrame:
     first = written(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     found = components(_linked(first, docs))
 
-    # Members whose run holds several components; sorted runs stream by. First
-    # the likeliest pair of each two components, then whatever is still open.
-    many = runs.where(F.octet_length("blob") > 16)
-    members = written(many.mapInArrow(_members(False), "run bigint, f1 bigint").join(classes, "f1").select("run", "node", "n", "sketch"), "members")
+    # The texts of a repeated doc_id are one node.
+    repeated = real.groupBy("doc_id").agg(F.count_distinct(*keys).alias("_sets")).where(F.col("_sets") > 1).select("doc_id")
+    one = real.join(repeated, "doc_id").select("doc_id", *keys).distinct().join(classes, keys).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+    one = written(one, "repeated-ids")
+    if not one.isEmpty():
+        found = joined_components(found, one)
+
+    # Small runs that hold several components: first the likeliest pair of each
+    # two components, then whatever is still open.
+    of_runs = lambda some: some.mapInArrow(_members(False), "run bigint, f1 bigint").join(classes, "f1")
+    small = runs.where((F.octet_length("blob") > 16) & (F.octet_length("blob") <= 8 * SMALL))
+    members = written(of_runs(small).select("run", "node", "n", "sketch"), "members")
     tried = first
     for best_only in (True, True, False):
         rows = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -459,6 +466,18 @@ def _jaccard_components(docs: DataFrame) -> DataFrame:
         if not more.isEmpty():
             found = joined_components(found, more)
         tried = tried.union(later)
+
+    large = of_runs(runs.where(F.octet_length("blob") > 8 * SMALL)).select("run", "node").join(found, "node", "left")
+    large = large.withColumn("component", F.coalesce("component", "node"))
+    several = large.groupBy("run").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(F.col("lo") < F.col("hi")).select("run")
+    large = written(large.join(several, "run"), "large-runs")
+    if not large.isEmpty():
+        placed = written(families(large).join(large.select("node", "component").distinct(), "node"), "families")
+        whole = _whole_sets(placed.select(F.col("node").alias("doc_id")), docs)
+        rows = placed.join(whole, "node").select("family", "node", "component", F.floor(F.octet_length("shingles") / 8).alias("n"), F.col("shingles").alias("e"))
+        for links in family_links(rows, n_buckets, _place, _blobs, (_ROW, _runs), most_frequent):
+            if not links.isEmpty():
+                found = joined_components(found, links)
     found = found.withColumnRenamed("component", "reached")
     placed = classes.select(*keys, "node").join(found, "node", "left").select(*keys, F.coalesce("reached", "node").alias("reached"))
     placed = placed.select(*[F.col(k).alias(f"_{k}") for k in keys], "reached")
