@@ -11,13 +11,16 @@ non-negative estimator prescribes). Features are the hashed distinct words of a
 text, and their beginnings, whose share among the toxic texts exceeds that
 among the unlabelled ones by more than chance; weights are not negative.
 
-Training reads bounded samples: at most ``MOST_POSITIVE`` confirmed toxic
-documents, those of least hash of doc_id, and at most ``MOST_UNLABELLED``
-unlabelled ones, the distinct rows of least hash of (doc_id, text); neither
-depends on the order of rows. The features of these texts are counted in the
-cluster; only the chosen ones, and of each text the numbers of those it holds,
-reach the driver. The class prior is the share of toxic rows among all labelled
-training rows. Scores cover every document.
+Training reads at most ``MOST_POSITIVE`` confirmed toxic texts, those of least
+hash of (doc_id, text), so that one doc_id with any number of texts can't pass
+the bound. Unlabelled evidence covers every document: the features of the toxic
+texts are counted over all texts of the corpus (a combined count of bounded
+size), and these counts choose the features. Only the optimiser, whose steps
+need single texts, sees a sample of at most ``MOST_UNLABELLED`` of them, those
+of least hash of (doc_id, text). No sample depends on the order of rows. Of the
+texts trained on, only their size and the numbers of the chosen features they
+hold reach the driver. The class prior is the share of toxic rows among all
+labelled training rows. Scores cover every document.
 
 Nulls: a null or empty text has no features and scores by the intercept. Null
 labels and labels of unknown documents are ignored; a doc_id labelled twice is
@@ -41,6 +44,8 @@ from .common import table, written
 
 MOST_POSITIVE = 4000
 MOST_UNLABELLED = 12_000
+#: Features counted over the corpus: those that most toxic texts hold.
+MOST_COUNTED = 300_000
 FOLDS = 5
 #: Hashes of rows are placed evenly among so many.
 PLACES = 1 << 40
@@ -90,6 +95,38 @@ def features(text: str | None, known: dict[str, tuple[int, ...]] | None = None)
     return np.array([len(words), *sorted(set(seen) | {h ^ TWICE for h, n in seen.items() if n > 1})], np.uint32)
 
 
+def hits(words: Counter, known: dict[str, tuple[int, ...]], wanted) -> list[int]:
+    """Those of a text's features that ``wanted`` holds, sorted. ``known`` keeps
+    from call to call, per word, its features that may matter."""
+    seen: dict[int, int] = {}
+    for word, n in words.items():
+        found = known.get(word)
+        if found is None:
+            bare = word.strip(MARKS)
+            found = known[word] = tuple(h for h in word_features(bare) if h in wanted or h ^ TWICE in wanted) if bare else ()
+        for h in found:
+            seen[h] = seen.get(h, 0) + n
+    if len(known) > 300_000:
+        known.clear()
+    return sorted(h for h in set(seen) | {h ^ TWICE for h, n in seen.items() if n > 1} if h in wanted)
+
+
+def _corpus_batches(counted: np.ndarray):
+    """(feature, texts that hold it) of the ``counted`` features, per task."""
+    place = {int(h): k for k, h in enumerate(counted)}
+
+    def run(batches):
+        known: dict[str, tuple[int, ...]] = {}
+        n = np.zeros(len(counted), np.int64)
+        for batch in batches:
+            for text in batch.column(0):
+                n[[place[h] for h in hits(words_of(text.as_py()), known, place)]] += 1
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(counted[some].astype(np.int64)), pa.array(n[some])], names=["feature", "n_u"])
+
+    return run
+
+
 def _feature_batches(batches):
     known: dict[str, tuple[int, ...]] = {}
     for batch in batches:
@@ -183,30 +220,29 @@ def train(vocabulary: np.ndarray, positive: list[tuple[int, bytes]], unlabelled:
 
 def _score_batches(weights: dict[int, float], size_weight: float, intercept: float):
     def run(batches):
-        # word as written -> its features that matter; emptied when large.
         known: dict[str, tuple[int, ...]] = {}
         for batch in batches:
             g = []
             for text in batch.column(1):
-                seen: dict[int, int] = {}
                 words = words_of(text.as_py())
-                for word, n in words.items():
-                    found = known.get(word)
-                    if found is None:
-                        bare = word.strip(MARKS)
-                        found = known[word] = tuple(h for h in word_features(bare) if h in weights or h ^ TWICE in weights) if bare else ()
-                    for h in found:
-                        seen[h] = seen.get(h, 0) + n
-                hits = sorted(set(seen) | {h ^ TWICE for h, n in seen.items() if n > 1})
-                g.append(intercept + size_weight * size_of(len(words)) + sum(weights.get(h, 0.0) for h in hits))
-                if len(known) > 300_000:
-                    known.clear()
+                g.append(intercept + size_weight * size_of(len(words)) + sum(weights[h] for h in hits(words, known, weights)))
             p = _sigmoid(np.array(g, float))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
     return run
 
 
+def sampled_texts(rows: DataFrame, most: int, about: int) -> DataFrame:
+    """(text) of the ``most`` distinct rows (doc_id, text) of least hash, of
+    about ``about`` rows. Only hashes are put in order."""
+    place = F.pmod(F.xxhash64(F.lit("row"), F.col("doc_id"), F.col("text")), F.lit(PLACES))
+    placed = rows.select(place.alias("place"), "text")
+    # Places are even: half as many again as are wanted lie below this bound.
+    bound = min(PLACES, int(1.5 * PLACES * most / max(1, about)) + 1)
+    last = placed.where(F.col("place") < bound).select("place").distinct().orderBy("place").limit(most).agg(F.max("place")).first()[0]
+    return placed.where(F.col("place") <= (-1 if last is None else last)).groupBy("place").agg(F.first("text").alias("text")).select("text")
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[int, float], float, float]:
     """Weights, weight of the size, and intercept from the labels' training folds and the texts."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (fold(F.col("doc_id")) != 0))
@@ -218,21 +254,25 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[int, float], float, fl
     by_hash = F.xxhash64(F.lit("sample"), F.col("doc_id"))
     confirmed = known.where(F.col("toxic") == 1).orderBy(by_hash, "doc_id").limit(MOST_POSITIVE).select("doc_id")
     pick = docs.select("doc_id", "text")
-    # At most MOST_POSITIVE ids: safe to broadcast.
-    positive = pick.join(F.broadcast(confirmed), "doc_id", "left_semi").select("text").dropDuplicates()
-    place = F.pmod(F.xxhash64(F.lit("row"), F.col("doc_id"), F.col("text")), F.lit(PLACES))
-    placed = pick.select(place.alias("place"), "text")
-    # Places are even: half as many again as are wanted lie below this bound.
-    bound = min(PLACES, int(1.5 * PLACES * MOST_UNLABELLED / max(1, docs.count())) + 1)
-    last = placed.where(F.col("place") < bound).select("place").distinct().orderBy("place").limit(MOST_UNLABELLED).agg(F.max("place")).first()[0]
-    unlabelled = placed.where(F.col("place") <= (-1 if last is None else last)).groupBy("place").agg(F.first("text").alias("text")).select("text")
+    # At most MOST_POSITIVE ids: safe to broadcast. Their texts may be more.
+    of_toxic = pick.join(F.broadcast(confirmed), "doc_id", "left_semi")
+    positive = sampled_texts(of_toxic, MOST_POSITIVE, of_toxic.count()).dropDuplicates()
+    n_docs = pick.count()
+    unlabelled = sampled_texts(pick, MOST_UNLABELLED, n_docs)
     both = positive.select(F.lit(True).alias("toxic"), "text").unionAll(unlabelled.select(F.lit(False), "text"))
     sampled = written(both.mapInArrow(_feature_batches, "toxic boolean, f binary"), "toxicity-features")
     n_pos, n_unl = sampled.agg(F.count_if("toxic"), F.count_if(~F.col("toxic"))).first()
     if not n_pos or not n_unl:
         return {}, 0.0, -60.0
-    counts = sampled.mapInArrow(_count_batches, "feature bigint, n_p bigint, n_u bigint").groupBy("feature").agg(F.sum("n_p").alias("n_p"), F.sum("n_u").alias("n_u"))
-    vocabulary = chosen_features(counts, n_pos, n_unl, prior)
+    # A feature below LEAST_Z toxic texts can't be one; without any other, all count.
+    of_toxic = sampled.where("toxic").mapInArrow(_count_batches, "feature bigint, n_p bigint, n_u bigint").groupBy("feature").agg(F.sum("n_p").alias("n_p"))
+    of_toxic = written(of_toxic, "toxic-features")
+    often = of_toxic.where(F.col("n_p") > LEAST_Z)
+    often = (of_toxic if often.isEmpty() else often).orderBy(F.desc("n_p"), "feature").limit(MOST_COUNTED)
+    counted = np.sort(often.select("feature").toArrow().column(0).to_numpy()).astype(np.uint32)
+    whole = pick.select("text").mapInArrow(_corpus_batches(counted), "feature bigint, n_u bigint").groupBy("feature").agg(F.sum("n_u").alias("n_u"))
+    counts = of_toxic.join(whole, "feature").select("feature", "n_p", "n_u")
+    vocabulary = chosen_features(counts, n_pos, n_docs, prior)
     if not len(vocabulary):
         return train(vocabulary, [(0, b"")], [(0, b"")], prior)
     # At most MOST_POSITIVE + MOST_UNLABELLED rows of a few numbers.

@@ -7,8 +7,12 @@ class prior. The posterior of "good" given a document's votes then decides,
 instead of a demand that all rules pass. A document that fails the two base
 rules is never kept.
 
-Only pattern counts reach the driver: at most 3 to the number of rules (3^8 =
-6,561), whatever the corpus; they are counted over all documents. Posteriors
+A rule that knows some languages only must not speak on the others: the rule of
+function words votes good or abstains, so prose in a language without a list
+loses a vote and is judged by the rules on form.
+
+Only pattern counts reach the driver: at most 3 to the number of rules (3^10 =
+59,049), whatever the corpus; they are counted over all documents. Posteriors
 return as one small table of the same bound, which is broadcast.
 
 Nulls: a null text has no words and fails the base rules. Rows that repeat a
@@ -18,6 +22,7 @@ doc_id are judged each by its own text. An empty table gives an empty table
 
 from __future__ import annotations
 
+import operator
 from functools import lru_cache
 
 import numpy as np
@@ -45,7 +50,8 @@ _SCHEMA = "doc_id bigint, text_hash bigint, " + ", ".join(f"{c} bigint" for c in
 
 #: (name, direction, good bound, bad bound): with direction 1 values up to the
 #: good bound are good and from the bad bound on are bad; with -1 the reverse.
-#: Between the bounds a rule abstains. Ratios whose base is empty abstain.
+#: Between the bounds a rule abstains, and beyond the good one if it has no bad
+#: bound. Ratios whose base is empty abstain.
 RULES = (
     ("symbols per word", 1, 0.1, 0.3),
     ("share of repeated words", 1, 0.1, 0.3),
@@ -53,11 +59,17 @@ RULES = (
     ("share of upper-case letters", 1, 0.15, 0.4),
     ("mean word length", 1, 10.0, 14.0),
     ("share of words with a letter", -1, 0.9, 0.75),
-    ("share of function words", -1, 0.12, 0.04),
+    ("share of function words", -1, 0.12, None),
     ("exclamation marks per word", 1, 0.1, 0.3),
+    ("share of words without a symbol", -1, 0.95, 0.7),
+    ("share of words equal to the word before", 1, 0.05, 0.2),
 )
 
 
+#: Turns every symbol into the first one.
+_ONE_SYMBOL = bytes.maketrans(SYMBOLS.encode(), SYMBOLS[:1].encode() * len(SYMBOLS))
+
+
 @lru_cache(1)
 def _class_tables() -> tuple[np.ndarray, np.ndarray]:
     """Whether each code point is an upper-case letter, and a letter."""
@@ -110,6 +122,8 @@ def measure(text: str, tables, function_words: frozenset) -> tuple[tuple[int, ..
     word_no = np.cumsum(space)[is_letter]
     lettered = int(np.count_nonzero(np.diff(word_no))) + 1 if len(word_no) else 0
     functional = sum(map(function_words.__contains__, words))
+    mark = SYMBOLS[:1].encode()
+    symbolic = sum(mark in w for w in raw.translate(_ONE_SYMBOL).split()) if symbols else 0
     values = [
         symbols / n,
         repeats / n,
@@ -119,6 +133,8 @@ def measure(text: str, tables, function_words: frozenset) -> tuple[tuple[int, ..
         lettered / n,
         functional / n,
         text.count("!") / n,
+        1 - symbolic / n,
+        sum(map(operator.eq, words, words[1:])) / n,
     ]
     return (n, word_chars, symbols, dup_lines, repeats), values
 
@@ -128,7 +144,7 @@ def vote(values: list[float | None]) -> int:
     pattern = 0
     for k, ((_, direction, good, bad), x) in enumerate(zip(RULES, values, strict=True)):
         if x is not None:
-            v = GOOD if direction * x <= direction * good else BAD if direction * x >= direction * bad else ABSTAIN
+            v = GOOD if direction * x <= direction * good else BAD if bad is not None and direction * x >= direction * bad else ABSTAIN
             pattern += v * 3**k
     return pattern
 
