@@ -10,7 +10,6 @@ from timeline_engine.functions import bitmaps as B
 from timeline_engine.operators import feed as E
 from timeline_engine.operators import matching as M
 from timeline_engine.plans import segments as G
-from timeline_engine.sources import telemetry as T
 
 RNG = np.random.default_rng(8)
 NAMES = {n: [RNG.random((14, 40 + 6 * k)) > 0.5] for k, n in enumerate(("ann", "bob", "cyd", "dee"))}
@@ -130,21 +129,3 @@ def test_parts_and_checks(spark):
     anchors = spark.createDataFrame([("v", 2.0), ("v", 5.0), ("v", 9.0)], "vod string, t double")
     assert sorted((r.t, r.state, r.ok) for r in G.anchor_checks(segments, anchors).collect() if r.state) == [(2.0, "live", False), (5.0, "boxscore", True)]
     assert G.margin_checks(spark.createDataFrame([(7,), (8,)], "min_margin int")).count() == 1
-
-
-def test_telemetry(tmp_path):
-    now = [100.0]
-    job = T.Job(tmp_path, "scan", "a scan", total=100, clock=lambda: now[0])
-    for _ in range(10):
-        now[0] += 1
-        job.advance(2)
-    (beat,) = T.heartbeats(tmp_path)
-    assert (beat.done, beat.share, beat.rate, beat.left, beat.state(now[0])) == (20, 0.2, 2.0, 40.0, "running") and beat.state(now[0] + 31) == "stalled"
-    assert "20/100 running 40s left" in T.status_rows(tmp_path, now[0])[0]
-    with pytest.raises(ValueError), job:
-        raise ValueError("broken")
-    assert T.heartbeats(tmp_path)[0].error == "ValueError: broken" and " failed " in T.status_rows(tmp_path, now[0])[0]
-    (tmp_path / "other.json").write_text("{")
-    with T.Job(tmp_path, "next"):
-        pass
-    assert [b.state(now[0]) for b in T.heartbeats(tmp_path)] == ["failed", "done"] and T.duration(3723) == "1h02m"

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from .plans import aggregate_queries, bitmap_queries, join_queries, run_queries, sequence_queries
+from .plans import aggregate_queries, bitmap_queries, join_queries, run_queries, segment_queries, sequence_queries
 
-_PARTS = (run_queries, join_queries, aggregate_queries, sequence_queries, bitmap_queries)
+_PARTS = (run_queries, join_queries, aggregate_queries, sequence_queries, bitmap_queries, segment_queries)
 QUERIES = {name: f for part in _PARTS for name, f in part.QUERIES.items()}
 ORACLE_SQL = {name: sql for part in _PARTS for name, sql in part.ORACLE_SQL.items()}

@@ -4,16 +4,19 @@ Candidates come from a binned interval join on the key; the greedy choice runs
 per key and per connected stretch of time: where two neighbouring instants of a
 key lie further apart than the window, no candidate crosses, so a busy key is
 cut into independent pieces and no piece holds more than such a stretch.
+Numbering the pieces takes a window over the key; with ``parts`` the table is
+cut into ranges for it and a busy key needs no single task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .grouped import fold_groups
+from .runs import pieces
 
 
 def greedy_pairs(a: list[float], b: list[float], window: float, offset: float = 0.0, signed: bool = False) -> list[tuple[int, int]]:
@@ -40,15 +43,12 @@ def greedy_pairs(a: list[float], b: list[float], window: float, offset: float =
     return out
 
 
-def match_events(falls: DataFrame, events: DataFrame, keys: Sequence[str], window: float, offset: float = 0.0) -> DataFrame:
+def match_events(falls: DataFrame, events: DataFrame, keys: Sequence[str], window: float, offset: float = 0.0, parts: int | None = None) -> DataFrame:
     """(keys, t, matched_t, delta): every fall with the event it is matched to,
     or nulls. Events of one key and instant count once."""
     shifted = falls.select(*keys, (F.col("t") + offset).alias("_at"), F.col("t"), F.lit(0).alias("_side"))
     named = events.select(*keys, F.col("t").alias("_at"), F.col("t"), F.lit(1).alias("_side")).distinct()
-    both = shifted.unionByName(named)
-    w = Window.partitionBy(*keys).orderBy("_at")
-    far = (F.col("_at") - F.lag("_at").over(w) > window).cast("int")
-    both = both.withColumn("_piece", F.sum(F.coalesce(far, F.lit(0))).over(w))
+    both = pieces(shifted.unionByName(named), keys, ["_at"], "_at", window, "_piece", parts)
 
     n = len(keys)
 
@@ -64,14 +64,12 @@ def match_events(falls: DataFrame, events: DataFrame, keys: Sequence[str], windo
     return fold_groups(both.select(*keys, "t", "_side", "_piece"), [*keys, "_piece"], ["t"], choose, schema)
 
 
-def match_both(steps: DataFrame, events: DataFrame, keys: Sequence[str], window: float) -> DataFrame:
+def match_both(steps: DataFrame, events: DataFrame, keys: Sequence[str], window: float, parts: int | None = None) -> DataFrame:
     """(keys, t, event_t, delta) of every step of a counter and every event,
     matched one-to-one, nearest first; a step without event, or an event without
     step, has null on the other side. Each row counts, equal ones too."""
     both = steps.select(*keys, "t", F.lit(0).alias("_side")).unionByName(events.select(*keys, "t", F.lit(1).alias("_side")))
-    w = Window.partitionBy(*keys).orderBy("t")
-    far = (F.col("t") - F.lag("t").over(w) > window).cast("int")
-    both = both.withColumn("_piece", F.sum(F.coalesce(far, F.lit(0))).over(w))
+    both = pieces(both, keys, ["t"], "t", window, "_piece", parts)
     n = len(keys)
 
     def choose(rows: list[tuple]) -> list[tuple]:

@@ -2,39 +2,59 @@
 
 All take key columns: work is partitioned by them, and a run never crosses a
 key. ``islands`` costs one shuffle on the keys, which the aggregation above it
-reuses.
+reuses. Where one key may hold a large share of all rows, ``parts`` cuts the
+table into so many ranges instead (``segmented``), with a carry between them.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import segmented
 from .grouped import fold_groups
 
 
-def islands(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Sequence[str], max_gap: float | None = None, time: str | None = None, name: str = "run") -> DataFrame:
+def islands(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Sequence[str], max_gap: float | None = None, time: str | None = None, name: str = "run", parts: int | None = None) -> DataFrame:
     """Adds the number of the run a row belongs to, from 1 for each key.
 
     A run ends where any value differs from the row before (null equals null),
     or where ``time`` jumps by more than ``max_gap``.
     """
+    if parts is not None:
+        columns = [*value, *([time] if max_gap is not None and time not in value else [])]
+        row = F.struct(*[F.col(c) for c in columns]) if columns else F.struct(F.lit(0).alias("none"))
+
+        def differs(x: Column, before: Column) -> Column:
+            out = F.lit(False)
+            for v in value:
+                out = out | ~x[v].eqNullSafe(before[v])
+            return out | F.coalesce(x[time] - before[time] > max_gap, F.lit(False)) if max_gap is not None else out
+
+        return segmented.islands(df, keys, order, row, differs, parts, name)
     w = Window.partitionBy(*keys).orderBy(*order)
     first = F.lag(F.lit(1)).over(w).isNull()
     broken = first
     for v in value:
         broken = broken | ~F.col(v).eqNullSafe(F.lag(v).over(w))
     if max_gap is not None:
-        broken = broken | (F.col(time) - F.lag(time).over(w) > max_gap)
+        broken = broken | F.coalesce(F.col(time) - F.lag(time).over(w) > max_gap, F.lit(False))
     return df.withColumn("_broken", broken.cast("int")).withColumn(name, F.sum("_broken").over(w)).drop("_broken")
 
 
-def run_lengths(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Sequence[str], time: str, max_gap: float | None = None) -> DataFrame:
+def pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str], time: str, gap: float, name: str, parts: int | None = None) -> DataFrame:
+    """Adds the number, from 0, of the stretch of a key in which no two
+    neighbours lie further apart than ``gap``."""
+    return islands(df, keys, order, [], gap, time, name, parts).withColumn(name, F.col(name) - 1)
+
+
+def run_lengths(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Sequence[str], time: str, max_gap: float | None = None, parts: int | None = None) -> DataFrame:
     """One row per run: keys, run, values, start_t, end_t (the last sample),
     samples."""
-    numbered = islands(df, keys, order, value, max_gap, time)
+    numbered = islands(df, keys, order, value, max_gap, time, parts=parts)
     return numbered.groupBy(*keys, "run").agg(*[F.first(v).alias(v) for v in value], F.min(time).alias("start_t"), F.max(time).alias("end_t"), F.count(F.lit(1)).alias("samples"))
 
 
@@ -97,21 +117,43 @@ BRIDGED = {"replay": 4.0}
 
 def absorb_short(states: list, starts: list, ends: list, samples: list, interval: float, dwell: dict) -> list[tuple]:
     """Folds the shortest run below its dwell into its longer neighbour (the
-    earlier of equals) until none is left; (state, start, end, samples)."""
-    runs = list(zip(states, starts, ends, samples, strict=True))
-    while len(runs) > 1:
-        lengths = [end - start for _, start, end, _ in runs]
-        short = [(lengths[i] + interval, i) for i, r in enumerate(runs) if lengths[i] + interval < dwell.get(r[0], 0.0)]
-        if not short:
-            break
-        i = min(short)[1]
-        into = i + 1 if i == 0 or (i + 1 < len(runs) and lengths[i + 1] > lengths[i - 1]) else i - 1
-        state = runs[into][0]
+    earlier of equals) until none is left; (state, start, end, samples).
+
+    Runs are a linked list, the short ones a heap by length and place: n runs
+    take n log n steps. A run that was merged keeps the place of its first."""
+    n = len(states)
+    states, starts, ends, samples = list(states), list(starts), list(ends), list(samples)
+    before, after, alive = [*range(-1, n - 1)], [*range(1, n + 1)], [True] * n
+    left = n
+
+    def length(k: int) -> float:
+        return ends[k] - starts[k]
+
+    def entry(k: int):
+        long = length(k) + interval
+        return (long, k) if long < dwell.get(states[k], 0.0) else None
+
+    short = [x for x in map(entry, range(n)) if x]
+    heapq.heapify(short)
+    while left > 1 and short:
+        long, i = heapq.heappop(short)
+        if not alive[i] or entry(i) != (long, i):
+            continue  # merged since
+        lo, hi = before[i], after[i]
+        state = states[hi if lo < 0 or (hi < n and length(hi) > length(lo)) else lo]
         # The run and its equal neighbours on both sides become one.
-        a = i - 1 if i > 0 and runs[i - 1][0] == state else i
-        b = i + 1 if i + 1 < len(runs) and runs[i + 1][0] == state else i
-        runs[a : b + 1] = [(state, runs[a][1], runs[b][2], sum(r[3] for r in runs[a : b + 1]))]
-    return runs
+        a = lo if lo >= 0 and states[lo] == state else i
+        b = hi if hi < n and states[hi] == state else i
+        for k in {a, i, b} - {a}:
+            samples[a] += samples[k]
+            alive[k] = False
+            left -= 1
+        states[a], ends[a], after[a] = state, ends[b], after[b]
+        if after[a] < n:
+            before[after[a]] = a
+        if x := entry(a):
+            heapq.heappush(short, x)
+    return [(states[k], starts[k], ends[k], samples[k]) for k in range(n) if alive[k]]
 
 
 def smooth(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, time: str, dwell: dict | None = None, bridged: dict | None = None) -> DataFrame:

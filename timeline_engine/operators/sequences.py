@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .grouped import fold_groups
+from .grouped import fold_groups, stream_groups
+from .runs import pieces
+from .segmented import ranges
 
 
 def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], skip_null: str | None = None) -> DataFrame:
@@ -19,22 +22,27 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], colu
     return df.withColumns({f"prev_{c}": F.lag(c).over(w) for c in columns})
 
 
-def with_next(df: DataFrame, order: str, columns: Sequence[str], per_block: int = 4_000, most_blocks: int = 20_000) -> DataFrame:
-    """Adds next_<column> of the next row of the whole table by ``order``, a
-    number. The table is cut into blocks of equal ranges of ``order``; the first
-    row of each block (at most ``most_blocks`` rows in one task) is handed to the
-    last block before it that has rows, so every adjacent pair is met."""
-    low, high, n = df.agg(F.min(order), F.max(order), F.count(order)).first()
+def with_next(df: DataFrame, order: str, columns: Sequence[str], per_block: int = 200_000, most_blocks: int = 20_000) -> DataFrame:
+    """Adds next_<column> of the next row of the whole table by ``order``; null
+    for rows without it. A table of more than ``per_block`` rows is cut into
+    ranges of about as many rows, however ``order`` is distributed; the first row
+    of each range (at most ``most_blocks`` rows in one task) is handed to the
+    range before."""
+    n = df.agg(F.count(order)).first()[0]
     blocks = max(1, min(most_blocks, n // per_block))
-    width = max((float(high) - float(low)) / blocks, 1e-9) if n else 1.0
-    placed = df.withColumn("_block", F.floor((F.col(order).cast("double") - F.lit(float(low or 0))) / width))
+    known = df.where(F.col(order).isNotNull())
+    none = df.where(F.col(order).isNull()).withColumns({f"next_{c}": F.lit(None).cast(dict(df.dtypes)[c]) for c in columns})
+    if blocks == 1:
+        w = Window.orderBy(order)
+        return known.withColumns({f"next_{c}": F.lead(c).over(w) for c in columns}).unionByName(none)
+    placed = ranges(known, [], [order], blocks)
     item = F.struct(order, *[F.col(c) for c in columns if c != order])
-    heads = placed.where(F.col(order).isNotNull()).groupBy("_block").agg(F.min_by(item, order).alias("_item"))
-    before = F.lag("_block").over(Window.orderBy("_block"))
-    handed = heads.withColumn("_block", before).where(F.col("_block").isNotNull()).select("_block", "_item.*", F.lit(True).alias("_handed"))
-    w = Window.partitionBy("_block").orderBy(F.col(order).asc_nulls_last(), F.col("_handed").asc_nulls_first())
+    heads = placed.groupBy("_part").agg(F.min_by(item, order).alias("_item"))
+    before = F.lag("_part").over(Window.orderBy("_part"))
+    handed = heads.withColumn("_part", before).where(F.col("_part").isNotNull()).select("_part", "_item.*", F.lit(True).alias("_handed"))
+    w = Window.partitionBy("_part").orderBy(order, F.col("_handed").asc_nulls_first())
     both = placed.unionByName(handed, allowMissingColumns=True).withColumns({f"next_{c}": F.lead(c).over(w) for c in columns})
-    return both.where(F.col("_handed").isNull()).drop("_block", "_handed")
+    return both.where(F.col("_handed").isNull()).drop("_part", "_handed").unionByName(none)
 
 
 def changes(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], when: Column, skip_null: str | None = None) -> DataFrame:
@@ -56,58 +64,76 @@ def staircase(df: DataFrame, keys: Sequence[str], order: Sequence[str], left: st
     accepted pairs in a row are one, whose end is the latest.
 
     A running maximum is not enough, since a rejected pair must not raise the
-    bar; the fold runs inside the JVM on each key's ordered pairs.
+    bar: each pair is judged by the one accepted before it. A key's pairs are
+    streamed in order and the last accepted pair is all that is held.
     """
-    item = F.struct(*[F.col(c) for c in order], F.col(left).alias("l"), F.col(right).alias("r"), F.col(start).alias("s"), F.col(end).alias("e"))
-    rows = df.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("rows"))
-    l_type, r_type, s_type, e_type = (dict(df.dtypes)[c] for c in (left, right, start, end))
-    step = f"struct<l:{l_type},r:{r_type},s:{s_type},e:{e_type}>"
-    empty = F.array().cast(f"array<{step}>")
-
-    def accept(out: Column, x: Column) -> Column:
-        top = F.try_element_at(out, F.lit(-1))
-        fell = F.coalesce((x["l"] < top["l"]) | (x["r"] < top["r"]), F.lit(False))
-        same = F.coalesce((x["l"] == top["l"]) & (x["r"] == top["r"]), F.lit(False))
-        made = lambda s, e: F.array(F.struct(x["l"].alias("l"), x["r"].alias("r"), s.alias("s"), e.alias("e")).cast(step))
-        longer = F.concat(F.slice(out, 1, F.size(out) - 1), made(top["s"], F.greatest(top["e"], x["e"])))
-        return F.when(fell, out).when(same, longer).otherwise(F.concat(out, made(x["s"], x["e"])))
-
-    folded = rows.select(*keys, F.explode(F.aggregate("rows", empty, accept)).alias("x"))
-    return folded.select(*keys, F.col("x.l").alias(left), F.col("x.r").alias(right), F.col("x.s").alias(start), F.col("x.e").alias(end))
-
-
-def consensus(witnesses: DataFrame, keys: Sequence[str], time: str, name: str, rank: str, tolerance: float, needed: int, once: bool = False) -> DataFrame:
+    cols = [*keys, *[c for c in order if c not in keys], *[c for c in (left, right, start, end) if c not in order and c not in keys]]
+    n, (l, r, s, e) = len(keys), (cols.index(c) for c in (left, right, start, end))
+    below = lambda a, b: a is not None and b is not None and a < b
+
+    def take(top: list, row: tuple):
+        if top[0] is None:
+            top[0] = [*row[:n], row[l], row[r], row[s], row[e]]
+            return
+        last = top[0]
+        if below(row[l], last[n]) or below(row[r], last[n + 1]):
+            return
+        if None not in (row[l], row[r]) and row[l] == last[n] and row[r] == last[n + 1]:
+            last[n + 3] = max((x for x in (last[n + 3], row[e]) if x is not None), default=None)
+            return
+        top[0] = [*row[:n], row[l], row[r], row[s], row[e]]
+        yield tuple(last)
+
+    types = dict(df.dtypes)
+    schema = ", ".join(f"`{c}` {types[c]}" for c in (*keys, left, right, start, end))
+    by = [*order, *[c for c in (left, right, start, end) if c not in order]]
+    return stream_groups(df.select(*cols), keys, by, lambda _row: [None], take, lambda top: [tuple(top[0])], schema)
+
+
+def joined_boundaries(rows: list[tuple], tolerance: float, once: bool) -> list[tuple[float, set]]:
+    """Boundaries (t, names) of the instants (rank, t, name) of one stretch, in
+    the order they are made. Those made are kept sorted by t, so an instant looks
+    at the ones within the tolerance only."""
+    made: list[tuple[float, set]] = []
+    placed: list[tuple[float, int]] = []
+    for _, t, name in sorted(rows):
+        lo = bisect_left(placed, (t - tolerance, -1))
+        best = None
+        while lo < len(placed) and placed[lo][0] - t <= tolerance:
+            k = placed[lo][1]
+            if abs(placed[lo][0] - t) <= tolerance and not (once and name in made[k][1]) and (best is None or k < best):
+                best = k
+            lo += 1
+        if best is None:
+            insort(placed, (t, len(made)))
+            made.append((t, {name}))
+        else:
+            made[best][1].add(name)
+    return made
+
+
+def consensus(witnesses: DataFrame, keys: Sequence[str], time: str, name: str, rank: str, tolerance: float, needed: int, once: bool = False, parts: int | None = None) -> DataFrame:
     """Boundaries that several witnesses saw: (keys, t, witnesses, confirmed).
 
     Witness lists are merged in the order of ``rank``, then time: an instant
     joins the first boundary made that lies within ``tolerance`` (with ``once``,
-    and lacks this witness), else makes a new one. A later instant of one
-    witness replaces the earlier. Each key's few instants are folded in the JVM.
+    and lacks this witness), else makes a new one.
+
+    A boundary lies at an instant, so none reaches across a gap longer than the
+    tolerance: each key is cut there, and memory holds one such stretch.
     """
-    item = F.struct(F.col(rank).cast("int").alias("rank"), F.col(time).cast("double").alias("t"), F.col(name).alias("name"))
-    rows = witnesses.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("rows"))
-    entry = "struct<t:double,seen:array<struct<name:string,t:double>>>"
-    empty = F.array().cast(f"array<{entry}>")
-
-    def near(b: Column, x: Column) -> Column:
-        close = F.abs(b["t"] - x["t"]) <= tolerance
-        return close & ~F.exists(b["seen"], lambda s: s["name"] == x["name"]) if once else close
-
-    def add(out: Column, x: Column) -> Column:
-        mark = F.struct(x["name"].alias("name"), x["t"].alias("t"))
-        at = F.aggregate(
-            F.sequence(F.lit(1), F.greatest(F.size(out), F.lit(1))), F.lit(0), lambda k, i: F.when((k == 0) & F.coalesce(near(F.try_element_at(out, i), x), F.lit(False)), i).otherwise(k)
-        )
-        joined = F.transform(
-            out,
-            lambda b, i: F.when(i + 1 == at, F.struct(b["t"].alias("t"), F.concat(F.filter(b["seen"], lambda s: s["name"] != x["name"]), F.array(mark)).alias("seen")).cast(entry)).otherwise(b),
-        )
-        made = F.concat(out, F.array(F.struct(x["t"].alias("t"), F.array(mark).alias("seen")).cast(entry)))
-        return F.when(at > 0, joined).otherwise(made)
-
-    merged = rows.select(*keys, F.explode(F.aggregate("rows", empty, add)).alias("b"))
-    names = F.array_sort(F.transform("b.seen", lambda s: s["name"]))
-    return merged.select(*keys, F.col("b.t").alias("t"), names.alias("witnesses"), (F.size(names) >= needed).alias("confirmed"))
+    types = dict(witnesses.dtypes)
+    seen = witnesses.select(*keys, F.col(time).cast("double").alias("_t"), F.col(rank).cast("int").alias("_rank"), F.col(name).alias("_name"))
+    # Half as much again: the cut must not lie at a distance that still joins.
+    cut = pieces(seen, keys, ["_t", "_rank", "_name"], "_t", 1.5 * tolerance, "_piece", parts)
+    n = len(keys)
+
+    def join(rows: list[tuple]) -> list[tuple]:
+        made = joined_boundaries([(r[n + 1], r[n], r[n + 2]) for r in rows], tolerance, once)
+        return [(*rows[0][:n], t, sorted(names), len(names) >= needed) for t, names in made]
+
+    schema = ", ".join([*(f"`{k}` {types[k]}" for k in keys), "t double", f"witnesses array<{types[name]}>", "confirmed boolean"])
+    return fold_groups(cut.select(*keys, "_t", "_rank", "_name", "_piece"), [*keys, "_piece"], ["_t"], join, schema)
 
 
 def every_nth(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
@@ -156,16 +182,15 @@ def chains(rows: list[tuple], max_gap: float, slack: float) -> list[list[int]]:
     return out
 
 
-def chain_events(df: DataFrame, keys: Sequence[str], time: str, slot: str, features: Sequence[str] = (), max_gap: float = 6.0, slack: float = 3.0, tie: Sequence[str] = ()) -> DataFrame:
+def chain_events(df: DataFrame, keys: Sequence[str], time: str, slot: str, features: Sequence[str] = (), max_gap: float = 6.0, slack: float = 3.0, tie: Sequence[str] = (), parts: int | None = None) -> DataFrame:
     """Adds ``chain`` (per key and session) to sightings.
 
     A key's time is first cut into sessions where nothing is seen for longer
     than ``max_gap``: no chain crosses such a gap, so sessions are independent
-    tasks and a busy key needs no single one.
+    tasks. Numbering them takes a window over the key; with ``parts`` the table
+    is cut into ranges for it and a busy key needs no single task.
     """
-    w = Window.partitionBy(*keys).orderBy(time, slot, *tie)
-    far = (F.col(time) - F.lag(time).over(w) > max_gap).cast("int")
-    cut = df.withColumn("_session", F.sum(F.coalesce(far, F.lit(0))).over(w))
+    cut = pieces(df, keys, [time, slot, *tie], time, max_gap, "_session", parts)
 
     names = [*df.columns, "_session"]
     i_time, i_slot, i_shape = names.index(time), names.index(slot), [names.index(f) for f in features]

@@ -1,8 +1,8 @@
 """As-of and interval joins.
 
 As-of joins are windows over the union of both sides: one shuffle on the keys
-and a sort, no pairing of rows, so they hold for keys with any number of rows
-on both sides. Interval joins cut time into bins about as long as an interval,
+and a sort, no pairing of rows. Where one key may hold a large share of all
+rows, ``parts`` cuts the union into so many ranges, with a carry between them. Interval joins cut time into bins about as long as an interval,
 which turns the range condition into an equi-join that is then refined.
 """
 
@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import segmented
+
 
 def _sided(left: DataFrame, right: DataFrame, keys: Sequence[str], t_left: str, t_right: str, payload: Sequence[str], right_first: bool) -> tuple[DataFrame, DataFrame]:
     row = F.struct(*[F.col(c) for c in left.columns])
@@ -22,7 +24,7 @@ def _sided(left: DataFrame, right: DataFrame, keys: Sequence[str], t_left: str,
     return a, b
 
 
-def asof(left: DataFrame, right: DataFrame, keys: Sequence[str], t_left: str, t_right: str, payload: Sequence[str], forward: bool = False, strict: bool = False, tie: Sequence[str] = ()) -> DataFrame:
+def asof(left: DataFrame, right: DataFrame, keys: Sequence[str], t_left: str, t_right: str, payload: Sequence[str], forward: bool = False, strict: bool = False, tie: Sequence[str] = (), parts: int | None = None) -> DataFrame:
     """Each left row with ``payload`` of the latest right row at or before it
     (``forward``: the earliest at or after it; ``strict``: not at it). Right
     rows of one instant are ordered by ``tie``: backward takes the last of them,
@@ -36,9 +38,12 @@ def asof(left: DataFrame, right: DataFrame, keys: Sequence[str], t_left: str, t_
         order = [F.col("_t").desc(), F.col("_side").asc(), *[c.desc() for c in ties]]
     else:
         order = [F.col("_t").asc(), F.col("_side").asc(), *[c.asc() for c in ties]]
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = F.last("_item", ignorenulls=True).over(w)
-    out = both.withColumn("_found", found).where(F.col("_row").isNotNull())
+    if parts is not None:
+        out = segmented.last_found(both, keys, order, "_item", parts, "_found")
+    else:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        out = both.withColumn("_found", F.last("_item", ignorenulls=True).over(w))
+    out = out.where(F.col("_row").isNotNull())
     return out.select(*[F.col(f"_row.{c}") for c in left.columns], *[F.col(f"_found.{c}") for c in payload])
 
 
