@@ -93,16 +93,50 @@ def test_a_difference_from_any_template_decides():
             assert len(p & q) >= families.needed(max(s), min(s))
 
 
-def test_long_lists_meet_in_all_pairs_of_blocks(monkeypatch):
+def plain_shared(sets, rows, columns):
+    return [[len(set(sets[i].tolist()) & set(sets[j].tolist())) for j in columns] for i in rows]
+
+
+@pytest.mark.parametrize("matrix", [4_000_000, 40])
+def test_shared_counts(monkeypatch, matrix):
+    monkeypatch.setattr(families, "MATRIX", matrix)
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, k).astype(np.uint64)) for k in (0, 1, 5, 30, 30, 12)]
+    rows, columns = np.array([0, 2, 3]), np.array([1, 4, 5])  # never a set with itself
+    assert families.shared(sets, rows, columns).tolist() == plain_shared(sets, rows, columns)
+    assert families.shared(sets[:1] * 2, np.arange(1), np.arange(1, 2)).tolist() == [[0]]
+
+
+@pytest.mark.parametrize("alone", [True, False])
+def test_lists_are_compared_in_blocks(monkeypatch, alone):
+    """Whatever blocks a list is cut into, the components of its links are the same."""
     monkeypatch.setattr(families, "BLOCK", 4)
-    monkeypatch.setattr(families, "MOST_PAIRS", 7)
+    rng = np.random.default_rng(7)
     node = np.arange(11, dtype=np.int64) * 3
-    component = node % 4
-    blob = pa.RecordBatch.from_arrays([pa.array([5]), pa.array([node.view(np.uint64).tobytes()])], names=["run", "blob"])
-    dealt = pa.Table.from_batches(families._dealt([blob])).to_pylist()
-    dealt.sort(key=lambda r: (r["run"], r["i"], r["j"]))
-    rows = pa.RecordBatch.from_pylist([{**{k: r[k] for k in ("run", "i", "j", "node")}, "component": int(r["node"] % 4), "second": r["second"]} for r in dealt])
-    found = pa.Table.from_batches(families._list_pairs([rows.slice(0, 9), rows.slice(9)])).to_pylist()
-    want = {(int(a), int(b)) for k, a in enumerate(node) for b in node[k + 1 :] if a % 4 != b % 4}
-    assert sorted((r["a"], r["b"]) for r in found) == sorted(want)
-    assert len(component) == 11
+    e = {int(n): np.unique(rng.integers(0, 14, 8).astype(np.uint64)) for n in node}
+    s = {int(n): 7 * len(e[int(n)]) - 20 for n in node}
+    a, b = (node, node[:0]) if alone else (node[:5], node[5:])
+    batch = pa.RecordBatch.from_arrays([pa.array([5]), pa.array([a.tobytes()]), pa.array([b.tobytes()])], names=["run", "a", "b"])
+    dealt = sorted(pa.Table.from_batches(families._dealt([batch])).to_pylist(), key=lambda r: (r["run"], r["i"], r["j"]))
+    rows = [{**{k: r[k] for k in ("run", "i", "j", "node")}, "component": r["node"] % 4, "second": r["second"], "s": s[r["node"]], "e": e[r["node"]].tobytes()} for r in dealt]
+    kinds = [("run", pa.int64()), ("i", pa.int64()), ("j", pa.int64()), ("node", pa.int64()), ("component", pa.int64()), ("second", pa.bool_()), ("s", pa.int64()), ("e", pa.binary())]
+    table = pa.RecordBatch.from_pylist(rows, schema=pa.schema(kinds))
+    found = [(int(x), int(y)) for out in families._compared([table.slice(0, 9), table.slice(9)]) for x, y in zip(*(out.column(k).to_pylist() for k in range(2)), strict=True)]
+    pairs = [(int(x), int(y)) for k, x in enumerate(node) for y in (node[k + 1 :] if alone else b) if alone or x in a]
+    want = [(x, y) for x, y in pairs if x % 4 != y % 4 and 14 * len(np.intersect1d(e[x], e[y])) >= s[x] + s[y]]
+    assert want and classes(found) == classes(want)
+
+
+def classes(links):
+    least = {}
+
+    def root(x):
+        least.setdefault(x, x)
+        while least[x] != x:
+            x = least[x]
+        return x
+
+    for x, y in links:
+        x, y = sorted((root(x), root(y)))
+        least[y] = x
+    return {x: root(x) for x in list(least)}

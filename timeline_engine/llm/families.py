@@ -12,16 +12,19 @@ remainders share at least (s_x + s_y) / 14 shingles:
 
 - If that is none, they are similar. Members with such a partner are linked to
   the member of least s, which is then one as well: a star, no pairs.
-- Otherwise their remainders share a shingle among their first
-  size - max(1, (s + least s of the family) / 14) + 1, in one common order, rare
-  ones first (prefix filter). Texts that differ only in parts of their own
-  share nothing there and cost nothing more.
-
-Members that share such a shingle form a list. Pairs of short lists are verified
-on remainders. Long lists (texts of a template within the template) become
-families of the next level, with templates of their own. Lists that are long
-after ``LEVELS`` levels are compared by pairs of blocks, dealt to all tasks and
-emitted in bounded batches. Every link between different components is found.
+- Otherwise their remainders share a shingle among their first ones, in one
+  common order, rare shingles first (prefix filter). How many are first depends
+  on the pair: size - max(1, (s_x + s_y) / 14) + 1. Members of a family are
+  therefore cut into ``BANDS`` bands of s, and a remainder's prefix is emitted
+  for each band with the least s that a partner in that band has. Texts that
+  differ only in parts of their own share nothing there and cost nothing more.
+
+Members that share such a shingle for one pair of bands form a list. Members of
+one list are compared inside tasks, in blocks of ``BLOCK`` by a product of
+matrices, and only links that join components are emitted, at most one a member
+and block. Long lists (texts of a template within the template) first become
+families of the next level, with templates of their own, while that makes the
+families smaller. Every link between different components is found or implied.
 """
 
 from __future__ import annotations
@@ -32,22 +35,29 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_rows, mix64, written
-from .components import components
+from .components import components, stars
 
-#: Lists of at most so many members are compared in pairs.
+#: Runs and lists of at most so many members are compared as they are.
 SMALL = 32
-LEVELS = 4
+LEVELS = 3
+#: The next level must have at most this share of the members.
+SMALLER = 0.75
 #: Members from which a template is made.
 SAMPLE = 64
-#: Members of a block of a long list at the last level.
+BANDS = 8
+#: Members of a block of a list.
 BLOCK = 512
 #: A family's rows are dealt to so many tasks where they meet its template.
 SALTS = 8
 #: Rows of whole sets in one Arrow batch.
 SET_ROWS = 200
-#: Pairs in one batch of output.
-MOST_PAIRS = 100_000
+#: Keys of a batch are flushed to blobs from this number on.
+FLUSH_KEYS = 500_000
+#: Numbers of a matrix held at once.
+MATRIX = 4_000_000
 _ROWS = "family bigint, node bigint, component bigint, n bigint, s bigint, e binary"
+_KEYS = pa.schema([("bucket", pa.int32()), ("blob", pa.binary())])
+_LIST = "a binary, b binary"
 
 
 def families(lists: DataFrame) -> DataFrame:
@@ -97,140 +107,240 @@ def remainders(rows: DataFrame) -> DataFrame:
 
 
 def needed(s: int, least: int) -> int:
-    """Shingles that a remainder shares with that of any partner, at least."""
+    """Shingles that a remainder shares, at least, with that of a partner that
+    is not similar anyway and whose s is ``least`` or more."""
     return max(1, -(-(s + least) // 14))
 
 
-def _prefixes(n_buckets: int, frequent, place, blobs):
-    """Blobs of the keys of each remainder's first shingles; of all of them,
-    without ids, if ``frequent`` is None."""
+def banded(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(star links (a, b); rows with ``component`` as the star leaves it, ``band``,
+    and ``bands``: (band, least s, component if it holds one only) of all bands
+    of the family)."""
+    shares = F.array(*[F.lit(k / BANDS) for k in range(1, BANDS)])
+    first = rows.groupBy("family").agg(F.min(F.struct("s", "node", "component")).alias("_m"), F.percentile_approx("s", shares, 200).alias("bounds"))
+    first = written(first.select("family", F.col("_m.s").alias("least"), F.col("_m.node").alias("first"), F.col("_m.component").alias("of_first"), "bounds"), "least-apart")
+    met = salted(rows, first)
+    near = F.col("s") + F.col("least") <= 0
+    links = met.where(near & (F.col("component") != F.col("of_first"))).select(F.col("first").alias("a"), F.col("node").alias("b"))
+    band = F.size(F.filter("bounds", lambda x: x < F.col("s")))
+    met = met.withColumn("component", F.when(near, F.col("of_first")).otherwise(F.col("component"))).withColumn("band", band)
+    met = written(met.select("family", "node", "component", "s", "e", "band"), "banded")
+    one = F.when(F.min("component") == F.max("component"), F.min("component")).alias("one")
+    bands = met.groupBy("family", "band").agg(F.min("s").alias("least"), one)
+    bands = bands.groupBy("family").agg(F.array_sort(F.collect_list(F.struct("band", "least", "one"))).alias("bands"))  # at most BANDS a family
+    return written(links.distinct(), "stars"), salted(met, written(bands, "bands"))
+
+
+def _counted(n_buckets: int, place, blobs):
+    """Blobs of the keys of all shingles of remainders, to find frequent ones."""
 
     def run(batches):
         for batch in batches:
-            places, ids, size = [], [], 0
-            for family, node, s, least, e in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
-                e = np.frombuffer(e, np.uint64)
-                keep = len(e) - needed(s, least) + 1
-                if keep <= 0:
-                    continue
-                key = mix64(e ^ mix64(np.array([family], np.int64).view(np.uint64)))
-                at = place(key, n_buckets)
-                if frequent is not None and keep < len(key):
-                    rank = np.zeros(len(key), np.uint64)
-                    if len(frequent.value):
-                        where = np.minimum(np.searchsorted(frequent.value, at), len(frequent.value) - 1)
-                        rank[frequent.value[where] == at] = 1
-                    at = at[np.argpartition(rank << np.uint64(62) | key >> np.uint64(2), keep - 1)[:keep]]
-                places.append(at)
-                ids.append(node)
-                size += len(at)
-                if size >= 500_000:
-                    yield blobs(places, None if frequent is None else np.array(ids, np.int64).view(np.uint64).tolist())
-                    places, ids, size = [], [], 0
-            if places:
-                yield blobs(places, None if frequent is None else np.array(ids, np.int64).view(np.uint64).tolist())
+            places, size = [], 0
+            for family, e in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                places.append(place(_keys(family, np.frombuffer(e, np.uint64)), n_buckets))
+                size += len(places[-1])
+                if size >= FLUSH_KEYS:
+                    yield blobs(places, None)
+                    places, size = [], 0
+            if size:
+                yield blobs(places, None)
 
     return run
 
 
+def _keys(family: int, e: np.ndarray) -> np.ndarray:
+    return mix64(e ^ mix64(np.array([family], np.int64).view(np.uint64)))
+
+
+def _prefixes(n_buckets: int, frequent, place):
+    """Blobs (32 bits of the key, node, side) a bucket: for each band, the keys
+    of a remainder's first shingles; side 0 or 1 tells the lower of two bands
+    from the higher, 2 is one band with itself."""
+
+    def blobs(parts):
+        at, node, side = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.argsort(at >> np.uint64(32), kind="stable")
+        at, node, side = at[order], node[order], side[order]
+        bucket = (at >> np.uint64(32)).astype(np.int32)
+        low = (at & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+        ends = np.append(starts[1:], len(bucket))
+        made = [low[x:y].tobytes() + node[x:y].tobytes() + side[x:y].tobytes() for x, y in zip(starts, ends, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[starts]), pa.array(made, pa.binary())], schema=_KEYS)
+
+    def run(batches):
+        for batch in batches:
+            parts, size = [], 0
+            for family, node, component, s, e, band, bands in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
+                key = _keys(family, np.frombuffer(e, np.uint64))
+                rank = np.zeros(len(key), np.uint64)
+                if len(frequent.value) and len(key):
+                    at = place(key, n_buckets)
+                    where = np.minimum(np.searchsorted(frequent.value, at), len(frequent.value) - 1)
+                    rank[frequent.value[where] == at] = 1
+                key = key[np.argsort(rank << np.uint64(62) | key >> np.uint64(2))]
+                for other in bands:
+                    keep = len(key) - needed(s, other["least"]) + 1
+                    if keep <= 0 or other["one"] == component:
+                        continue
+                    lo, hi = min(band, other["band"]), max(band, other["band"])
+                    at = place(mix64(key[:keep] + np.uint64(lo * BANDS + hi + 1)), n_buckets)
+                    side = 2 if lo == hi else int(band == hi)
+                    parts.append((at, np.full(keep, node, np.int64), np.full(keep, side, np.uint8)))
+                    size += keep
+                if size >= FLUSH_KEYS:
+                    yield blobs(parts)
+                    parts, size = [], 0
+            if parts:
+                yield blobs(parts)
+
+    return run
+
+
+def _lists(group: pa.Table) -> pa.Table:
+    """Of a bucket's blobs, the distinct lists (a, b): the members of the lower
+    and the higher band; without b, those of one band."""
+    columns = [[], [], []]
+    for blob in group.column("blob").to_pylist():
+        n = len(blob) // 13
+        for held, kind, at in zip(columns, (np.uint32, np.int64, np.uint8), (0, 4 * n, 12 * n), strict=True):
+            held.append(np.frombuffer(blob, kind, n, offset=at))
+    found = set()
+    if columns[0]:
+        low, node, side = map(np.concatenate, columns)
+        order = np.argsort(low)
+        low, node, side = low[order], node[order], side[order]
+        same = low[1:] == low[:-1]
+        edge = np.diff(np.concatenate([[False], same, [False]]).astype(np.int8))
+        for x, y in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) + 1, strict=True):
+            nodes, sides = node[x:y], side[x:y]
+            if (sides == 2).any():
+                a, b = np.unique(nodes), nodes[:0]
+            else:
+                a, b = np.unique(nodes[sides == 0]), np.unique(nodes[sides == 1])
+                if not len(a) or not len(b):
+                    continue
+            if len(a) + len(b) > 1:
+                found.add((a.tobytes(), b.tobytes()))
+    found = sorted(found)
+    return pa.table({"a": pa.array([f[0] for f in found], pa.binary()), "b": pa.array([f[1] for f in found], pa.binary())})
+
+
 def _dealt(batches):
     """Members of lists by pairs of blocks: (run, i, j, node, second)."""
     for batch in batches:
-        for run_id, blob in zip(batch.column(0), batch.column(1), strict=True):
-            m = np.frombuffer(blob.as_py(), np.uint64).view(np.int64)
-            n_blocks = -(-len(m) // BLOCK)
-            for i in range(n_blocks):
-                x = m[i * BLOCK : (i + 1) * BLOCK]
-                for j in range(i, n_blocks):
-                    y = m[j * BLOCK : (j + 1) * BLOCK] if j > i else x[:0]
+        for run_id, a, b in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            a, b = np.frombuffer(a or b"", np.int64), np.frombuffer(b or b"", np.int64)
+            alone = not len(b)
+            rows, columns = ([m[k : k + BLOCK] for k in range(0, len(m), BLOCK)] for m in (a, a if alone else b))
+            for i, x in enumerate(rows):
+                for j, y in enumerate(columns):
+                    if alone and j < i:
+                        continue
+                    y = y[:0] if alone and i == j else y
                     k = len(x) + len(y)
-                    columns = [np.repeat(run_id.as_py(), k), np.repeat(i, k), np.repeat(j, k), np.concatenate([x, y]), np.arange(k) >= len(x)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["run", "i", "j", "node", "second"])
-
-
-def _list_pairs(batches):
-    """Pairs of different components, of members sorted by (run, i, j)."""
-
-    def pairs(i, j, node, component, second):
-        node, component, second = np.array(node, np.int64), np.array(component, np.int64), np.array(second, bool)
-        x, y = (np.flatnonzero(~second), np.flatnonzero(second)) if i != j else (np.arange(len(node)),) * 2
-        a, b = np.nonzero(component[x][:, None] != component[y])
-        p, q = node[x[a]], node[y[b]]
-        both = np.unique(np.column_stack([np.minimum(p, q), np.maximum(p, q)]), axis=0)
-        for at in range(0, len(both), MOST_PAIRS):
-            part = both[at : at + MOST_PAIRS]
-            yield pa.RecordBatch.from_arrays([pa.array(part[:, 0].copy()), pa.array(part[:, 1].copy())], names=["a", "b"])
+                    each = [np.repeat(run_id, k), np.repeat(i, k), np.repeat(j, k), np.concatenate([x, y]), np.arange(k) >= len(x)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in each], names=["run", "i", "j", "node", "second"])
+
+
+def shared(sets: list[np.ndarray], rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """How many elements each set of ``rows`` shares with each of ``columns``
+    (places in ``sets``), by products of matrices over elements held twice."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    number = np.cumsum(times > 1) - 1
+    twice = times[at] > 1
+    owner, at = owner[twice], number[at[twice]]
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    out = np.zeros((len(rows), len(columns)), np.float32)
+    n = int(at[-1]) + 1 if len(at) else 0
+    width = max(1, min(n, MATRIX // len(sets)))
+    for lo in range(0, n, width):
+        x, y = np.searchsorted(at, [lo, lo + width])
+        held = np.zeros((len(sets), width), np.float32)
+        held[owner[x:y], at[x:y] - lo] = 1
+        out += held[rows] @ held[columns].T
+    return out.astype(np.int64)
+
+
+def _compared(batches):
+    """Links that join components, of members sorted by (run, i, j)."""
+
+    def links(held):
+        node, component, second, s, e = zip(*held, strict=True)
+        component, s = np.array(component, np.int64), np.array(s, np.int64)
+        second = np.array(second, bool)
+        x, y = (np.flatnonzero(~second), np.flatnonzero(second)) if second.any() else (np.arange(len(node)),) * 2
+        apart = component[x][:, None] != component[y]
+        if not apart.any():
+            return
+        common = shared([np.frombuffer(v, np.uint64) for v in e], x, y)
+        a, b = np.nonzero(apart & (14 * common >= s[x][:, None] + s[y]))
+        if len(a):
+            node = np.array(node, np.int64)
+            u, v = stars(node[x[a]], node[y[b]])
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["a", "b"])
 
     now, held = None, []
     for batch in batches:
-        for run_id, i, j, *row in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
+        for run_id, i, j, *row in zip(*(batch.column(k).to_pylist() for k in range(8)), strict=True):
             if (run_id, i, j) != now:
                 if len(held) > 1:
-                    yield from pairs(*now[1:], *zip(*held, strict=True))
+                    yield from links(held)
                 now, held = (run_id, i, j), []
             held.append(row)
     if len(held) > 1:
-        yield from pairs(*now[1:], *zip(*held, strict=True))
+        yield from links(held)
 
 
-def _verified(batches):
-    """Pairs (a, b, sizes, remainders) that are similar."""
+def _members(batches):
+    """Lists as rows (run, node)."""
     for batch in batches:
-        a, b, n, m = (batch.column(k).to_numpy() for k in range(4))
-        ok = []
-        for k, (x, y) in enumerate(zip(batch.column(4), batch.column(5), strict=True)):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            both = np.concatenate([x, y])
-            both.sort()
-            common = int(np.count_nonzero(both[1:] == both[:-1]))
-            ok.append(7 * (len(both) - 2 * common) <= n[k] + m[k])
-        ok = np.array(ok, bool)
-        yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok])], names=["a", "b"])
-
-
-def family_links(rows: DataFrame, n_buckets: int, place, blobs, key_lists, frequent_of) -> list[DataFrame]:
+        for run_id, a, b in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            m = np.frombuffer((a or b"") + (b or b""), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(run_id, len(m))), pa.array(m)], names=["run", "node"])
+
+
+def compared(lists: DataFrame, rows: DataFrame) -> DataFrame:
+    """Links (a, b) inside ``lists`` (run, a, b) of ``rows`` (node, component, s, e)."""
+    cells = ["run", "i", "j"]
+    dealt = lists.mapInArrow(_dealt, "run bigint, i bigint, j bigint, node bigint, second boolean").join(rows, "node")
+    dealt = dealt.select(*cells, "node", "component", "second", "s", "e").repartition(*cells).sortWithinPartitions(*cells)
+    with arrow_rows(rows.sparkSession, SET_ROWS):
+        return written(dealt.mapInArrow(_compared, "a bigint, b bigint").distinct(), "family-links")
+
+
+def family_links(rows: DataFrame, n_buckets: int, place, blobs, row_schema: str, frequent_of) -> list[DataFrame]:
     """Links (a, b) between different components of ``rows`` (family, node,
-    component, n, e), enough for the classes: each written. The last four
-    arguments are the key tools of the join that found the families."""
+    component, n, e), enough for the classes: each written. ``place``, ``blobs``,
+    ``row_schema`` and ``frequent_of`` are the key tools of the calling join."""
     spark, links = rows.sparkSession, []
     for level in range(LEVELS):
         rows = remainders(rows)
-        least = rows.groupBy("family").agg(F.min(F.struct("s", "node", "component")).alias("_m"))
-        least = written(least.select("family", F.col("_m.s").alias("least"), F.col("_m.node").alias("first"), F.col("_m.component").alias("of_first")), "least-apart")
-        met = salted(rows, least)
-        star = met.where((F.col("s") + F.col("least") <= 0) & (F.col("component") != F.col("of_first")))
-        links.append(written(star.select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), "stars"))
-        asked = met.select("family", "node", "s", "least", "e")
-        with arrow_rows(spark, SET_ROWS):
-            row_schema, run_lists = key_lists
-            frequent = spark.sparkContext.broadcast(frequent_of(asked.mapInArrow(_prefixes(n_buckets, None, place, blobs), row_schema)))
-            keys = asked.mapInArrow(_prefixes(n_buckets, frequent, place, blobs), row_schema)
-            lists = keys.groupBy("bucket").applyInArrow(run_lists, row_schema).select("blob").distinct()
-            lists = written(lists.select(F.xxhash64("blob").alias("run"), "blob"), "lists")
-        last = level == LEVELS - 1
-        short = lists if last else lists.where(F.octet_length("blob") <= 8 * SMALL)
-        named = rows.select("node", "component").distinct()
-        dealt = short.mapInArrow(_dealt, "run bigint, i bigint, j bigint, node bigint, second boolean").join(named, "node")
-        dealt = dealt.select("run", "i", "j", "node", "component", "second").repartition("run", "i", "j").sortWithinPartitions("run", "i", "j")
-        pairs = dealt.mapInArrow(_list_pairs, "a bigint, b bigint").distinct()
-        x, y = (rows.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("e").alias(f"e_{k}")) for k in "ab")
-        joined = pairs.join(x, "a").join(y, "b").select("a", "b", "n_a", "n_b", "e_a", "e_b")
+        star, placed = banded(rows)
+        links.append(star)
         with arrow_rows(spark, SET_ROWS):
-            links.append(written(joined.mapInArrow(_verified, "a bigint, b bigint"), "family-links"))
-        if last:
+            counted = rows.select("family", "e").mapInArrow(_counted(n_buckets, place, blobs), row_schema)
+            frequent = spark.sparkContext.broadcast(frequent_of(counted))
+            asked = placed.select("family", "node", "component", "s", "e", "band", "bands")
+            keys = asked.mapInArrow(_prefixes(n_buckets, frequent, place), "bucket int, blob binary")
+            lists = keys.groupBy("bucket").applyInArrow(_lists, _LIST).distinct()
+            lists = written(lists.select(F.xxhash64("a", "b").alias("run"), "a", "b"), "lists")
+        named = rows.select("node", "component", "s", "e")
+        long = F.octet_length("a") + F.octet_length("b") > 8 * SMALL
+        nested = None
+        if level < LEVELS - 1:
+            members = lists.where(long).mapInArrow(_members, "run bigint, node bigint").join(named.select("node", "component"), "node")
+            several = members.groupBy("run").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(F.col("lo") < F.col("hi")).select("run")
+            members = written(members.join(several, "run").select("run", "node"), "long-lists")
+            if not members.isEmpty():
+                nested = written(families(members), "families")
+                if nested.count() > SMALLER * rows.count():
+                    nested = None
+        links.append(compared(lists if nested is None else lists.where(~long), named))
+        if nested is None:
             break
-        long = lists.where(F.octet_length("blob") > 8 * SMALL).mapInArrow(_dealt_once, "run bigint, node bigint").join(named, "node")
-        several = long.groupBy("run").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(F.col("lo") < F.col("hi")).select("run")
-        long = written(long.join(several, "run").select("run", "node"), "long-lists")
-        if long.isEmpty():
-            break
-        rows = rows.drop("family", "s").join(families(long), "node").select("family", "node", "component", "n", "e")
+        rows = rows.select("node", "component", "n", "e").join(nested, "node").select("family", "node", "component", "n", "e")
     return links
-
-
-def _dealt_once(batches):
-    """Lists as rows (run, node)."""
-    for batch in batches:
-        for run_id, blob in zip(batch.column(0), batch.column(1), strict=True):
-            m = np.frombuffer(blob.as_py(), np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(run_id.as_py(), len(m))), pa.array(m)], names=["run", "node"])

@@ -475,7 +475,7 @@ def _jaccard_components(docs: DataFrame) -> DataFrame:
         placed = written(families(large).join(large.select("node", "component").distinct(), "node"), "families")
         whole = _whole_sets(placed.select(F.col("node").alias("doc_id")), docs)
         rows = placed.join(whole, "node").select("family", "node", "component", F.floor(F.octet_length("shingles") / 8).alias("n"), F.col("shingles").alias("e"))
-        for links in family_links(rows, n_buckets, _place, _blobs, (_ROW, _runs), most_frequent):
+        for links in family_links(rows, n_buckets, _place, _blobs, _ROW, most_frequent):
             if not links.isEmpty():
                 found = joined_components(found, links)
     found = found.withColumnRenamed("component", "reached")
