@@ -35,3 +35,26 @@ def test_similar_pages_of_a_short_archive_are_smaller():
 
 def test_no_records():
     assert list(W.read_archive(W.archive([]))) == []
+
+
+def test_archives_in_a_store_that_only_spark_reads(spark, tmp_path):
+    """A Hadoop-only scheme: written and read by Spark, each file a valid stream."""
+    (tmp_path / "store").mkdir()
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.warcs.link./w", f"file://{tmp_path}/store")
+    pages = [(k, f"http://h/{k}", f"<p>page {k} " + "of the archive \u00e9\x00 " * 20) for k in range(120)]
+    pages += [(k, None, f"<p>{k} " + "long " * 200_000) for k in range(200, 240)]  # several archives
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(3)
+    archives = W.write_archives(df, "viewfs://warcs/w/a")
+    got = {r.page_id: r.payload for r in W.read_named(archives, "viewfs://warcs/w/a").collect()}
+    assert got == {k: html.encode() for k, _, html in pages}
+    files = [f.read_bytes() for f in (tmp_path / "store" / "a").glob("part-*") if f.stat().st_size]
+    assert len(files) == archives.count() > 2
+    assert all(f[:4] == b"\x5d\x2a\x4d\x18" and f.endswith(W.END_FRAME.encode()) for f in files)
+    assert sum(len(list(W.read_archive(f))) for f in files) == 160
+
+
+def test_no_pages_give_no_archives(spark, tmp_path):
+    none = spark.createDataFrame([], "page_id bigint, url string, html string")
+    archives = W.write_archives(none, f"file://{tmp_path}/a")
+    assert archives.count() == 0 and W.read_named(archives, f"file://{tmp_path}/a").count() == 0

@@ -7,11 +7,14 @@ are stored once: the page of smallest id is a response record, the others are
 revisit records that refer to it.
 
 Writers stream: a task holds at most one archive (``ARCHIVE_BYTES`` of
-records). Files are written under a temporary name and moved, through the file
-system that the path names; a partition's records have one order, so a task
-that runs again replaces its own file by the same bytes. The names of the
-archives are a table of their own, committed with the job. Readers open the
-files it names and no others, so whatever a lost attempt left is never read.
+records). Spark itself writes the archives, a file each, to whatever store it
+knows, and its commit protocol shows those of finished tasks only. Its text
+writer serves for that: it writes a string's bytes as they are, and ends each
+file with a separator, for which an empty skippable frame is given, so that the
+file stays a valid Zstandard stream. A task that runs again makes the same
+archives from the same rows in the same order. The committed files are listed in
+a table; readers that are given it open no others, so whatever else lies in the
+folder is never read.
 
 Duplicates are found with digests alone (a combined minimum per digest); only
 pages that have a copy take part in the join that tells them so.
@@ -26,19 +29,20 @@ from __future__ import annotations
 
 import hashlib
 import io
+import re
 import struct
-import uuid
 from urllib.parse import quote
 
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import delete_at_end, fresh_path, table, written
 
 MAGIC = 0x184D2A5D
+#: An empty skippable frame (magic 0x184D2A50, size 0): follows every archive.
+END_FRAME = "P*M\x18\0\0\0\0"
 LEAST_PAYLOAD = 100
 ARCHIVE_BYTES = 16_000_000
 DICTIONARY_BYTES = 64 * 1024
@@ -123,55 +127,19 @@ def read_archive(data: bytes):
         yield headers, block
 
 
-def _put(folder: str, name: str, data: bytes) -> None:
-    from pyarrow import fs
-
-    system, path = fs.FileSystem.from_uri(folder)
-    system.create_dir(path, recursive=True)
-    draft = f"{path}/.{name}.{uuid.uuid4().hex}.draft"
-    with system.open_output_stream(draft) as out:
-        out.write(data)
-    system.move(draft, f"{path}/{name}")
-
-
-def _writer(folder: str):
-    def run(batches):
-        # A partition's number is the same when a lost task runs again.
-        part, number, records, size = TaskContext.get().partitionId(), 0, [], 0
-
-        def close():
-            name = f"part-{part:06d}-{number:05d}.warc.zst"
-            data = archive(records)
-            _put(folder, name, data)
-            return pa.RecordBatch.from_pydict({"name": [name], "records": [len(records)], "bytes": [len(data)]})
-
-        for batch in batches:
-            for page_id, url, html, digest, refers_to in zip(*(batch.column(k) for k in range(5)), strict=True):
-                payload = (html.as_py() or "").encode("utf-8", "surrogatepass")
-                records.append(record(page_id.as_py(), url.as_py(), payload, digest.as_py(), refers_to.as_py()))
-                size += len(records[-1])
-                if size >= ARCHIVE_BYTES:
-                    yield close()
-                    number, records, size = number + 1, [], 0
-        if records:
-            yield close()
-
-    return run
-
-
-def _read_all(folder: str):
-    """From the names of archives to their records."""
-
-    def run(batches):
-        from pyarrow import fs
-
-        system, path = fs.FileSystem.from_uri(folder)
-        for batch in batches:
-            for name in batch.column(0).to_pylist():
-                with system.open_input_stream(f"{path}/{name}", compression=None) as f:
-                    yield from _records(f.read())
-
-    return run
+def _archives(batches):
+    """The records of a partition as archives."""
+    kept, size = [], 0
+    for batch in batches:
+        for page_id, url, html, digest, refers_to in zip(*(batch.column(k) for k in range(5)), strict=True):
+            payload = (html.as_py() or "").encode("utf-8", "surrogatepass")
+            kept.append(record(page_id.as_py(), url.as_py(), payload, digest.as_py(), refers_to.as_py()))
+            size += len(kept[-1])
+            if size >= ARCHIVE_BYTES:
+                yield pa.RecordBatch.from_pydict({"archive": pa.array([archive(kept)], pa.binary())})
+                kept, size = [], 0
+    if kept:
+        yield pa.RecordBatch.from_pydict({"archive": pa.array([archive(kept)], pa.binary())})
 
 
 def _records(data: bytes):
@@ -221,36 +189,44 @@ def with_copies(pages: DataFrame) -> DataFrame:
     return out.join(repeated, ["page_id", "digest"], "left_anti").select(*out.columns).unionByName(again.select(*out.columns))
 
 
+def _files(spark: SparkSession, folder: str, names: str = "*.{txt,warc.zst}") -> DataFrame:
+    """(name, bytes, content) of the archives in a folder, whoever wrote them."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", names).load(folder)
+    return files.select(F.substring_index("path", "/", -1).alias("name"), F.col("length").alias("bytes"), "content")
+
+
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
-    """Writes all pages; returns (name, records, bytes) of the archives."""
+    """Writes all pages to a new folder; returns (name, bytes) of the archives."""
     rows = with_copies(pages).sortWithinPartitions("page_id", "digest", "url", "refers_to")
-    return written(rows.mapInArrow(_writer(folder), "name string, records bigint, bytes bigint"), "archives")
+    made = rows.mapInArrow(_archives, "archive binary").select(F.col("archive").cast("string").alias("archive"))
+    made.write.option("lineSep", END_FRAME).option("maxRecordsPerFile", 1).text(folder)
+    return written(_files(pages.sparkSession, folder).where(F.col("bytes") > 0).select("name", "bytes"), "archives")
 
 
-def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """The records of all archives in a folder, whoever wrote them."""
-    files = spark.read.format("binaryFile").load(f"{folder}/*.warc.zst").select("content")
+def _read(batches):
+    for batch in batches:
+        for data in batch.column(0):
+            yield from _records(data.as_py())
 
-    def run(batches):
-        for batch in batches:
-            for data in batch.column(0):
-                yield from _records(data.as_py())
 
-    return files.mapInArrow(run, _RECORD)
+def read_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """The records of all archives in a folder, whoever wrote them."""
+    return _files(spark, folder).select("content").mapInArrow(_read, _RECORD)
 
 
 def read_named(archives: DataFrame, folder: str) -> DataFrame:
-    """The records of the archives in a folder that ``archives`` names."""
-    parts = max(1, min(archives.count(), int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    return archives.select("name").repartition(parts, "name").mapInArrow(_read_all(folder), _RECORD)
+    """The records of the archives that one job wrote to a folder, by its
+    ``archives``: the names of one job's files share an identifier."""
+    one = archives.select("name").first()
+    job = re.fullmatch(r"part-\d+-(.+)-c\d+\.txt", one[0])[1] if one else "none"
+    return _files(archives.sparkSession, folder, f"part-*-{job}-c*.txt").select("content").mapInArrow(_read, _RECORD)
 
 
 def op7_warc(spark, sf_dir: str) -> DataFrame:
     """Writes the pages as archives, reads these back: a row per record."""
     folder = fresh_path(spark, "warc")
     archives = write_archives(table(spark, sf_dir, "pages"), folder)
-    if not archives.isEmpty():
-        delete_at_end(spark, folder)
+    delete_at_end(spark, folder)
     return read_named(archives, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
