@@ -76,6 +76,22 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select(*own.columns).toDF(*docs.columns)
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_n``, their number from 1 among those of one (_id, _h, _s):
+    counted per partition of the scan first, so that however many rows are equal
+    (as those without an id), no task holds them all."""
+    key = ["_id", "_h", "_s", "_part"]
+    rows = rows.withColumn("_part", F.shiftright("_row", 33))  # the partition that numbered the row
+    counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_held"))
+    earlier = Window.partitionBy(*key[:3]).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*[F.col(k).alias(f"{k}2") for k in key], F.coalesce(F.sum("_held").over(earlier), F.lit(0)).alias("_start"))
+    same = F.lit(True)
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}2"))
+    inside = F.row_number().over(Window.partitionBy(*key).orderBy("_row"))
+    return rows.withColumn("_n", inside).join(written(starts, "mix-starts"), same).withColumn("_n", F.col("_start") + F.col("_n"))
+
+
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it. Equal rows (of doc_id, text
     and source) share what the mix takes of them: as many copies in all."""
@@ -84,12 +100,12 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     plan = mixing.mix(docs).groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h"), F.col("source").alias("_s"))
     plan = written(plan.agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")).where(F.col("_copies") > 0), "mix-copies")
     here = F.col(doc_id).eqNullSafe(F.col("_id")) & (text_hash(text) == F.col("_h")) & F.col(source).eqNullSafe(F.col("_s"))
-    joined = own.join(plan, here)
+    joined = own.withColumn("_row", F.monotonically_increasing_id()).join(plan, here)
     if not plan.where(F.col("_rows") > 1).isEmpty():
-        order = F.row_number().over(Window.partitionBy("_id", "_h", "_s").orderBy("_id"))
-        joined = joined.where(F.col("_rows") == 1).withColumn("_n", F.lit(1)).unionByName(joined.where(F.col("_rows") > 1).withColumn("_n", order))
+        many = _numbered(joined.where(F.col("_rows") > 1))
         each = F.floor(F.col("_copies") / F.col("_rows")) + (F.col("_n") <= F.col("_copies") % F.col("_rows")).cast("int")
-        joined = joined.withColumn("_copies", each.cast("bigint")).where(F.col("_copies") > 0)
+        many = many.withColumn("_copies", each.cast("bigint")).where(F.col("_copies") > 0)
+        joined = joined.where(F.col("_rows") == 1).unionByName(many.select(*joined.columns))
     copies = F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))
     return joined.withColumn("_copy", F.explode(copies)).select(*own.columns).toDF(*docs.columns)
 
