@@ -34,3 +34,15 @@ def test_clashing_names_pass_all_stages(spark):
         rows = out.collect()
         assert rows and all(tuple(r[5:]) == tuple(range(len(ODD))) for r in rows), name
     assert corpus_pipeline.pack_stage(spark, df, "").count() >= 14
+
+
+def test_rows_without_an_id_are_numbered_by_parts(spark):
+    """Equal rows lie in many partitions; each part is numbered alone and the numbers still run from 1 to their count."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(4_000, numPartitions=8).select(F.lit(None).cast("bigint").alias("_id"), F.lit(5).cast("bigint").alias("_h"), F.when(F.col("id") % 4 == 0, F.lit("a")).alias("_s"))
+    rows = rows.withColumn("_row", F.monotonically_increasing_id())
+    got = corpus_pipeline._numbered(rows)
+    assert got.select("_part").distinct().count() == 8
+    for s, n in (("a", 1_000), (None, 3_000)):
+        assert sorted(r._n for r in got.where(F.col("_s").eqNullSafe(F.lit(s))).collect()) == list(range(1, n + 1))

@@ -93,6 +93,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def by_ranges(df: DataFrame, rows: int, most: int, *columns: str) -> DataFrame:
+    """``df`` range-partitioned by ``columns``: into the session's number of
+    partitions, or more where its ``rows`` would fill them beyond ``most``."""
+    wanted = -(-rows // most)
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(wanted, *columns) if wanted > usual else df.repartitionByRange(*columns)
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int):
     """Queries run inside use Arrow batches of at most ``rows`` rows."""

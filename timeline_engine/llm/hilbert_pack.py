@@ -42,9 +42,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, mix64, table, written
+from .common import arrow_rows, by_ranges, mix64, table, written
 
 LENGTH = 2048
+#: Tokens of a range of the curve, about, at most.
+RANGE_TOKENS = 100_000_000
 END = 1
 DIMS, BITS = 4, 10
 HASHED = 4096
@@ -321,7 +323,8 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, length: int = LENGT
 
         tokenizer_path = public_tokenizers.path("word_bpe_49k.json")
     rows = tokenised(docs, tokenizer_path)
-    along = rows.repartitionByRange("hilbert", "salt").sortWithinPartitions("hilbert", "salt", "doc_id", "doc_tokens")
+    n_tokens = rows.agg(F.coalesce(F.sum("doc_tokens"), F.lit(0))).first()[0]
+    along = by_ranges(rows, n_tokens, RANGE_TOKENS, "hilbert", "salt").sortWithinPartitions("hilbert", "salt", "doc_id", "doc_tokens")
     return along.select("doc_id", "ids").mapInArrow(_pack(length, id_type(tokenizer_path)), _PIECES)
 
 

@@ -26,11 +26,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, WS_CHARS, own, table, written
+from .common import LOWER, UPPER, WS_CHARS, by_ranges, own, table, written
 
 BUCKETS = 65_536
 #: A bucket is salted from this many times the mean, and this many lines, on.
 HOT_FACTOR, HOT_LEAST = 4, 1_000
+#: Lines of a range of hashes, about, at most.
+RANGE_LINES = 4_000_000
 
 
 def _lines(text: Column) -> Column:
@@ -64,13 +66,14 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     lines = written(lines, "line-hashes")
     bucket = F.col("h1").bitwiseAND(F.lit(BUCKETS - 1))
     sizes = lines.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-    hot = sizes.where(F.col("n") > max(HOT_LEAST, HOT_FACTOR * lines.count() / BUCKETS)).select("bucket", F.ceil(F.sqrt("n")).cast("long").alias("salts"))
+    n_lines = lines.count()
+    hot = sizes.where(F.col("n") > max(HOT_LEAST, HOT_FACTOR * n_lines / BUCKETS)).select("bucket", F.ceil(F.sqrt("n")).cast("long").alias("salts"))
     # At most BUCKETS rows of one number, whatever the input: safe to broadcast.
     salted = lines.withColumn("bucket", bucket).join(F.broadcast(hot), "bucket", "left")
     salt = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("salts")), F.lit(-1)).cast("long")
     salted = salted.select("h1", "h2", salt.alias("salt"), "doc_id", "text_hash", "pos")
 
-    ranged = salted.repartitionByRange("h1", "h2", "salt")
+    ranged = by_ranges(salted, n_lines, RANGE_LINES, "h1", "h2", "salt")
     stream = Window.partitionBy("h1", "h2", "salt").orderBy("doc_id", "pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     first = ranged.withColumn("first_doc", F.first("doc_id").over(stream))
     repeat = ~F.col("doc_id").eqNullSafe(F.col("first_doc"))
