@@ -74,3 +74,34 @@ def test_cluster_names_equal_a_plain_rule(spark):
         want[icon] = (" / ".join(sorted(held)), top[icon], len(guns[top[icon]]), sum(map(len, guns.values())))
     got = {r.icon: (r.label, r.winner, r.led, r.pairings) for r in N.cluster_names(df, "icon", "gun", "d", ["n"]).collect()}
     assert got == want and Counter(v[0] for v in got.values())
+
+
+def test_panel_runs_equal_a_plain_walk(spark):
+    from timeline_engine.operators import panels as P
+
+    rng = random.Random(9)
+    rows = [(key, float(t), rng.random() < 0.8, rng.choice([True, True, True, False, None]), rng.choice([None, 1, 2]), rng.choice(["x", "y", None])) for key in "ab" for t in range(150)]
+    df = spark.createDataFrame(rows, "key string, t double, live boolean, drawn boolean, hp int, name string").repartition(3)
+    runs, counts = P.panel_runs(df, ["key"], ["t"], "t", ["hp", "name"], "live", "drawn")
+    want, n = [], Counter()
+    for key in "ab":
+        open_ = {}
+        for k, t, live, drawn, hp, name in rows:
+            if k != key:
+                continue
+            n[key, "live"] += live
+            if not live or not drawn:
+                want += open_.values()
+                open_ = {}
+                continue
+            n[key, "drawn"] += 1
+            for f, v in (("hp", None if hp is None else str(hp)), ("name", name)):
+                n[key, f"unread {f}"] += v is None
+                if f in open_ and open_[f][2] == v:
+                    open_[f] = (*open_[f][:4], t, open_[f][5] + 1)
+                else:
+                    want += [open_[f]] if f in open_ else []
+                    open_[f] = (key, f, v, t, t, 1)
+        want += open_.values()
+    assert sorted(map(tuple, runs.collect()), key=str) == sorted(want, key=str)
+    assert {(r.key, r.what): r.n for r in counts.collect()} == dict(n)

@@ -77,6 +77,29 @@ def nearest_two(bitmaps: DataFrame, templates: DataFrame, most: int) -> DataFram
     )
 
 
+def held_out(spark, sf_dir):
+    """Per label: bitmaps, how many are nearest to their own label, the worst
+    distance to it and the worst margin, each bitmap judged by templates without
+    its own vote.
+
+    Votes are pooled once: ones by label and position, a table of labels. A
+    bitmap takes its own bits off its label's counts, so no template is built
+    anew for it; all of it is one expression a row."""
+    b = _bitmaps(spark, sf_dir)
+    ones = _bit_rows(spark, sf_dir).groupBy("label", "position").agg(F.sum("bit").alias("ones"), F.count(F.lit(1)).alias("n"))
+    pooled = ones.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("position", "ones"))), lambda x: x["ones"]).alias("ones"), F.max("n").alias("n"))
+    places = F.sequence(F.lit(0), F.lit(63))
+    bit = lambda i: F.getbit("bits", i)
+    voted = F.transform(places, lambda i: F.when(2 * (F.element_at("ones", i + 1) - bit(i)) > F.col("n") - 1, F.call_function("shiftleft", F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint")))
+    own = F.aggregate(voted, F.lit(0).cast("bigint"), lambda x, y: x.bitwiseOR(y))
+    held = b.join(pooled, "label").withColumn("own", own)
+    two = nearest_two(b, _templates(spark, sf_dir), MOST_TEMPLATES)
+    other = F.when(F.col("nearest") == F.col("label"), F.col("distance") + F.col("margin")).otherwise(F.col("distance"))
+    near = bit_distance(F.col("bits"), F.col("own")).cast("int")
+    judged = held.select("vec_id", near.alias("own")).join(two.select("vec_id", "label", other.alias("other")), "vec_id").select("label", F.col("own").alias("distance"), (F.col("other") - F.col("own")).alias("margin"))
+    return judged.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("margin") > 0).alias("right"), F.max("distance").alias("worst_distance"), F.min("margin").alias("worst_margin"))
+
+
 def confusion_topk(spark, sf_dir):
     """The eight most frequent wrong classifications."""
     return A.confusion(nearest_template(spark, sf_dir), "label", "nearest")
@@ -118,7 +141,7 @@ def bitmap_groups(spark, sf_dir):
     return out.select("first", "n")
 
 
-QUERIES = {f.__name__: f for f in (majority_bits, nearest_template, confusion_topk, normalised_distance, medoid_neighbours, modal_successor, bitmap_groups)}
+QUERIES = {f.__name__: f for f in (majority_bits, nearest_template, held_out, confusion_topk, normalised_distance, medoid_neighbours, modal_successor, bitmap_groups)}
 
 _BITS = """v AS (SELECT vec_id, label, list_sum(list_transform(range(64), lambda i: CASE WHEN embedding[i + 1] > 0 THEN (1::HUGEINT << i) ELSE 0::HUGEINT END))::HUGEINT AS bits FROM embeddings)"""
 _TEMPLATES = (
@@ -133,6 +156,11 @@ ORACLE_SQL = {
     "majority_bits": """WITH p AS (SELECT label, unnest(range(64))::INT AS position, unnest(embedding) AS x FROM embeddings)
 SELECT label, position, (2 * sum((x > 0)::INT) > count(*))::INT AS bit FROM p GROUP BY label, position""",
     "nearest_template": f"WITH {_TEMPLATES} SELECT * FROM z",
+    "held_out": f"""WITH {_TEMPLATES}, c AS (SELECT label, i, sum((x > 0)::INT) AS ones, count(*) AS n FROM p GROUP BY 1, 2
+), q AS (SELECT vec_id, label, unnest(range(64)) AS i, unnest(embedding) AS x FROM embeddings
+), o AS (SELECT q.vec_id, q.label, sum(CASE WHEN (2 * (c.ones - (q.x > 0)::INT) > c.n - 1) <> (q.x > 0) THEN 1 ELSE 0 END) AS distance FROM q JOIN c USING (label, i) GROUP BY 1, 2
+), r AS (SELECT vec_id, min(distance) AS distance FROM d WHERE cand <> label GROUP BY 1)
+SELECT o.label, count(*)::BIGINT AS n, count_if(r.distance > o.distance)::BIGINT AS "right", max(o.distance)::INT AS worst_distance, min(r.distance - o.distance)::INT AS worst_margin FROM o LEFT JOIN r USING (vec_id) GROUP BY 1""",
     "confusion_topk": f"WITH {_TEMPLATES} SELECT label, nearest, count(*)::BIGINT AS n FROM z WHERE label <> nearest GROUP BY label, nearest ORDER BY n DESC, label, nearest LIMIT 8",
     "normalised_distance": f"""WITH {_BITS}, h AS (SELECT label, arg_min(bits, vec_id) AS head FROM v GROUP BY label)
 SELECT vec_id, label, CASE WHEN bit_count(bits | head) = 0 THEN 1.0 ELSE bit_count(xor(bits, head))::DOUBLE / bit_count(bits | head) END AS distance FROM v JOIN h USING (label)""",

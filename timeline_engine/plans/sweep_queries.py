@@ -1,4 +1,4 @@
-"""Queries over parameter grids, named clusters, and busy keys."""
+"""Queries over parameter grids, named clusters, panels, and busy keys."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import naming as N
+from ..operators import panels as P
 from ..operators import runs as R
 from ..operators import sweeps as W
 from ..operators import temporal_joins as J
@@ -52,12 +53,40 @@ def asof_one_key(spark, sf_dir):
     return J.asof(errors, bought, [], "t", "bought_t", ["bought_t", "bought_id"], strict=True, tie=["bought_id"], parts=PARTS)
 
 
-QUERIES = {f.__name__: f for f in (chain_sweep, icon_names, rle_one_key, asof_one_key)}
+def _panel(spark, sf_dir):
+    e = events(spark, sf_dir).withColumns({"live": F.col("k") % 7 != 0, "drawn": F.col("event_type") != "error", "level": F.when(F.col("k") % 5 > 0, F.col("k") % 3), "kind": F.nullif("event_type", F.lit("signup"))})
+    return P.panel_runs(e, KEY, ["t", "event_id"], "t", ["level", "kind"], "live", "drawn")
+
+
+def panel_runs(spark, sf_dir):
+    """Runs of two fields of a user's panel, parted where it isn't live or drawn."""
+    return _panel(spark, sf_dir)[0]
+
+
+def panel_counts(spark, sf_dir):
+    """Samples of a user's panel that are live, drawn, and unread by field."""
+    return _panel(spark, sf_dir)[1]
+
+
+QUERIES = {f.__name__: f for f in (chain_sweep, icon_names, rle_one_key, asof_one_key, panel_runs, panel_counts)}
 
 _APART = "CASE WHEN f.features = 'widths' THEN abs(c.w - q.w) <= f.slack ELSE abs(c.x0 - q.x0) <= f.slack AND abs(c.x1 - q.x1) <= f.slack END"
 _FITS = f"q.t - c.t <= f.max_gap AND c.t < q.t AND c.slot >= q.slot AND {_APART}"
 
+_PANEL = EVENTS + """, p AS (
+  SELECT user_id, t, event_id, coalesce(k % 7 <> 0, false) AS live, coalesce(event_type <> 'error', false) AS drawn, CASE WHEN k % 5 > 0 THEN k % 3 END AS level, nullif(event_type, 'signup') AS kind FROM e
+)"""
+
 ORACLE_SQL = {
+    "panel_runs": f"""WITH {_PANEL}, u AS (
+  SELECT user_id, t, event_id, live AND drawn AS fit, f.field, CASE f.field WHEN 'level' THEN level::VARCHAR ELSE kind END AS value FROM p, (VALUES ('level'), ('kind')) f(field)
+), b AS (
+  SELECT *, CASE WHEN lag(fit) OVER w IS DISTINCT FROM true OR value IS DISTINCT FROM lag(value) OVER w THEN 1 ELSE 0 END AS brk FROM u WINDOW w AS (PARTITION BY user_id, field ORDER BY t, event_id)
+), n AS (SELECT *, sum(brk) OVER (PARTITION BY user_id, field ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS run FROM b)
+SELECT user_id, field, any_value(value) AS value, min(t) AS start_t, max(t) AS end_t, count(*)::BIGINT AS samples FROM n WHERE fit GROUP BY user_id, field, run""",
+    "panel_counts": f"""WITH {_PANEL}, c AS (
+  SELECT user_id, count_if(live) AS a, count_if(live AND drawn) AS b, count_if(live AND drawn AND level IS NULL) AS c, count_if(live AND drawn AND kind IS NULL) AS d FROM p GROUP BY user_id
+) SELECT user_id, x.what AS what, x.n::BIGINT AS n FROM (SELECT user_id, unnest([{{'what': 'live', 'n': a}}, {{'what': 'drawn', 'n': b}}, {{'what': 'unread level', 'n': c}}, {{'what': 'unread kind', 'n': d}}]) AS x FROM c)""",
     "chain_sweep": f"""WITH RECURSIVE {EVENTS}, q AS (
   SELECT user_id, t, event_id % 5 AS slot, k % 10 AS w, k % 7 AS x0, floor(value)::BIGINT AS x1, row_number() OVER (PARTITION BY user_id ORDER BY t, event_id % 5, event_id) AS i FROM e
 ), st AS (SELECT * FROM (VALUES ('widths'), ('anchors')) a(features), (VALUES (86400.0::DOUBLE), (172800.0::DOUBLE)) b(max_gap), (VALUES (1.0::DOUBLE), (3.0::DOUBLE)) c(slack)
