@@ -56,6 +56,8 @@ def test_families_equal_brute_force(spark, monkeypatch, seed, small, levels):
     monkeypatch.setattr(parity_join, "SMALL", small)
     monkeypatch.setattr(families, "SMALL", small)
     monkeypatch.setattr(families, "LEVELS", levels)
+    monkeypatch.setattr(families, "PAIRS", 1_000 if small == 32 else 0)  # without room for pairs, all levels are used
+    monkeypatch.setattr(families, "SMALLER", 1.0)
     rng = random.Random(seed)
     rows = template_texts(rng, 90) + [(200 + k, " ".join(f"z{k}y{j}" for j in range(40))) for k in range(5)]
     assert joined(spark, rows) == brute(rows)

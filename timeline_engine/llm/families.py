@@ -22,9 +22,10 @@ remainders share at least (s_x + s_y) / 14 shingles:
 Members that share such a shingle for one pair of bands form a list. Members of
 one list are compared inside tasks, in blocks of ``BLOCK`` by a product of
 matrices, and only links that join components are emitted, at most one a member
-and block. Long lists (texts of a template within the template) first become
-families of the next level, with templates of their own, while that makes the
-families smaller. Every link between different components is found or implied.
+and block. Where that would be more than ``PAIRS`` pairs a member, long lists
+(texts of a template within the template) first become families of the next
+level, with templates of their own, while that makes the families smaller. Every
+link between different components is found or implied.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ from .components import components, stars
 #: Runs and lists of at most so many members are compared as they are.
 SMALL = 32
 LEVELS = 3
+#: Pairs a member that are compared without a further level.
+PAIRS = 1_000
 #: The next level must have at most this share of the members.
 SMALLER = 0.75
 #: Members from which a template is made.
@@ -312,15 +315,14 @@ def compared(lists: DataFrame, rows: DataFrame) -> DataFrame:
         return written(dealt.mapInArrow(_compared, "a bigint, b bigint").distinct(), "family-links")
 
 
-def family_links(rows: DataFrame, n_buckets: int, place, blobs, row_schema: str, frequent_of) -> list[DataFrame]:
+def family_links(rows: DataFrame, n_buckets: int, place, blobs, row_schema: str, frequent_of) -> DataFrame:
     """Links (a, b) between different components of ``rows`` (family, node,
-    component, n, e), enough for the classes: each written. ``place``, ``blobs``,
+    component, n, e), enough for the classes. ``place``, ``blobs``,
     ``row_schema`` and ``frequent_of`` are the key tools of the calling join."""
-    spark, links = rows.sparkSession, []
+    spark, links = rows.sparkSession, None
     for level in range(LEVELS):
         rows = remainders(rows)
         star, placed = banded(rows)
-        links.append(star)
         with arrow_rows(spark, SET_ROWS):
             counted = rows.select("family", "e").mapInArrow(_counted(n_buckets, place, blobs), row_schema)
             frequent = spark.sparkContext.broadcast(frequent_of(counted))
@@ -329,17 +331,17 @@ def family_links(rows: DataFrame, n_buckets: int, place, blobs, row_schema: str,
             lists = keys.groupBy("bucket").applyInArrow(_lists, _LIST).distinct()
             lists = written(lists.select(F.xxhash64("a", "b").alias("run"), "a", "b"), "lists")
         named = rows.select("node", "component", "s", "e")
-        long = F.octet_length("a") + F.octet_length("b") > 8 * SMALL
-        nested = None
-        if level < LEVELS - 1:
+        a, b = (F.octet_length(c).cast("double") / 8 for c in "ab")
+        long, nested = a + b > SMALL, None
+        pairs = lists.where(long).agg(F.coalesce(F.sum(F.when(b > 0, a * b).otherwise(a * a / 2)), F.lit(0.0))).first()[0]
+        if level < LEVELS - 1 and pairs > PAIRS * rows.count():
             members = lists.where(long).mapInArrow(_members, "run bigint, node bigint").join(named.select("node", "component"), "node")
             several = members.groupBy("run").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(F.col("lo") < F.col("hi")).select("run")
-            members = written(members.join(several, "run").select("run", "node"), "long-lists")
-            if not members.isEmpty():
-                nested = written(families(members), "families")
-                if nested.count() > SMALLER * rows.count():
-                    nested = None
-        links.append(compared(lists if nested is None else lists.where(~long), named))
+            nested = written(families(members.join(several, "run").select("run", "node")), "families")
+            if nested.isEmpty() or nested.count() > SMALLER * rows.count():
+                nested = None
+        found = star.union(compared(lists if nested is None else lists.where(~long), named))
+        links = found if links is None else links.union(found)
         if nested is None:
             break
         rows = rows.select("node", "component", "n", "e").join(nested, "node").select("family", "node", "component", "n", "e")

@@ -443,19 +443,20 @@ def _jaccard_components(docs: DataFrame) -> DataFrame:
     found = components(_linked(first, docs))
 
     # The texts of a repeated doc_id are one node.
-    repeated = real.groupBy("doc_id").agg(F.count_distinct(*keys).alias("_sets")).where(F.col("_sets") > 1).select("doc_id")
-    one = real.join(repeated, "doc_id").select("doc_id", *keys).distinct().join(classes, keys).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    one = written(one, "repeated-ids")
-    if not one.isEmpty():
-        found = joined_components(found, one)
+    one_set = F.struct(*keys)
+    repeated = real.groupBy("doc_id").agg(F.min(one_set).alias("_lo"), F.max(one_set).alias("_hi")).where(F.col("_lo") != F.col("_hi"))
+    repeated = written(repeated.select("doc_id"), "repeated-ids")
+    if not repeated.isEmpty():
+        one = real.join(repeated, "doc_id").select("doc_id", *keys).distinct().join(classes, keys)
+        found = joined_components(found, one.select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
 
     # Small runs that hold several components: first the likeliest pair of each
-    # two components, then whatever is still open.
+    # two components, then whatever is still open. Both passes find few links.
     of_runs = lambda some: some.mapInArrow(_members(False), "run bigint, f1 bigint").join(classes, "f1")
     small = runs.where((F.octet_length("blob") > 16) & (F.octet_length("blob") <= 8 * SMALL))
     members = written(of_runs(small).select("run", "node", "n", "sketch"), "members")
     tried = first
-    for best_only in (True, True, False):
+    for best_only in (True, False):
         rows = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         rows = rows.select("run", "node", "component", "n", "sketch").repartition("run").sortWithinPartitions("run")
         later = rows.mapInArrow(_open_pairs(best_only), "a bigint, b bigint").distinct().join(tried, ["a", "b"], "left_anti")
@@ -475,9 +476,9 @@ def _jaccard_components(docs: DataFrame) -> DataFrame:
         placed = written(families(large).join(large.select("node", "component").distinct(), "node"), "families")
         whole = _whole_sets(placed.select(F.col("node").alias("doc_id")), docs)
         rows = placed.join(whole, "node").select("family", "node", "component", F.floor(F.octet_length("shingles") / 8).alias("n"), F.col("shingles").alias("e"))
-        for links in family_links(rows, n_buckets, _place, _blobs, _ROW, most_frequent):
-            if not links.isEmpty():
-                found = joined_components(found, links)
+        links = family_links(rows, n_buckets, _place, _blobs, _ROW, most_frequent)
+        if not links.isEmpty():
+            found = joined_components(found, links)
     found = found.withColumnRenamed("component", "reached")
     placed = classes.select(*keys, "node").join(found, "node", "left").select(*keys, F.coalesce("reached", "node").alias("reached"))
     placed = placed.select(*[F.col(k).alias(f"_{k}") for k in keys], "reached")
