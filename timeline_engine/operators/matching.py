@@ -99,10 +99,22 @@ def candidate_counts(falls: DataFrame, events: DataFrame, keys: Sequence[str], o
     return base.join(count, "offset", "left").select("offset", "falls", zero("falls_with_candidate"), zero("candidates"))
 
 
-def sweep(falls: DataFrame, events: DataFrame, keys: Sequence[str], offsets: Sequence[float], window: float) -> DataFrame:
-    """(offset, falls, matched) of the one-to-one matching at each offset."""
-    listed = F.explode(F.array(*[F.lit(float(x)) for x in offsets]))
-    a = falls.withColumn("offset", listed).select("offset", *keys, (F.col("t") + F.col("offset")).alias("t"))
-    b = events.withColumn("offset", listed).select("offset", *keys, "t")
-    out = match_events(a, b, ["offset", *keys], window)
-    return out.groupBy("offset").agg(F.count(F.lit(1)).alias("falls"), F.count("matched_t").alias("matched"))
+def sweep(falls: DataFrame, events: DataFrame, keys: Sequence[str], offsets: Sequence[float], window: float, parts: int | None = None) -> DataFrame:
+    """(offset, falls, matched) of the one-to-one matching at each offset.
+
+    Rows are shuffled once: pieces are cut where no offset lets a fall meet an
+    event, and the fold of a piece tries all offsets, a fixed list."""
+    tried = [float(x) for x in offsets]
+    reach = max(max(abs(x - window), abs(x + window)) for x in tried) * (1 + 1e-9) + 1e-9  # beyond rounding
+    both = falls.select(*keys, "t", F.lit(0).alias("_side")).unionByName(events.select(*keys, "t").distinct().withColumn("_side", F.lit(1)))
+    both = pieces(both, keys, ["t"], "t", reach, "_piece", parts)
+    n = len(keys)
+
+    def try_all(rows: list[tuple]) -> list[tuple]:
+        mine, theirs = ([r[n] for r in rows if r[n + 1] == side] for side in (0, 1))
+        if not mine:
+            return []
+        return [(x, len(mine), len(greedy_pairs(mine, theirs, window, x)) if theirs else 0) for x in tried]
+
+    found = fold_groups(both.select(*keys, "t", "_side", "_piece"), [*keys, "_piece"], ["t", "_side"], try_all, "offset double, falls bigint, matched bigint")
+    return found.groupBy("offset").agg(F.sum("falls").alias("falls"), F.sum("matched").alias("matched"))
