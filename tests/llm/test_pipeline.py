@@ -18,7 +18,7 @@ def values(rows, columns):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DIR}/{t}.parquet'")
     want = con.execute(queries.ORACLE_SQL[name])
     columns = sorted(d[0] for d in want.description)
