@@ -46,6 +46,8 @@ MOST_POSITIVE = 4000
 MOST_UNLABELLED = 12_000
 #: Features counted over the corpus: those that most toxic texts hold.
 MOST_COUNTED = 300_000
+#: Standard deviations beyond which a feature of the sample is not counted over the corpus.
+SURE = 6.0
 FOLDS = 5
 #: Hashes of rows are placed evenly among so many.
 PLACES = 1 << 40
@@ -264,14 +266,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[int, float], float, fl
     n_pos, n_unl = sampled.agg(F.count_if("toxic"), F.count_if(~F.col("toxic"))).first()
     if not n_pos or not n_unl:
         return {}, 0.0, -60.0
-    # A feature below LEAST_Z toxic texts can't be one; without any other, all count.
-    of_toxic = sampled.where("toxic").mapInArrow(_count_batches, "feature bigint, n_p bigint, n_u bigint").groupBy("feature").agg(F.sum("n_p").alias("n_p"))
-    of_toxic = written(of_toxic, "toxic-features")
-    often = of_toxic.where(F.col("n_p") > LEAST_Z)
+    of_toxic = sampled.mapInArrow(_count_batches, "feature bigint, n_p bigint, n_u bigint").groupBy("feature").agg(F.sum("n_p").alias("n_p"), F.sum("n_u").alias("n_u"))
+    of_toxic = written(of_toxic.where(F.col("n_p") > 0), "toxic-features")
+    # The corpus is asked about features that can still be chosen: held by more
+    # than LEAST_Z toxic texts, and in the sample not SURE deviations above the
+    # largest share of all texts that leaves them toxic. Without any, about all.
+    most = F.col("n_p") * F.lit(prior * n_unl / (LEAST_SHARE * n_pos))
+    often = of_toxic.where((F.col("n_p") > LEAST_Z) & (F.col("n_u") <= most + SURE * F.sqrt(most + 1)))
     often = (of_toxic if often.isEmpty() else often).orderBy(F.desc("n_p"), "feature").limit(MOST_COUNTED)
     counted = np.sort(often.select("feature").toArrow().column(0).to_numpy()).astype(np.uint32)
     whole = pick.select("text").mapInArrow(_corpus_batches(counted), "feature bigint, n_u bigint").groupBy("feature").agg(F.sum("n_u").alias("n_u"))
-    counts = of_toxic.join(whole, "feature").select("feature", "n_p", "n_u")
+    counts = of_toxic.select("feature", "n_p").join(whole, "feature")
     vocabulary = chosen_features(counts, n_pos, n_docs, prior)
     if not len(vocabulary):
         return train(vocabulary, [(0, b"")], [(0, b"")], prior)
