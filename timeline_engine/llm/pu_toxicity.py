@@ -270,10 +270,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[int, float], float, fl
     of_toxic = written(of_toxic.where(F.col("n_p") > 0), "toxic-features")
     # The corpus is asked about features that can still be chosen: held by more
     # than LEAST_Z toxic texts, and in the sample not SURE deviations above the
-    # largest share of all texts that leaves them toxic. Without any, about all.
+    # largest share of all texts that leaves them toxic. Without any, about those
+    # of enough toxic texts, or about all.
     most = F.col("n_p") * F.lit(prior * n_unl / (LEAST_SHARE * n_pos))
-    often = of_toxic.where((F.col("n_p") > LEAST_Z) & (F.col("n_u") <= most + SURE * F.sqrt(most + 1)))
-    often = (of_toxic if often.isEmpty() else often).orderBy(F.desc("n_p"), "feature").limit(MOST_COUNTED)
+    enough = of_toxic.where(F.col("n_p") > LEAST_Z)
+    asked = enough.where(F.col("n_u") <= most + SURE * F.sqrt(most + 1))
+    often = next((x for x in (asked, enough) if not x.isEmpty()), of_toxic)
+    often = often.orderBy(F.desc("n_p"), "feature").limit(MOST_COUNTED)
     counted = np.sort(often.select("feature").toArrow().column(0).to_numpy()).astype(np.uint32)
     whole = pick.select("text").mapInArrow(_corpus_batches(counted), "feature bigint, n_u bigint").groupBy("feature").agg(F.sum("n_u").alias("n_u"))
     counts = of_toxic.select("feature", "n_p").join(whole, "feature")
