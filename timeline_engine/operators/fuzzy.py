@@ -49,8 +49,17 @@ def similar_names(texts: DataFrame, names: DataFrame, least: float) -> DataFrame
 def fuzzy_votes(readings: DataFrame, names: DataFrame, keys: Sequence[str], identity: Sequence[str], least: float = 0.7) -> DataFrame:
     """(keys, name, score) for ``readings`` (keys, identity, text, confidence):
     a reading, one ``identity``, gives each similar name the best of ratio *
-    (0.5 + confidence) over its texts; a key adds up its readings."""
-    near = readings.join(similar_names(readings, names, least), "text")
-    worth = F.max(F.col("ratio") * (F.lit(0.5) + F.coalesce("confidence", F.lit(0.0)))).alias("_worth")
-    each = near.groupBy(*keys, *identity, "name").agg(worth)
-    return each.groupBy(*keys, "name").agg(F.sum("_worth").alias("score"))
+    (0.5 + confidence) over its texts; a key adds up its readings.
+
+    Readings of a key with the same texts and confidences vote alike: they are
+    counted before they meet the names. The join is sorted, not hashed: the size
+    of a packed table says little about its rows, so neither side is sent whole.
+    """
+    item = F.struct("text", F.coalesce("confidence", F.lit(0.0)).alias("confidence"))
+    each = readings.where(F.col("text").isNotNull()).groupBy(*keys, *identity).agg(F.array_sort(F.collect_set(item)).alias("_texts"))
+    alike = each.groupBy(*keys, "_texts").agg(F.count(F.lit(1)).alias("_n"))
+    asked = alike.withColumn("_item", F.explode("_texts")).withColumn("text", F.col("_item.text"))
+    near = asked.join(similar_names(readings, names, least).hint("merge"), "text")
+    worth = F.max(F.col("ratio") * (F.lit(0.5) + F.col("_item.confidence"))).alias("_worth")
+    best = near.groupBy(*keys, "_texts", "_n", "name").agg(worth)
+    return best.groupBy(*keys, "name").agg(F.sum(F.col("_n") * F.col("_worth")).alias("score"))
