@@ -53,11 +53,38 @@ def pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str], time: str,
 
 def run_lengths(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Sequence[str], time: str, max_gap: float | None = None, parts: int | None = None) -> DataFrame:
     """One row per run: keys, run, values, start_t, end_t (the last sample),
-    samples."""
+    samples.
+
+    Where rows are ordered by ``time`` first, all of it is read off the first
+    rows of runs and the last row of each key, along one sort. Otherwise runs
+    are numbered and grouped."""
+    if parts is None and order[0] == time:
+        return _read_off(df, keys, order, value, time, max_gap)
     numbered = islands(df, keys, order, value, max_gap, time, parts=parts)
     return numbered.groupBy(*keys, "run").agg(*[F.first(v).alias(v) for v in value], F.min(time).alias("start_t"), F.max(time).alias("end_t"), F.count(F.lit(1)).alias("samples"))
 
 
+def _read_off(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Sequence[str], time: str, max_gap: float | None) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*order)
+    t, before = F.col(time), F.lag(time).over(w)
+    broken = F.lag(F.lit(1)).over(w).isNull()
+    for v in value:
+        broken = broken | ~F.col(v).eqNullSafe(F.lag(v).over(w))
+    if max_gap is not None:
+        broken = broken | F.coalesce(t - before > max_gap, F.lit(False))
+    # Times never fall; missing ones come first, so the least so far is the first.
+    # The order columns keep their names, so that the rows stay sorted.
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = df.select(*dict.fromkeys([*keys, *value, *order])).withColumns({"_broken": broken, "_last": F.lead(F.lit(1)).over(w).isNull(), "_before": before, "_least": F.min(time).over(so_far), "_n": F.row_number().over(w).cast("bigint")})
+    kept = seen.where(F.col("_broken") | F.col("_last"))
+    nxt = {f"_next{c}": F.lead(F.col(c)).over(w) for c in ("_broken", "_before", "_n", "_least")} | {"_next_t": F.lead(time).over(w)}
+    kept = kept.withColumns({**nxt, "run": F.sum(F.col("_broken").cast("int")).over(w)}).where("_broken")
+    ended = F.when(F.col("_last"), t).when(F.col("_next_broken"), F.col("_next_before")).otherwise(F.col("_next_t"))
+    until = F.when(F.col("_last"), F.col("_n") + 1).when(F.col("_next_broken"), F.col("_next_n")).otherwise(F.col("_next_n") + 1)
+    began = F.coalesce(t, F.when(ended.isNotNull(), F.col("_next_least")))
+    return kept.select(*keys, "run", *value, began.alias("start_t"), ended.alias("end_t"), (until - F.col("_n")).alias("samples"))
+
+
 def stitch(runs: DataFrame, keys: Sequence[str], value: Sequence[str], max_gap: float = 0.2) -> DataFrame:
     """Joins runs of one value that touch, as chunked scans leave them."""
     w = Window.partitionBy(*keys).orderBy("start_t")

@@ -143,20 +143,37 @@ def pair_series(left: DataFrame, right: DataFrame, keys: Sequence[str], value: s
 
     At each start in the union of both sides the covering runs are looked up;
     starts where a side is missing, null, or outside ``spans`` are skipped, and
-    equal pairs in a row become one (skipped starts do not part them).
+    equal pairs in a row become one (skipped starts do not part them). Runs of a
+    side and key must not overlap; spans may.
+
+    All of it is read along one sort: the run begun last of either side, and the
+    latest end of the spans begun so far, are running maxima.
     """
-    starts = left.select(*keys, F.col("start_t").alias("t")).union(right.select(*keys, F.col("start_t"))).distinct()
+    none = F.lit(None).cast("double")
+    run = F.struct(F.col("start_t").alias("start"), F.col("end_t").alias("end"), F.col(value).alias("value"))
+    begun = [d.select(*keys, F.col("start_t").alias("t"), run.alias(c), none.alias("_until")) for d, c in ((left, "_left"), (right, "_right"))]
+    if spans is not None:
+        begun.append(spans.select(*keys, F.col("start_t").alias("t"), F.col("end_t").cast("double").alias("_until")))
+    seen = begun[0].unionByName(begun[1], allowMissingColumns=True)
+    for more in begun[2:]:
+        seen = seen.unionByName(more, allowMissingColumns=True)
+    w = Window.partitionBy(*keys).orderBy("t")
+    so_far = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    own = F.col("_left").isNotNull() | F.col("_right").isNotNull()
+    held = seen.where(F.col("t").isNotNull()).withColumns({"_l": F.max("_left").over(so_far), "_r": F.max("_right").over(so_far), "_covered": F.max("_until").over(so_far), "_own": own})
+    inside = (F.col("t") <= F.col("_l.end")) & (F.col("t") <= F.col("_r.end")) & F.col("_l.value").isNotNull() & F.col("_r.value").isNotNull() & F.col("_own")
     if spans is not None:
-        starts = interval_join(starts, spans, keys, "t", how="left_semi")
-    side = lambda runs, name: runs.select(*keys, "start_t", "end_t", F.col(value).alias(name), F.col("end_t").alias(f"{name}_end"))
-    both = value_at(starts, side(left, "left_value"), keys, "t", ["left_value", "left_value_end"])
-    both = value_at(both, side(right, "right_value"), keys, "t", ["right_value", "right_value_end"])
-    both = both.where(F.col("left_value").isNotNull() & F.col("right_value").isNotNull())
-    both = both.withColumn("e", F.least("left_value_end", "right_value_end"))
-    from .runs import islands
-
-    numbered = islands(both, keys, ["t"], ["left_value", "right_value"])
-    return numbered.groupBy(*keys, "run").agg(F.min("t").alias("start_t"), F.max("e").alias("end_t"), F.first("left_value").alias("left_value"), F.first("right_value").alias("right_value")).drop("run")
+        inside = inside & (F.col("t") <= F.col("_covered"))
+    # Starts at one instant find the same pair, so the first stands for all.
+    both = held.where(inside).select(*keys, "t", F.col("_l.value").alias("left_value"), F.col("_r.value").alias("right_value"), F.least("_l.end", "_r.end").alias("e"))
+    # Ends never fall either, so a run of pairs ends with its last start.
+    broken = F.lag(F.lit(1)).over(w).isNull()
+    for c in ("left_value", "right_value"):
+        broken = broken | ~F.col(c).eqNullSafe(F.lag(c).over(w))
+    both = both.withColumns({"_broken": broken, "_last": F.lead(F.lit(1)).over(w).isNull(), "_before": F.lag("e").over(w)}).where(F.col("_broken") | F.col("_last"))
+    both = both.withColumns({"_next_broken": F.lead("_broken").over(w), "_next_before": F.lead("_before").over(w), "_next_e": F.lead("e").over(w)}).where("_broken")
+    end = F.when(F.col("_last"), F.col("e")).when(F.col("_next_broken"), F.col("_next_before")).otherwise(F.col("_next_e"))
+    return both.select(*keys, F.col("t").alias("start_t"), end.alias("end_t"), "left_value", "right_value")
 
 
 def instants(runs: DataFrame, step: float, name: str = "t") -> DataFrame:
