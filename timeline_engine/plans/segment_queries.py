@@ -24,7 +24,8 @@ def _kind(*kinds: str) -> Column:
 
 
 def _clock(seconds: Column) -> Column:
-    return F.format_string("%d:%02d", F.floor(seconds / 60), seconds % 60)
+    left = seconds % 60
+    return F.concat(F.floor(seconds / 60).cast("string"), F.lit(":"), F.when(left.between(0, 9), "0").otherwise(""), left.cast("string"))
 
 
 def _instants(spark, sf_dir: str) -> DataFrame:
@@ -64,12 +65,13 @@ def _header(e: DataFrame) -> DataFrame:
 
 def _board(e: DataFrame) -> DataFrame:
     upto = F.coalesce(F.lead("at").over(Window.partitionBy("vod").orderBy("at")) - 1, F.col("at") + STEP - 1)
-    b = e.where(_kind("signup", "purchase")).withColumn("upto", upto)
+    # Kept before each row becomes eight, which costs less than to read these back.
+    b = settled(e.where(_kind("signup", "purchase")).withColumn("upto", upto).drop("end_at", "m", "who", "event_type"))
     label = F.element_at(F.array(*map(F.lit, G.MODE_OF_LABEL), F.lit(None)), (F.col("k") % 4 + 1).cast("int"))
     n = (F.col("l") + F.col("r")).cast("bigint")
     slots = b.select("vod", F.col("at").alias("start_t"), F.col("upto").alias("end_t"), (F.col("k") % 5 + 1).alias("samples"), label.alias("stat_label"), n.alias("kills"), n.alias("deaths"), F.explode(F.sequence(F.lit(0), F.lit(7))).alias("n"))
     name = F.concat(F.lit("p"), F.col("n").cast("string"))
-    return settled(slots.select("vod", F.when(F.col("n") < 4, "left").otherwise("right").alias("side"), (F.col("n") % 4).alias("slot"), "start_t", "end_t", "samples", F.col("n").alias("number"), name.alias("name"), "kills", "deaths", "stat_label", F.lit(None).cast("string").alias("gutter")))
+    return slots.select("vod", F.when(F.col("n") < 4, "left").otherwise("right").alias("side"), (F.col("n") % 4).alias("slot"), "start_t", "end_t", "samples", F.col("n").alias("number"), name.alias("name"), "kills", "deaths", "stat_label", F.lit(None).cast("string").alias("gutter"))
 
 
 def _sides(e: DataFrame) -> DataFrame:
