@@ -72,6 +72,21 @@ def interval_join(points: DataFrame, spans: DataFrame, keys: Sequence[str], t: s
     return joined.select(*[F.col(f"p.{c}") for c in points.columns], *[F.col(f"s.{c}") for c in spans.columns if c not in keys])
 
 
+def covered(points: DataFrame, spans: DataFrame, keys: Sequence[str], t: str, start: str = "start_t", end: str = "end_t") -> DataFrame:
+    """Points whose instant lies in a span of their key (ends included), whatever
+    the spans' lengths and overlaps: the latest end of the spans begun so far is
+    a running maximum. One shuffle on the keys; no span is repeated."""
+    a = points.select(*keys, F.col(t).alias("_t"), F.struct(*[F.col(c) for c in points.columns]).alias("_row"))
+    b = spans.select(*keys, F.col(start).alias("_t"), F.col(end).alias("_until")).where(F.col("_t").isNotNull())
+    so_far = Window.partitionBy(*keys).orderBy("_t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    both = a.where(F.col("_t").isNotNull()).unionByName(b, allowMissingColumns=True).withColumn("_until", F.max("_until").over(so_far))
+    # A missing key equals none, in a join.
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    return both.where(F.col("_row").isNotNull() & (F.col("_t") <= F.col("_until")) & known).select("_row.*")
+
+
 def near(points: DataFrame, others: DataFrame, keys: Sequence[str], t: str, t_other: str, before: float, after: float, how: str = "left_semi") -> DataFrame:
     """Points with (``left_semi``) or without (``left_anti``) another point in
     [t - before, t + after]."""
@@ -157,12 +172,18 @@ def pair_series(left: DataFrame, right: DataFrame, keys: Sequence[str], value: s
     seen = begun[0].unionByName(begun[1], allowMissingColumns=True)
     for more in begun[2:]:
         seen = seen.unionByName(more, allowMissingColumns=True)
+    return pairs_begun(seen, keys, spans is not None)
+
+
+def pairs_begun(seen: DataFrame, keys: Sequence[str], spanned: bool) -> DataFrame:
+    """``pair_series`` of rows (keys, t, _left, _right, _until): each the beginning
+    t of a run (start, end, value) of one side or of a span ending at _until."""
     w = Window.partitionBy(*keys).orderBy("t")
     so_far = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     own = F.col("_left").isNotNull() | F.col("_right").isNotNull()
     held = seen.where(F.col("t").isNotNull()).withColumns({"_l": F.max("_left").over(so_far), "_r": F.max("_right").over(so_far), "_covered": F.max("_until").over(so_far), "_own": own})
     inside = (F.col("t") <= F.col("_l.end")) & (F.col("t") <= F.col("_r.end")) & F.col("_l.value").isNotNull() & F.col("_r.value").isNotNull() & F.col("_own")
-    if spans is not None:
+    if spanned:
         inside = inside & (F.col("t") <= F.col("_covered"))
     # Starts at one instant find the same pair, so the first stands for all.
     both = held.where(inside).select(*keys, "t", F.col("_l.value").alias("left_value"), F.col("_r.value").alias("right_value"), F.least("_l.end", "_r.end").alias("e"))

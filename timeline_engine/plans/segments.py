@@ -99,8 +99,7 @@ class Header:
 
     def in_live(self, rows: DataFrame, t: str = "start_t") -> DataFrame:
         """Rows whose instant lies in a live span."""
-        spans = self.live.select("vod", F.col("start_t").alias("_lo"), F.col("end_t").alias("_hi"))
-        return J.interval_join(rows, spans, VOD, t, "_lo", "_hi", "left_semi", width=600.0)
+        return J.covered(rows, self.live, VOD, t)
 
 
 def _changed(series: DataFrame, when: Column, keys: list[str] = VOD) -> DataFrame:
