@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from timeline_engine.operators import temporal_joins as J
 from timeline_engine.plans import segment_queries as Q
+from timeline_engine.plans import segments as G
 
 DIR = "/root/testdata/sf0.001"
 
@@ -33,3 +34,11 @@ def test_covered_equals_a_semi_join(spark):
     found = J.covered(p, s, ["vod"], "t", "a", "b")
     assert sorted(r.id for r in found.collect()) == want and found.columns == p.columns
     assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_pair_scans_the_header_once(spark):
+    header = G.Header(Q._header(Q._instants(spark, DIR)))
+    merged = header.pair_plan("score_left", "score_right")
+    assert merged._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") == 1
+    apart = J.pair_series(header.field("score_left"), header.field("score_right"), ["vod"], "value", header.series_spans)
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, apart.collect()))

@@ -61,10 +61,19 @@ class Header:
         """Spans that the header calls part of this series."""
         return self.runs.where((F.col("field") == "best_of") & (F.col("value") == BEST_OF)).select("vod", "start_t", "end_t")
 
+    def pair_plan(self, left: str, right: str) -> DataFrame:
+        """``pair_series`` of two fields inside the series, from one scan."""
+        long = F.col("end_t") - F.col("start_t") >= LEAST_RUN
+        run = F.struct(F.col("start_t").alias("start"), F.col("end_t").alias("end"), "value")
+        side = lambda field: F.when((F.col("field") == field) & long, run)
+        until = F.when((F.col("field") == "best_of") & (F.col("value") == BEST_OF), F.col("end_t"))
+        seen = self.runs.where(F.col("field").isin(left, right, "best_of")).select("vod", F.col("start_t").alias("t"), side(left).alias("_left"), side(right).alias("_right"), until.alias("_until"))
+        return J.pairs_begun(seen, VOD, True)
+
     def pair(self, left: str, right: str) -> DataFrame:
         """Runs of a two-sided numeric field inside the series: vod, start_t,
         end_t, l, r."""
-        out = J.pair_series(self.field(left), self.field(right), VOD, "value", self.series_spans)
+        out = self.pair_plan(left, right)
         number = lambda c: F.col(c).try_cast("bigint")
         return settled(out.select("vod", "start_t", "end_t", number("left_value").alias("l"), number("right_value").alias("r")))
 
